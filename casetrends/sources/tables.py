@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -83,16 +85,26 @@ def replace_partitions(
     if kept:
         # Days named, present in the table and absent from the new rows have to go.
         written = {r[0] for r in df.select(partition_by).distinct().collect()}
-    (
-        spread(df.select(*columns), partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    # Inserts take the overwrite mode from the table or the session, not from the writer.
+    with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        spread(df.select(*columns), partition_by).write.mode("overwrite").insertInto(table)
     for day in sorted(kept - written):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({quoted(partition_by)} = DATE '{day}')")
 
 
+@contextmanager
+def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _partition_days(spark: SparkSession, table: str, partition_by: str) -> set[dt.date]:
     prefix = f"{partition_by}="
     rows = spark.sql(f"SHOW PARTITIONS {table}").collect()

@@ -26,10 +26,11 @@ def _target_and_version(in_dir: str, name_from: str) -> tuple[Column, Column]:
     path, written = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
     if name_from == "file":
         return strip_suffix(F.col("_metadata.file_name"), SUFFIX), F.struct(written, path)
-    # <in_dir>/<name>/<run>/part-*.csv: the run folder with the greatest name is the newest.
-    inside = re.escape(in_dir.rstrip("/").split(":")[-1].lstrip("/")) + "/"
-    name = F.regexp_extract(path, inside + r"([^/]+)/", 1)
-    return strip_suffix(name, SUFFIX), F.struct(F.regexp_extract(path, r"^(.*)/", 1).alias("run"))
+    # <in_dir>/<name>/<run>/part-*.csv, or name=<name>/run=<run>: the greatest run is the newest.
+    inside = re.escape(in_dir.rstrip("/").split(":")[-1].lstrip("/"))
+    name = F.regexp_extract(path, inside + r"/(?:[^/=]+=)?([^/]+)/[^/]+/[^/]+$", 1)
+    run = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    return strip_suffix(name, SUFFIX), F.struct(run.alias("run"))
 
 
 def publish_stream(
@@ -45,7 +46,8 @@ def publish_stream(
     ``<name>.csv`` replaces the whole published ``<name>``; other files are ignored. When a
     name arrives more than once in a batch the newest upload is the one published. The file
     source remembers paths, so a name is published again by writing it to a new folder. With
-    ``name_from="folder"`` an upload is a folder of part files, ``<name>/<run>/part-*.csv``.
+    ``name_from="folder"`` an upload is a folder of part files, ``<name>/<run>/part-*.csv``,
+    and its run folders sort by age (a time stamp as the name does).
 
     Each batch is one dynamic partition overwrite, so repeating it after a failure leaves the
     same tables. Header rows stay in the stored data (``is_header``); a file that has only a
