@@ -19,6 +19,7 @@ from casetrends.operators.project import (
 from casetrends.operators.reshape import dated_structs, unnest, unpivot_wide
 from casetrends.operators.rollup import rollup_region, with_global_max
 from casetrends.operators.series import (
+    collapse_days,
     daily_delta,
     first_row_fallback,
     series_metrics,
@@ -29,6 +30,7 @@ from casetrends.operators.series import (
 __all__ = [
     "UnknownColumnsError",
     "align_wide",
+    "collapse_days",
     "column_slice",
     "daily_delta",
     "dated_structs",

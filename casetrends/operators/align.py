@@ -156,16 +156,16 @@ def align_wide(
     sides = []
     for i, (metric, df) in enumerate(frames.items()):
         own = set(axes[metric])
-        values = [F.col(quoted(c)) if c in own else F.lit(None).cast("bigint") for c in axis]
+        values = [c if c in own else "CAST(NULL AS bigint)" for c in axis]
         sides.append(
             df.select(
                 *[F.col(quoted(c)).alias(_sided(c, i)) for c in place],
-                F.array(*values).alias(_sided("values", i)),
+                F.expr(f"array({', '.join(values)})").alias(_sided("values", i)),
             )
         )
     joined = _outer_chain(sides, on, null_tolerant, coalesce_keys)
 
-    blank = F.array(*[F.lit(None).cast("bigint") for _ in axis])
+    blank = F.expr(f"array_repeat(CAST(NULL AS bigint), {len(axis)})")
     arrays = [
         F.coalesce(F.col(_sided("values", i)), blank).alias(f"total_{metric}")
         for i, metric in enumerate(frames)
@@ -176,8 +176,8 @@ def align_wide(
         has_day = [
             F.when(
                 F.col(_sided("values", i)).isNotNull(),
-                F.array(*[F.lit(c in set(axes[metric])) for c in axis]),
-            ).otherwise(F.array(*[F.lit(False) for _ in axis]))
+                F.expr(f"array({', '.join(str(c in set(axes[metric])) for c in axis)})"),
+            ).otherwise(F.expr(f"array_repeat(false, {len(axis)})"))
             for i, metric in enumerate(frames)
         ]
         arrays += [flags.alias(f"has__{i}") for i, flags in enumerate(has_day)]

@@ -51,7 +51,7 @@ def standardize_report(
     columns = [F.col(quoted(name)) for name in keep]
     for field in layout.schema.fields:
         found = [
-            typed(F.col(quoted(s)), field.dataType, mode, label=s)
+            typed(quoted(s), field.dataType, mode, label=s)
             for s in layout.spellings(field.name)
             if s in present
         ]

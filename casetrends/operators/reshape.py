@@ -12,7 +12,7 @@ from casetrends.operators.project import quoted
 
 
 def day_literals(days: list[dt.date]) -> Column:
-    return F.array(*[F.lit(day) for day in days])
+    return F.expr(f"array({', '.join(f'DATE {chr(39)}{day}{chr(39)}' for day in days)})")
 
 
 def dated_structs(df: DataFrame, date_cols: list[str], metric: str, name: str = "arr") -> DataFrame:
@@ -22,7 +22,7 @@ def dated_structs(df: DataFrame, date_cols: list[str], metric: str, name: str =
     with a thousand and more date columns; a struct expression per column does not.
     """
     days = day_literals([column_day(c) for c in date_cols])
-    values = F.array(*[F.col(quoted(c)) for c in date_cols])
+    values = F.array(*date_cols)
     return df.withColumn(name, F.arrays_zip(days.alias("dt"), values.alias(f"total_{metric}")))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from casetrends.operators.project import quoted
+
 AVG_DIGITS = 1
 AVG_ROWS = (7, 28)
 
@@ -59,6 +61,17 @@ def trailing_avg(
     return df.withColumn(f"daily_new_{metric}_{rows}d_ma", mean)
 
 
+def collapse_days(df: DataFrame, keys: Sequence[str], order: str = "dt") -> DataFrame:
+    """One row per key and day: the greatest value of every other column.
+
+    For tables that may repeat a day. Rows are combined before the shuffle, so a key with very
+    many rows arrives at the windows as one row per day, and their order is no longer arbitrary.
+    """
+    rest = [c for c in df.columns if c not in (*keys, order)]
+    grouped = df.groupBy(*keys, order).agg(*[F.max(F.col(quoted(c))).alias(c) for c in rest])
+    return grouped.select(*[F.col(quoted(c)) for c in df.columns])
+
+
 def series_metrics(
     df: DataFrame,
     keys: Sequence[str],
@@ -70,7 +83,7 @@ def series_metrics(
 
     All windows share one specification, so the plan has one exchange and one sort. A group
     is one series: with one row per key and day it is bounded by the number of days, however
-    many rows the table has. Frames with repeated days have to be aggregated first.
+    many rows the table has. ``collapse_days`` makes that so for a table that repeats days.
     """
     window = series_window(keys, order)
     totals = {m: F.col(f"total_{m}") for m in metrics}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casetrends.functions.dates import column_day, date_columns
 from casetrends.functions.rates import safe_ratio
 from casetrends.functions.stamps import local_stamp
-from casetrends.operators.align import align_wide, enrich, full_align
+from casetrends.operators.align import align_wide, enrich, full_align, stack_align
 from casetrends.operators.project import quoted
 from casetrends.operators.rollup import rollup_region
 from casetrends.operators.series import AVG_ROWS, series_metrics
@@ -63,14 +63,26 @@ def _last_day_of_rows(*wides: DataFrame) -> Column:
 
 
 def us_series_from_long(
-    confirmed: DataFrame, deaths: DataFrame, population: DataFrame, now: Column | None = None
+    confirmed: DataFrame,
+    deaths: DataFrame,
+    population: DataFrame,
+    now: Column | None = None,
+    one_row_per_day: bool = False,
 ) -> DataFrame:
-    """The same from long frames ``(dt, *place, total_<metric>)`` and a population table."""
-    aligned = full_align(
-        [confirmed, deaths],
-        on=["dt", *US_SERIES_KEY],
-        describe=[c for c in US_PLACE if c not in US_SERIES_KEY],
-    )
+    """The same from long frames ``(dt, *place, total_<metric>)`` and a population table.
+
+    ``one_row_per_day`` says that neither frame repeats a county and day. They are then stacked
+    and grouped on the partitioning that the windows use, one exchange in place of three, and
+    a repeated row fails the job. Without it the frames are joined, repeats included.
+    """
+    keys = ["dt", *US_SERIES_KEY]
+    describe = [c for c in US_PLACE if c not in US_SERIES_KEY]
+    if one_row_per_day:
+        aligned = stack_align(
+            [confirmed, deaths], on=keys, describe=describe, cluster_by=US_SERIES_KEY
+        )
+    else:
+        aligned = full_align([confirmed, deaths], on=keys, describe=describe)
     located = enrich(aligned, population, US_SERIES_KEY, ["population"])
     days = confirmed.select("dt").union(deaths.select("dt"))
     return _finish(located, days.agg(F.max("dt")).scalar(), now)

@@ -14,6 +14,7 @@ from casetrends.operators.align import align_wide, union_sources
 from casetrends.operators.project import null_columns
 from casetrends.operators.series import (
     AVG_ROWS,
+    collapse_days,
     delta,
     first_row_fallback,
     series_metrics,
@@ -56,25 +57,33 @@ def _averages(metrics: Sequence[str]) -> list[str]:
 
 
 def global_series_daily(
-    us: DataFrame, world: DataFrame, day: str = "report_dt", now: Column | None = None
+    us: DataFrame,
+    world: DataFrame,
+    day: str = "report_dt",
+    now: Column | None = None,
+    collapse: bool = False,
 ) -> DataFrame:
     """Series of US states and of places outside the US, from the daily report tables.
 
     Rows whose compared label is NULL are dropped, as the comparison is not true for them.
     ``case_fatality_rate`` is the reports' own ratio, only rounded; ``incident_rate`` is per
-    person, and ``population`` is what the unrounded rate implies.
+    person, and ``population`` is what the unrounded rate implies. ``collapse`` merges rows
+    that repeat a place and day before the windows; otherwise their order is arbitrary.
     """
     rows = union_sources(
         report_rows(us, F.col("province_state") != NOT_A_STATE, day, tested=True),
         report_rows(world, F.col("country_region") != US_COUNTRY, day, tested=False),
     )
+    newest = rows.agg(F.max("dt")).scalar()
+    if collapse:
+        rows = collapse_days(rows, GLOBAL_SERIES_KEY)
     population = implied_population(F.col("total_confirmed"), F.col("incident_rate"))
     return (
         series_metrics(rows.withColumn("population", population), GLOBAL_SERIES_KEY, DAILY_METRICS)
         .withColumns(
             {
                 "incident_rate": F.round("incident_rate", RATE_DIGITS),
-                "last_updated_dt": rows.agg(F.max("dt")).scalar(),
+                "last_updated_dt": newest,
                 "last_updated_ts": local_stamp(now),
             }
         )
@@ -116,11 +125,13 @@ def global_series_wide(
 ) -> DataFrame:
     """Three-metric series from the wide frames. They hold no population, so no incident rate.
 
-    ``coalesce_keys=False`` leaves a key that confirmed lacks on two rows per day, whose
-    order along the series is then arbitrary.
+    ``coalesce_keys=False`` puts a key that confirmed lacks on two rows per day; they are
+    merged before the windows, which need one row per day.
     """
     axes = [date_columns(df.columns) for df in (confirmed, deaths, recovered)]
     aligned = _aligned_world(confirmed, deaths, recovered, coalesce_keys)
+    if not coalesce_keys:
+        aligned = collapse_days(aligned, GLOBAL_SERIES_KEY)
     if axes[0] == axes[1] == axes[2]:
         last_day = F.lit(column_day(axes[0][-1]))
     else:
@@ -156,6 +167,8 @@ def global_series_basic(
 ) -> DataFrame:
     """The older shape: totals, new counts and the stamp, without averages."""
     aligned = _aligned_world(confirmed, deaths, recovered, coalesce_keys)
+    if not coalesce_keys:
+        aligned = collapse_days(aligned, GLOBAL_SERIES_KEY)
     window = series_window(GLOBAL_SERIES_KEY)
     named = aligned.withColumnsRenamed({f"total_{m}": m for m in WIDE_METRICS})
     return named.select(

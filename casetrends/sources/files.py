@@ -6,6 +6,7 @@ import csv
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,28 +32,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/casetrends-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
 def list_files(spark: SparkSession, base: str) -> list[str]:
-    """Data files below ``base`` (itself when it is a file), sorted; hidden ones left out."""
-    root = _hadoop_path(spark, base)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    depth = len(fs.makeQualified(root).toUri().getPath().rstrip("/"))
-    found = []
-    entries = fs.listFiles(root, True)
-    while entries.hasNext():
-        path = entries.next().getPath()
-        below = path.toUri().getPath()[depth:].split("/")
-        if not any(part.startswith(("_", ".")) for part in below if part):
-            found.append(path.toString())
-    return sorted(found)
+    """Data files below ``base`` (itself when it is a file), sorted; hidden ones left out.
+
+    This is the listing every file scan makes; nothing is read.
+    """
+    tree = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
+    return sorted(unquote(uri) for uri in tree.inputFiles())
 
 
 def _first_line(spark: SparkSession, path: str) -> str | None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = _hadoop_path(spark, path)
+    target = jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(conf).open(target)
     try:
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
@@ -90,15 +81,29 @@ def by_header(headers: dict[str, Header]) -> dict[Header, list[str]]:
     return groups
 
 
-def read_text_csv(spark: SparkSession, paths: list[str], header: Header, sep: str = ",") -> DataFrame:
-    """CSV files with this very header, every column a string.
+def read_text_csv(
+    spark: SparkSession,
+    paths: list[str],
+    header: Header,
+    sep: str = ",",
+    counts_from: int | None = None,
+    mode: str = "PERMISSIVE",
+) -> DataFrame:
+    """CSV files with this very header, as strings; columns from ``counts_from`` on as BIGINT.
 
     The CSV reader assigns values by position, so the header of each file is checked against
     the names (``enforceSchema=false``) and a file with another column order fails the job.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    texts = len(header) if counts_from is None else counts_from
+    schema = T.StructType(
+        [
+            T.StructField(name, T.StringType() if i < texts else T.LongType())
+            for i, name in enumerate(header)
+        ]
+    )
     return (
         spark.read.schema(schema)
+        .option("mode", mode)
         .option("header", True)
         .option("enforceSchema", False)
         .option("sep", sep)

@@ -6,21 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casetrends.functions.casts import typed
+from casetrends.functions.casts import typed_sql
 from casetrends.functions.dates import column_day, date_columns, date_header
 from casetrends.operators.align import union_drifted
 from casetrends.operators.project import quoted
 from casetrends.sources.files import by_header, clean_header, list_files, read_headers, read_text_csv
 
+COUNTS = ("digits", "text")
+
 
 def read_wide(
-    spark: SparkSession, path: str, ids: T.StructType, mode: str = "strict", sep: str = ","
+    spark: SparkSession,
+    path: str,
+    ids: T.StructType,
+    mode: str = "strict",
+    sep: str = ",",
+    counts: str = "digits",
 ) -> DataFrame:
     """Read wide files below ``path``: ``ids`` by position, ``dt_YYYYMMDD`` columns by name.
 
     Dates come from each file's own header, so files that end on different days go together;
     a date that a file lacks is NULL for its rows.
+
+    With ``counts="digits"`` the CSV reader itself parses the counts, several times faster
+    than a thousand cast expressions, and takes nothing but digits or an empty field. In the
+    strict mode another spelling (``12.0``, ``NA``) fails the job; ``counts="text"`` reads it.
     """
+    if counts not in COUNTS:
+        raise ValueError(f"counts must be one of {COUNTS}, not {counts!r}")
     headers = read_headers(spark, list_files(spark, path), sep)
     if not headers:
         raise FileNotFoundError(f"no CSV data below {path}")
@@ -31,16 +44,22 @@ def read_wide(
         dates = [date_header(h) for h in clean_header(header)[len(ids) :]]
         if len(set(dates)) < len(dates):
             raise ValueError(f"{paths[0]}: a date occurs twice in the header")
-        raw = read_text_csv(spark, paths, header, sep).toDF(*ids.names, *dates)
-        frames.append(
-            raw.select(
-                *[
-                    typed(F.col(quoted(f.name)), f.dataType, mode, f.name).alias(f.name)
-                    for f in ids.fields
-                ],
-                *[typed(F.col(d), T.LongType(), mode, d).alias(d) for d in dates],
-            )
-        )
+        raw = read_text_csv(
+            spark,
+            paths,
+            header,
+            sep,
+            counts_from=len(ids) if counts == "digits" else None,
+            mode="FAILFAST" if counts == "digits" and mode == "strict" else "PERMISSIVE",
+        ).toDF(*ids.names, *dates)
+        located = [
+            f"{typed_sql(quoted(f.name), f.dataType, mode, f.name)} AS {quoted(f.name)}"
+            for f in ids.fields
+        ]
+        totals = dates
+        if counts == "text":
+            totals = [f"{typed_sql(d, T.LongType(), mode, d)} AS {d}" for d in dates]
+        frames.append(raw.selectExpr(*located, *totals))
     everything = union_drifted(*frames)
     return everything.select(*[quoted(c) for c in ids.names], *date_columns(everything.columns))
 

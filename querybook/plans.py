@@ -118,26 +118,37 @@ def q1(spark, sf):
     return series.drop("last_updated_ts")
 
 
-@query(
-    "Q1_us_series_from_long",
-    with_ctes(
-        SQL_ORDER_DAYS,
-        SQL_PLACES,
-        sql_us_long("confirmed"),
-        sql_us_long("deaths"),
-        sql_us_joined("us_confirmed", "us_deaths", "places"),
-        sql_series("joined", "combined_key", US),
-        SQL_US_RESULT,
-    )
-    + "SELECT * FROM us_series",
-)
-def q1_long(spark, sf):
+SQL_US_LONG = with_ctes(
+    SQL_ORDER_DAYS,
+    SQL_PLACES,
+    sql_us_long("confirmed"),
+    sql_us_long("deaths"),
+    sql_us_joined("us_confirmed", "us_deaths", "places"),
+    sql_series("joined", "combined_key", US),
+    SQL_US_RESULT,
+) + "SELECT * FROM us_series"
+
+
+def _from_long(spark, sf, one_row_per_day):
     series = us_series_from_long(
-        us_long(spark, sf, "confirmed"), us_long(spark, sf, "deaths"), places(spark, sf)
+        us_long(spark, sf, "confirmed"),
+        us_long(spark, sf, "deaths"),
+        places(spark, sf),
+        one_row_per_day=one_row_per_day,
     )
     return series.drop("last_updated_ts")
 
 
+@query("Q1_us_series_from_long", SQL_US_LONG)
+def q1_long(spark, sf):
+    return _from_long(spark, sf, one_row_per_day=False)
+
+
+@query("Q1_us_series_from_long_stacked", SQL_US_LONG)
+def q1_long_stacked(spark, sf):
+    return _from_long(spark, sf, one_row_per_day=True)
+
+
 @query("Q2_us_current", SQL_US_WIDE + "SELECT * FROM us_series WHERE dt = last_updated_dt")
 def q2(spark, sf):
     current = us_current(us_wide(spark, sf, "confirmed"), us_wide(spark, sf, "deaths"))

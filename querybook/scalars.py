@@ -202,14 +202,13 @@ def population(spark, sf):
               DATE_TRUNC('minute', ts) AS seen FROM events""",
 )
 def typed_text(spark, sf):
-    digits = F.regexp_extract("props", "[0-9]+", 0)
-    minute = F.date_format("ts", "M/d/yyyy H:mm")
-    return table(spark, sf, "events").select(
+    minutes = table(spark, sf, "events").withColumn("minute", F.date_format("ts", "M/d/yyyy H:mm"))
+    return minutes.select(
         "event_id",
-        typed(F.expr("replace(props, '{\"k\": ', '')"), T.LongType(), "permissive").alias("junk"),
-        typed(digits, T.LongType()).alias("k"),
-        typed(F.col("value").cast("string"), T.DoubleType()).alias("value"),
-        parse_timestamp(minute).cast("timestamp_ntz").alias("seen"),
+        typed("replace(props, '{\"k\": ', '')", T.LongType(), "permissive").alias("junk"),
+        typed("regexp_extract(props, '[0-9]+', 0)", T.LongType()).alias("k"),
+        typed("CAST(value AS string)", T.DoubleType()).alias("value"),
+        parse_timestamp("minute").cast("timestamp_ntz").alias("seen"),
     )
 
 
@@ -226,8 +225,8 @@ def whole(spark, sf):
         "l_linenumber",
         "l_partkey",
         "l_extendedprice",
-        whole_to_long(F.col("l_quantity")).alias("quantity"),
-        whole_to_long(F.col("l_extendedprice")).alias("whole_price"),
+        whole_to_long("l_quantity").alias("quantity"),
+        whole_to_long("l_extendedprice").alias("whole_price"),
     )
 
 

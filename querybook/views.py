@@ -12,6 +12,7 @@ tables are not hinted: the planner broadcasts them only while it knows them to b
 from __future__ import annotations
 
 import datetime as dt
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,16 @@ from casetrends.operators.series import series_window
 # --- small helpers ------------------------------------------------------------------------
 
 
+_OPENED: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table; its listing and schema are looked up once per session."""
+    opened = _OPENED.setdefault(spark, {})
+    path = f"{sf}/{name}.parquet"
+    if path not in opened:
+        opened[path] = spark.read.parquet(path)
+    return opened[path]
 
 
 def sql_round(expr: str, digits: int) -> str:
@@ -99,11 +108,15 @@ places AS (
 
 def _counts_to_date(df: DataFrame, keys: list[str], metric: str) -> DataFrame:
     kinds, least = EVENTS_OF[metric]
-    day = F.col("ts").cast("date")
+    sums = [
+        F.expr(f"sum(CASE WHEN day <= DATE '{d}' THEN 1 END) AS {c}")
+        for d, c in zip(DAYS, DAY_COLUMNS)
+    ]
     return (
         df.filter(F.col("event_type").isin(*kinds) & (F.col("value") >= least))
+        .select(*keys, F.col("ts").cast("date").alias("day"))
         .groupBy(*keys)
-        .agg(*[F.sum(F.when(day <= F.lit(d), 1)).alias(c) for d, c in zip(DAYS, DAY_COLUMNS)])
+        .agg(*sums)
     )
 
 
