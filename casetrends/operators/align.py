@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from casetrends.functions.dates import column_day, date_columns
 from casetrends.operators.project import quoted
-from casetrends.operators.reshape import day_literals
+from casetrends.operators.reshape import day_literals, unpivot_wide
 
 
 def null_tolerant_eq(left: Column, right: Column) -> Column:
@@ -116,7 +116,8 @@ def stack_align(
     if cluster_by:
         stacked = stacked.repartition(*[F.col(quoted(c)) for c in cluster_by])
     values = [c for c in stacked.columns if c not in on and not c.startswith("seen__")]
-    grouped = stacked.groupBy(*on).agg(
+    # In series order, so that the sort of the grouping serves later windows as well.
+    grouped = stacked.groupBy(*cluster_by, *[c for c in on if c not in cluster_by]).agg(
         F.greatest(*[F.count(_sided("seen", i)) for i in range(len(frames))], F.lit(0)).alias("copies"),
         *[F.max(F.col(quoted(c))).alias(c) for c in values],
     )
@@ -141,65 +142,55 @@ def align_wide(
     coalesce_keys: bool = True,
     attributes: DataFrame | None = None,
 ) -> DataFrame:
-    """Join wide metrics first and unpivot the joined row, for ``{metric: wide frame}``.
+    """Unpivot metrics and join them on ``(dt, *on)``, for ``{metric: wide frame}``.
 
-    The result is that of unpivoting each metric and joining on ``(dt, *on)``, duplicates
+    When all frames have the same dates, which is how they are published, the wide rows are
+    joined on ``on`` and the joined row is unpivoted. That gives the same rows, duplicates
     included, because a location has each date once. But a location crosses the network as
     one row with an array per metric instead of one described row per date, and the long
     rows come out already partitioned by ``on``, so that windows over it need no exchange.
+    Frames with different dates are unpivoted first.
 
-    ``attributes`` is left-joined on ``on`` before the unpivot and adds its other columns.
+    ``attributes`` is left-joined on ``on`` and adds its other columns.
     """
     axes = {metric: date_columns(df.columns) for metric, df in frames.items()}
-    axis = sorted(set().union(*axes.values()))
     place = [*on, *[c for c in describe if c not in on]]
-    sides = []
-    for i, (metric, df) in enumerate(frames.items()):
-        own = set(axes[metric])
-        values = [c if c in own else "CAST(NULL AS bigint)" for c in axis]
-        sides.append(
-            df.select(
-                *[F.col(quoted(c)).alias(_sided(c, i)) for c in place],
-                F.expr(f"array({', '.join(values)})").alias(_sided("values", i)),
-            )
+    totals = [f"total_{metric}" for metric in frames]
+    added = [] if attributes is None else [c for c in attributes.columns if c not in on]
+    axis = next(iter(axes.values()))
+    if any(other != axis for other in axes.values()):
+        aligned = full_align(
+            [unpivot_wide(df, place, metric) for metric, df in frames.items()],
+            on=["dt", *on],
+            describe=[c for c in place if c not in on],
+            fill=fill,
+            null_tolerant=null_tolerant,
+            coalesce_keys=coalesce_keys,
         )
-    joined = _outer_chain(sides, on, null_tolerant, coalesce_keys)
+        if attributes is not None:
+            aligned = enrich(aligned, attributes, on, added)
+        return aligned.select("dt", *place, *added, *totals)
 
-    blank = F.expr(f"array_repeat(CAST(NULL AS bigint), {len(axis)})")
-    arrays = [
-        F.coalesce(F.col(_sided("values", i)), blank).alias(f"total_{metric}")
-        for i, metric in enumerate(frames)
+    sides = [
+        df.select(
+            *[F.col(quoted(c)).alias(_sided(c, i)) for c in place],
+            F.array(*axis).alias(_sided("values", i)),
+        )
+        for i, df in enumerate(frames.values())
     ]
-    shapes = {tuple(a) for a in axes.values()}
-    if len(shapes) > 1:
-        # A date belongs to a row only if some metric present in the row has that date.
-        has_day = [
-            F.when(
-                F.col(_sided("values", i)).isNotNull(),
-                F.expr(f"array({', '.join(str(c in set(axes[metric])) for c in axis)})"),
-            ).otherwise(F.expr(f"array_repeat(false, {len(axis)})"))
-            for i, metric in enumerate(frames)
-        ]
-        arrays += [flags.alias(f"has__{i}") for i, flags in enumerate(has_day)]
-    names = [f"total_{metric}" for metric in frames]
-    extra = [f"has__{i}" for i in range(len(frames))] if len(shapes) > 1 else []
-
-    located = joined.select(*[_merged(c, len(frames)) for c in place], *arrays).repartition(
-        *[F.col(quoted(c)) for c in on]
-    )
-    added: list[str] = []
+    joined = _outer_chain(sides, on, null_tolerant, coalesce_keys)
+    blank = F.expr(f"array_repeat(CAST(NULL AS bigint), {len(axis)})")
+    located = joined.select(
+        *[_merged(c, len(frames)) for c in place],
+        *[F.coalesce(_sided("values", i), blank).alias(t) for i, t in enumerate(totals)],
+    ).repartition(*[F.col(quoted(c)) for c in on])
     if attributes is not None:
-        added = [c for c in attributes.columns if c not in on]
         located = enrich(located, attributes, on, added)
     days = day_literals([column_day(c) for c in axis])
     long = located.select(
-        *place,
-        *added,
-        F.inline(F.arrays_zip(days.alias("dt"), *[F.col(n) for n in [*names, *extra]])),
+        *place, *added, F.inline(F.arrays_zip(days.alias("dt"), *[F.col(t) for t in totals]))
     )
-    if extra:
-        long = long.filter(reduce(Column.__or__, [F.col(c) for c in extra]))
-    filled = [F.col(n) if fill is None else F.coalesce(F.col(n), F.lit(fill)).alias(n) for n in names]
+    filled = [F.col(t) if fill is None else F.coalesce(t, F.lit(fill)).alias(t) for t in totals]
     return long.select("dt", *place, *added, *filled)
 
 

@@ -176,28 +176,24 @@ def nation_name() -> Column:
 
 def global_wide(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     """Nation wide frame. Recovered cases of ASIA are known for the country only."""
-    events = (
-        table(spark, sf, "events")
-        .join(table(spark, sf, "customer"), F.col("user_id") == F.col("c_custkey"))
+    counts = _counts_to_date(table(spark, sf, "events"), ["user_id"], metric)
+    placed = (
+        counts.join(table(spark, sf, "customer"), F.col("user_id") == F.col("c_custkey"))
+        .groupBy("c_nationkey")
+        .agg(*[F.sum(c).alias(c) for c in DAY_COLUMNS])
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
+    name, spot = nation_name(), F.col("n_nationkey").cast("double")
     if metric == "recovered":
-        name = F.when(F.col("r_name") != "ASIA", nation_name())
-        spot = F.when(F.col("r_name") != "ASIA", F.col("n_nationkey")).cast("double")
-    else:
-        name, spot = nation_name(), F.col("n_nationkey").cast("double")
-    placed = events.select(
-        "event_type",
-        "value",
-        "ts",
+        name = F.when(F.col("r_name") != "ASIA", name)
+        spot = F.when(F.col("r_name") != "ASIA", spot)
+    return placed.groupBy(
         name.alias("province_state"),
         F.col("r_name").alias("country_region"),
         spot.alias("latitude"),
         F.col("r_regionkey").cast("double").alias("longitude"),
-    )
-    keys = ["province_state", "country_region", "latitude", "longitude"]
-    return _counts_to_date(placed, keys, metric)
+    ).agg(*[F.sum(c).alias(c) for c in DAY_COLUMNS])
 
 
 def sql_global_wide(metric: str) -> str:

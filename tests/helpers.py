@@ -9,7 +9,7 @@ def day(n: int) -> dt.date:
 
 
 def rows(df, *order):
-    return [tuple(r) for r in df.orderBy(*order).collect()]
+    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
 
 
 def plan(df) -> str:
