@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casetrends.functions.dates import column_day, date_columns
 from casetrends.functions.rates import safe_ratio
-from casetrends.functions.stamps import local_stamp
+from casetrends.functions.stamps import Instant, local_stamp
 from casetrends.operators.align import align_wide, enrich, full_align, stack_align
 from casetrends.operators.project import quoted
 from casetrends.operators.rollup import rollup_region
@@ -17,7 +17,7 @@ from casetrends.schemas import US_PLACE, US_SERIES_COLUMNS, US_SERIES_KEY
 METRICS = ("confirmed", "deaths")
 
 
-def _finish(aligned: DataFrame, last_day: Column, now: Column | None) -> DataFrame:
+def _finish(aligned: DataFrame, last_day: Column, now: Instant) -> DataFrame:
     confirmed, deaths = F.col("total_confirmed"), F.col("total_deaths")
     return (
         series_metrics(aligned, US_SERIES_KEY, METRICS)
@@ -33,7 +33,7 @@ def _finish(aligned: DataFrame, last_day: Column, now: Column | None) -> DataFra
     )
 
 
-def us_series(confirmed: DataFrame, deaths: DataFrame, now: Column | None = None) -> DataFrame:
+def us_series(confirmed: DataFrame, deaths: DataFrame, now: Instant = None) -> DataFrame:
     """County series from the wide confirmed and deaths frames (deaths carry the population).
 
     The frames meet as one row per county; long rows appear only after the last exchange.
@@ -66,7 +66,7 @@ def us_series_from_long(
     confirmed: DataFrame,
     deaths: DataFrame,
     population: DataFrame,
-    now: Column | None = None,
+    now: Instant = None,
     one_row_per_day: bool = False,
 ) -> DataFrame:
     """The same from long frames ``(dt, *place, total_<metric>)`` and a population table.
@@ -88,7 +88,7 @@ def us_series_from_long(
     return _finish(located, days.agg(F.max("dt")).scalar(), now)
 
 
-def us_current(confirmed: DataFrame, deaths: DataFrame, now: Column | None = None) -> DataFrame:
+def us_current(confirmed: DataFrame, deaths: DataFrame, now: Instant = None) -> DataFrame:
     """The latest day of ``us_series``, computed from as many date columns as it needs.
 
     The longest average looks at 28 rows and the first of their changes at one more. When

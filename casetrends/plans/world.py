@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casetrends.functions.dates import column_day, date_columns
 from casetrends.functions.rates import RATE_DIGITS, implied_population, per_person, safe_ratio
-from casetrends.functions.stamps import local_stamp
+from casetrends.functions.stamps import Instant, local_stamp
 from casetrends.operators.align import align_wide, union_sources
 from casetrends.operators.project import null_columns
 from casetrends.operators.series import (
@@ -60,7 +60,7 @@ def global_series_daily(
     us: DataFrame,
     world: DataFrame,
     day: str = "report_dt",
-    now: Column | None = None,
+    now: Instant = None,
     collapse: bool = False,
 ) -> DataFrame:
     """Series of US states and of places outside the US, from the daily report tables.
@@ -121,7 +121,7 @@ def global_series_wide(
     deaths: DataFrame,
     recovered: DataFrame,
     coalesce_keys: bool = True,
-    now: Column | None = None,
+    now: Instant = None,
 ) -> DataFrame:
     """Three-metric series from the wide frames. They hold no population, so no incident rate.
 
@@ -163,7 +163,7 @@ def global_series_basic(
     deaths: DataFrame,
     recovered: DataFrame,
     coalesce_keys: bool = True,
-    now: Column | None = None,
+    now: Instant = None,
 ) -> DataFrame:
     """The older shape: totals, new counts and the stamp, without averages."""
     aligned = _aligned_world(confirmed, deaths, recovered, coalesce_keys)

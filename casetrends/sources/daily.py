@@ -12,7 +12,7 @@ from casetrends.functions.dates import DAILY_FILE_FORMAT, Day, as_day
 from casetrends.operators.align import union_drifted
 from casetrends.operators.project import reject_unknown_columns, standardize_report
 from casetrends.schemas import ReportLayout
-from casetrends.sources.files import by_header, clean_header, list_files, read_headers, read_text_csv
+from casetrends.sources.files import by_header, list_files, read_headers, read_text_csv
 
 # A report is a file, or a folder of part files, named MM-DD-YYYY.csv.
 REPORT_NAME = re.compile(r"(\d{2}-\d{2}-\d{4})\.csv(?:/|$)")
@@ -53,12 +53,11 @@ def read_daily(
     headers = read_headers(spark, list(list_reports(spark, base, days)))
     if not headers:
         raise FileNotFoundError(f"no daily report below {base}")
-    reject_unknown_columns({p: clean_header(h) for p, h in headers.items()}, layout)
+    reject_unknown_columns(headers, layout)
     day = F.to_date(F.regexp_extract("_metadata.file_path", REPORT_NAME_SQL, 1), "MM-dd-yyyy")
     frames = []
     for header, paths in by_header(headers).items():
         raw = read_text_csv(spark, paths, header).withColumn(day_column, day)
-        raw = raw.toDF(*clean_header(header), day_column)
         frames.append(standardize_report(raw, layout, mode, keep=(day_column,)))
     return union_drifted(*frames)
 
@@ -75,7 +74,7 @@ def discover_columns(
     reports = {p: d for p, d in list_reports(spark, base).items() if first <= d <= last}
     headers = read_headers(spark, list(reports))
     listed = spark.createDataFrame(
-        [(reports[p], list(clean_header(h))) for p, h in headers.items()],
+        [(reports[p], list(h)) for p, h in headers.items()],
         "day date, header array<string>",
     )
     return (

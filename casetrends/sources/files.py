@@ -58,21 +58,17 @@ def _first_line(spark: SparkSession, path: str) -> str | None:
 def read_headers(spark: SparkSession, paths: list[str], sep: str = ",") -> dict[str, Header]:
     """``{path: header}``, reading only the head of each file; empty files are left out.
 
-    The names are raw: a byte order mark stays on the first one (see ``clean_header``).
+    A byte order mark is not part of the first name, as in the reader's own view of the file.
     """
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         lines = list(pool.map(lambda p: _first_line(spark, p), paths))
     return {
-        path: tuple(next(csv.reader([line], delimiter=sep)))
+        path: tuple(next(csv.reader([line.removeprefix(BOM)], delimiter=sep)))
         for path, line in zip(paths, lines)
         if line
     }
 
 
-def clean_header(header: Header) -> Header:
-    return tuple(name.removeprefix(BOM) for name in header)
-
-
 def by_header(headers: dict[str, Header]) -> dict[Header, list[str]]:
     """Files that share a header, to be read by one scan each."""
     groups: dict[Header, list[str]] = {}

@@ -10,7 +10,7 @@ from casetrends.functions.casts import typed_sql
 from casetrends.functions.dates import column_day, date_columns, date_header
 from casetrends.operators.align import union_drifted
 from casetrends.operators.project import quoted
-from casetrends.sources.files import by_header, clean_header, list_files, read_headers, read_text_csv
+from casetrends.sources.files import by_header, list_files, read_headers, read_text_csv
 
 COUNTS = ("digits", "text")
 
@@ -41,7 +41,7 @@ def read_wide(
     for header, paths in by_header(headers).items():
         if len(header) < len(ids):
             raise ValueError(f"{paths[0]}: {len(header)} columns, at least {len(ids)} expected")
-        dates = [date_header(h) for h in clean_header(header)[len(ids) :]]
+        dates = [date_header(h) for h in header[len(ids) :]]
         if len(set(dates)) < len(dates):
             raise ValueError(f"{paths[0]}: a date occurs twice in the header")
         raw = read_text_csv(

@@ -21,11 +21,16 @@ def text_schema(columns: tuple[str, ...] = US_SERIES_COLUMNS) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def _decoded(uri: str) -> Column:
+    """A file name out of its URI, where a plus sign is not a blank."""
+    return F.url_decode(F.replace(F.col(uri), F.lit("+"), F.lit("%2B")))
+
+
 def _target_and_version(in_dir: str, name_from: str) -> tuple[Column, Column]:
     """The published name of a row's file, and what tells two uploads of a name apart."""
-    path, written = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    path, written = _decoded("_metadata.file_path"), F.col("_metadata.file_modification_time")
     if name_from == "file":
-        return strip_suffix(F.col("_metadata.file_name"), SUFFIX), F.struct(written, path)
+        return strip_suffix(_decoded("_metadata.file_name"), SUFFIX), F.struct(written, path)
     # <in_dir>/<name>/<run>/part-*.csv, or name=<name>/run=<run>: the greatest run is the newest.
     inside = re.escape(in_dir.rstrip("/").split(":")[-1].lstrip("/"))
     name = F.regexp_extract(path, inside + r"/(?:[^/=]+=)?([^/]+)/[^/]+/[^/]+$", 1)
