@@ -177,23 +177,21 @@ def nation_name() -> Column:
 def global_wide(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     """Nation wide frame. Recovered cases of ASIA are known for the country only."""
     counts = _counts_to_date(table(spark, sf, "events"), ["user_id"], metric)
-    placed = (
+    name, spot = "nullif(n_name, 'NATION_0')", "CAST(n_nationkey AS double)"
+    if metric == "recovered":
+        name, spot = (f"CASE WHEN r_name <> 'ASIA' THEN {v} END" for v in (name, spot))
+    return (
         counts.join(table(spark, sf, "customer"), F.col("user_id") == F.col("c_custkey"))
-        .groupBy("c_nationkey")
-        .agg(*[F.sum(c).alias(c) for c in DAY_COLUMNS])
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .groupBy(
+            F.expr(f"{name} AS province_state"),
+            F.col("r_name").alias("country_region"),
+            F.expr(f"{spot} AS latitude"),
+            F.expr("CAST(r_regionkey AS double) AS longitude"),
+        )
+        .agg(*[F.expr(f"sum({c}) AS {c}") for c in DAY_COLUMNS])
     )
-    name, spot = nation_name(), F.col("n_nationkey").cast("double")
-    if metric == "recovered":
-        name = F.when(F.col("r_name") != "ASIA", name)
-        spot = F.when(F.col("r_name") != "ASIA", spot)
-    return placed.groupBy(
-        name.alias("province_state"),
-        F.col("r_name").alias("country_region"),
-        spot.alias("latitude"),
-        F.col("r_regionkey").cast("double").alias("longitude"),
-    ).agg(*[F.sum(c).alias(c) for c in DAY_COLUMNS])
 
 
 def sql_global_wide(metric: str) -> str:

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import re
 
 import pytest
 from helpers import day, rows
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casetrends.plans import ingest_daily_reports
-from casetrends.operators import UnknownColumnsError
+from casetrends.operators import UnknownColumnsError, latest_snapshot
 from casetrends.schemas import GLOBAL_DAILY, GLOBAL_IDS, US_DAILY
 from casetrends.sources import (
     copy_table,
@@ -206,6 +207,14 @@ def test_partitioned_write_and_pruning(spark, database):
     assert "PartitionFilters: [isnotnull(dt" in text
 
 
+def test_snapshot_of_a_table_reads_one_partition(spark, database):
+    table = write_partitioned(days(spark, (1, 10), (2, 20), (3, 30)), f"{database}.snapshot")
+    newest = latest_snapshot(table)
+    assert rows(newest.select("v")) == [(30,)]
+    text = newest._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(dt#\d+\), \(dt#\d+ = Subquery", text)
+
+
 def test_modes_load_and_copy(spark, database):
     name = f"{database}.loaded"
     texts = spark.createDataFrame([("1", "2.5", "x")], "a string, b string, c string")
