@@ -1,4 +1,5 @@
 from casetrends.plans.ingest import ingest_daily_reports
+from casetrends.plans.jobs import run_daily_reports, run_global, run_us
 from casetrends.plans.us import state_rollup, us_current, us_series, us_series_from_long
 from casetrends.plans.world import (
     global_series_basic,
@@ -11,6 +12,9 @@ __all__ = [
     "global_series_daily",
     "global_series_wide",
     "ingest_daily_reports",
+    "run_daily_reports",
+    "run_global",
+    "run_us",
     "state_rollup",
     "us_current",
     "us_series",

@@ -48,9 +48,12 @@ def load(
 def materialize(
     df: DataFrame, table: str, mode: str = "overwrite", partition_by: str | None = None
 ) -> DataFrame:
-    """Run a query into a table and return the table."""
+    """Run a query into a table and return the table in the query's column order.
+
+    The catalog itself lists a partition column last.
+    """
     _writer(df, mode, partition_by).saveAsTable(table)
-    return df.sparkSession.table(table)
+    return df.sparkSession.table(table).select(*[F.col(quoted(c)) for c in df.columns])
 
 
 def write_partitioned(

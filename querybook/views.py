@@ -106,18 +106,23 @@ places AS (
 )"""
 
 
-def _counts_to_date(df: DataFrame, keys: list[str], metric: str) -> DataFrame:
+def _counts_to_date(df: DataFrame, metric: str) -> DataFrame:
+    """One row per user with a running count for each date column.
+
+    Counted per user and day first: a user with very many events then brings one thin row per
+    day to the second grouping, which needs no partial sums for its many columns.
+    """
     kinds, least = EVENTS_OF[metric]
+    per_day = (
+        df.filter(F.col("event_type").isin(*kinds) & (F.col("value") >= least))
+        .groupBy("user_id", F.expr("CAST(ts AS date) AS day"))
+        .agg(F.count("*").alias("n"))
+    )
     sums = [
-        F.expr(f"sum(CASE WHEN day <= DATE '{d}' THEN 1 END) AS {c}")
+        F.expr(f"sum(CASE WHEN day <= DATE '{d}' THEN n END) AS {c}")
         for d, c in zip(DAYS, DAY_COLUMNS)
     ]
-    return (
-        df.filter(F.col("event_type").isin(*kinds) & (F.col("value") >= least))
-        .select(*keys, F.col("ts").cast("date").alias("day"))
-        .groupBy(*keys)
-        .agg(*sums)
-    )
+    return per_day.repartition("user_id").groupBy("user_id").agg(*sums)
 
 
 def _sql_counts_to_date(metric: str, source: str, keys: str) -> str:
@@ -136,7 +141,7 @@ def _sql_counts_to_date(metric: str, source: str, keys: str) -> str:
 
 def us_wide(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     """County wide frame: running event counts; NULL before a county's first event."""
-    counts = _counts_to_date(table(spark, sf, "events"), ["user_id"], metric)
+    counts = _counts_to_date(table(spark, sf, "events"), metric)
     located = counts.join(places(spark, sf), F.col("user_id") == F.col("place_id"))
     extra = ["population"] if metric == "deaths" else []
     return located.select(
@@ -176,7 +181,7 @@ def nation_name() -> Column:
 
 def global_wide(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     """Nation wide frame. Recovered cases of ASIA are known for the country only."""
-    counts = _counts_to_date(table(spark, sf, "events"), ["user_id"], metric)
+    counts = _counts_to_date(table(spark, sf, "events"), metric)
     name, spot = "nullif(n_name, 'NATION_0')", "CAST(n_nationkey AS double)"
     if metric == "recovered":
         name, spot = (f"CASE WHEN r_name <> 'ASIA' THEN {v} END" for v in (name, spot))
