@@ -141,6 +141,7 @@ def align_wide(
     null_tolerant: Sequence[str] = (),
     coalesce_keys: bool = True,
     attributes: DataFrame | None = None,
+    carry: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Unpivot metrics and join them on ``(dt, *on)``, for ``{metric: wide frame}``.
 
@@ -151,13 +152,17 @@ def align_wide(
     rows come out already partitioned by ``on``, so that windows over it need no exchange.
     Frames with different dates are unpivoted first.
 
-    ``attributes`` is left-joined on ``on`` and adds its other columns.
+    ``attributes`` is left-joined on ``on`` and adds its other columns. ``carry`` takes columns
+    from the rows of one metric's frame instead, NULL where it has none; that needs equal dates.
     """
     axes = {metric: date_columns(df.columns) for metric, df in frames.items()}
     place = [*on, *[c for c in describe if c not in on]]
     totals = [f"total_{metric}" for metric in frames]
     added = [] if attributes is None else [c for c in attributes.columns if c not in on]
     axis = next(iter(axes.values()))
+    carry = carry or {}
+    if any(other != axis for other in axes.values()) and carry:
+        raise ValueError("carry needs frames with the same dates")
     if any(other != axis for other in axes.values()):
         aligned = full_align(
             [unpivot_wide(df, place, metric) for metric, df in frames.items()],
@@ -175,17 +180,21 @@ def align_wide(
         df.select(
             *[F.col(quoted(c)).alias(_sided(c, i)) for c in place],
             F.array(*axis).alias(_sided("values", i)),
+            *carry.get(metric, ()),
         )
-        for i, df in enumerate(frames.values())
+        for i, (metric, df) in enumerate(frames.items())
     ]
+    carried = [c for columns in carry.values() for c in columns]
     joined = _outer_chain(sides, on, null_tolerant, coalesce_keys)
     blank = F.expr(f"array_repeat(CAST(NULL AS bigint), {len(axis)})")
     located = joined.select(
         *[_merged(c, len(frames)) for c in place],
         *[F.coalesce(_sided("values", i), blank).alias(t) for i, t in enumerate(totals)],
+        *carried,
     ).repartition(*[F.col(quoted(c)) for c in on])
     if attributes is not None:
         located = enrich(located, attributes, on, added)
+    added += carried
     days = day_literals([column_day(c) for c in axis])
     long = located.select(
         *place, *added, F.inline(F.arrays_zip(days.alias("dt"), *[F.col(t) for t in totals]))

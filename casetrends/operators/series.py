@@ -78,22 +78,42 @@ def series_metrics(
     metrics: Sequence[str],
     order: str = "dt",
     rows: Sequence[int] = AVG_ROWS,
+    filled: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Daily new counts and trailing averages of every metric.
 
     All windows share one specification, so the plan has one exchange and one sort. A group
     is one series: with one row per key and day it is bounded by the number of days, however
     many rows the table has. ``collapse_days`` makes that so for a table that repeats days.
+
+    ``filled`` says that no total is NULL. The new counts of a frame then add up to the
+    difference of two totals, and an average costs one look back instead of a pass over its
+    frame. ``unique`` fails the job when a key has a day twice.
     """
     window = series_window(keys, order)
     totals = {m: F.col(f"total_{m}") for m in metrics}
-    changed = df.withColumns(
-        {f"daily_new_{m}": first_row_fallback(delta(t, window), t) for m, t in totals.items()}
-    )
-    return changed.withColumns(
-        {
-            f"daily_new_{m}_{n}d_ma": rolling_mean(F.col(f"daily_new_{m}"), window, n)
-            for n in rows
-            for m in metrics
+    new = {f"daily_new_{m}": first_row_fallback(delta(t, window), t) for m, t in totals.items()}
+    means = [(m, n, f"daily_new_{m}_{n}d_ma") for n in rows for m in metrics]
+    if filled:
+        seen = F.row_number().over(window)
+        new |= {
+            name: F.round(
+                first_row_fallback(totals[m] - F.lag(totals[m], n).over(window), totals[m])
+                / F.least(seen, F.lit(n)),
+                AVG_DIGITS,
+            )
+            for m, n, name in means
         }
+    if unique:
+        new["repeated__"] = F.col(order) == F.lag(order).over(window)
+    changed = df.withColumns(new)
+    if unique:
+        complaint = F.raise_error(F.lit(f"{list(keys)}: a day occurs twice")).cast("boolean")
+        changed = changed.filter(F.when(F.col("repeated__"), complaint).otherwise(True))
+        changed = changed.drop("repeated__")
+    if filled:
+        return changed
+    return changed.withColumns(
+        {name: rolling_mean(F.col(f"daily_new_{m}"), window, n) for m, n, name in means}
     )

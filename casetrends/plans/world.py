@@ -137,7 +137,7 @@ def global_series_wide(
     else:
         last_day = aligned.agg(F.max("dt")).scalar()
     return (
-        series_metrics(aligned, GLOBAL_SERIES_KEY, WIDE_METRICS)
+        series_metrics(aligned, GLOBAL_SERIES_KEY, WIDE_METRICS, filled=True)
         .withColumns(
             {
                 "case_fatality_rate": safe_ratio(F.col("total_deaths"), F.col("total_confirmed")),

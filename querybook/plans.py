@@ -118,6 +118,12 @@ def q1(spark, sf):
     return series.drop("last_updated_ts")
 
 
+@query("Q1_us_series_one_row_per_place", SQL_US_WIDE + "SELECT * FROM us_series")
+def q1_unique(spark, sf):
+    wides = us_wide(spark, sf, "confirmed"), us_wide(spark, sf, "deaths")
+    return us_series(*wides, one_row_per_place=True).drop("last_updated_ts")
+
+
 SQL_US_LONG = with_ctes(
     SQL_ORDER_DAYS,
     SQL_PLACES,
@@ -155,6 +161,15 @@ def q2(spark, sf):
     return current.drop("last_updated_ts")
 
 
+@query(
+    "Q2_us_current_one_row_per_place",
+    SQL_US_WIDE + "SELECT * FROM us_series WHERE dt = last_updated_dt",
+)
+def q2_unique(spark, sf):
+    wides = us_wide(spark, sf, "confirmed"), us_wide(spark, sf, "deaths")
+    return us_current(*wides, one_row_per_place=True).drop("last_updated_ts")
+
+
 WORLD = ("confirmed", "deaths", "recovered", "active")
 WORLD_KEY = "province_state, country_region"
 

@@ -105,6 +105,26 @@ def test_snapshot_of_a_long_series_reads_only_what_it_needs(spark, folder):
     assert read <= {day_column(day(i)) for i in range(32, 61)}
 
 
+@pytest.mark.parametrize("size", [1, 2, 7, 8, 28, 29, 40])
+def test_snapshot_from_columns_is_the_snapshot(spark, size):
+    totals = [(i * 37 + 11) % 101 + i for i in range(size)]
+    confirmed = us(spark, {"a": (totals, None), "b": ([None, *totals[1:]], None)})
+    deaths = us(spark, {"a": (totals[::-1], 7), "c": (totals, 0)}, population=True)
+    want = us_series(confirmed, deaths, NOW).filter(F.col("dt") == F.col("last_updated_dt"))
+    for unique in (False, True):
+        got = us_current(confirmed, deaths, NOW, one_row_per_place=unique)
+        assert rows(got, "county") == rows(want, "county")
+
+
+def test_one_row_per_place(spark, counties):
+    got = us_series(*counties, NOW, one_row_per_place=True)
+    assert rows(got, "combined_key", "dt") == rows(us_series(*counties, NOW), "combined_key", "dt")
+    confirmed, deaths = counties
+    for plan_of in (us_series, us_current):
+        with pytest.raises(Exception, match="occurs twice"):
+            plan_of(confirmed, deaths.union(deaths), NOW, one_row_per_place=True).collect()
+
+
 def test_key_without_the_last_day_is_not_in_the_snapshot(spark):
     df = spark.createDataFrame([("x", day(1)), ("x", day(2)), ("y", day(1))], "k string, dt date")
     assert rows(latest_snapshot(df)) == [("x", day(2))]

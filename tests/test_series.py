@@ -1,3 +1,6 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from helpers import day, exchanges, rows
 
@@ -74,6 +77,23 @@ def test_new_counts_add_up_to_the_last_total(spark):
     assert rows(got, "combined_key") == [("x", 20, 20), ("y", 2, 2)]
 
 
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(0, 10**6), min_size=1, max_size=45))
+def test_averages_by_difference_are_the_averages(spark, values):
+    df = totals(spark, values)
+    slow = series_metrics(df, ["combined_key"], ["confirmed"])
+    fast = series_metrics(df, ["combined_key"], ["confirmed"], filled=True)
+    assert rows(fast.select(slow.columns), "dt") == rows(slow, "dt")
+
+
+def test_repeated_day_is_refused(spark):
+    df = totals(spark, [1, 2]).union(totals(spark, [5]))
+    with pytest.raises(Exception, match="a day occurs twice"):
+        series_metrics(df, ["combined_key"], ["confirmed"], unique=True).collect()
+    kept = series_metrics(totals(spark, [1, 2]), ["combined_key"], ["confirmed"], unique=True)
+    assert kept.count() == 2 and "repeated__" not in kept.columns
+
+
 def test_all_windows_share_one_exchange(spark):
     df = series_metrics(totals(spark, [1, 2, 3]), ["combined_key"], ["confirmed"])
     assert exchanges(df) == ["hashpartitioning"]
