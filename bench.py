@@ -19,9 +19,11 @@ from querybook import QUERIES  # noqa: E402
 
 HEADLINE = (
     "Q1_us_series",
+    "Q1_us_series_one_row_per_place",
     "Q1_us_series_from_long",
     "Q1_us_series_from_long_stacked",
     "Q2_us_current",
+    "Q2_us_current_one_row_per_place",
     "Q3_global_series_daily",
     "Q4_global_series_wide",
     "Q5_global_series_basic",

@@ -79,12 +79,16 @@ def us_series_from_long(
     population: DataFrame,
     now: Instant = None,
     one_row_per_day: bool = False,
+    over: DataFrame | None = None,
 ) -> DataFrame:
     """The same from long frames ``(dt, *place, total_<metric>)`` and a population table.
 
     ``one_row_per_day`` says that neither frame repeats a county and day. They are then stacked
     and grouped on the partitioning that the windows use, one exchange in place of three, and
     a repeated row fails the job. Without it the frames are joined, repeats included.
+
+    The newest day is looked up in both frames, or in ``over``, a cheaper frame with the same
+    last ``dt``, which pays when the long frames are themselves costly to compute.
     """
     keys = ["dt", *US_SERIES_KEY]
     describe = [c for c in US_PLACE if c not in US_SERIES_KEY]
@@ -95,7 +99,7 @@ def us_series_from_long(
     else:
         aligned = full_align([confirmed, deaths], on=keys, describe=describe)
     located = enrich(aligned, population, US_SERIES_KEY, ["population"])
-    days = confirmed.select("dt").union(deaths.select("dt"))
+    days = confirmed.select("dt").union(deaths.select("dt")) if over is None else over
     series = series_metrics(located, US_SERIES_KEY, METRICS, filled=True)
     return _finish(series, days.agg(F.max("dt")).scalar(), now)
 

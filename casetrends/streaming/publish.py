@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from casetrends.functions.names import strip_suffix
 from casetrends.operators.project import quoted
 from casetrends.schemas import US_SERIES_COLUMNS
+from casetrends.sources.tables import spread
 
 SUFFIX = ".csv"
 NAME_FROM = ("file", "folder")
@@ -91,7 +92,8 @@ def publish_stream(
         newest = uploads.groupBy("target").agg(F.max("version").alias("version"))
         kept = batch.join(newest, ["target", "version"], "left_semi").drop("version", "file_path")
         (
-            kept.write.mode("overwrite")
+            spread(kept, "target")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("target")
             .parquet(out_dir)

@@ -32,6 +32,7 @@ from querybook.views import (
     sql_unpivot,
     sql_us_long,
     sql_us_wide,
+    table,
     us_long,
     us_reports,
     us_wide,
@@ -136,11 +137,14 @@ SQL_US_LONG = with_ctes(
 
 
 def _from_long(spark, sf, one_row_per_day):
+    # Every order counts as confirmed, so the last order has the last day.
+    days = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("dt"))
     series = us_series_from_long(
         us_long(spark, sf, "confirmed"),
         us_long(spark, sf, "deaths"),
         places(spark, sf),
         one_row_per_day=one_row_per_day,
+        over=days,
     )
     return series.drop("last_updated_ts")
 

@@ -1,8 +1,10 @@
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from helpers import day, exchanges, rows
+from helpers import day, exchanges, plan, rows
 
 from casetrends.operators import (
     daily_delta,
@@ -99,6 +101,11 @@ def test_all_windows_share_one_exchange(spark):
     assert exchanges(df) == ["hashpartitioning"]
 
 
+def test_filled_series_need_one_window_operator(spark):
+    df = series_metrics(totals(spark, [1, 2, 3]), ["combined_key"], ["confirmed"], filled=True, unique=True)
+    assert len(re.findall(r"\+- Window \[", plan(df))) == 1
+
+
 def test_global_max_is_no_single_partition_window(spark):
     df = with_global_max(totals(spark, [1, 2, 3]))
     assert {r.last_updated_dt for r in df.collect()} == {day(3)}
