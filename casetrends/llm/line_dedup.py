@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetrends.llm.common import WHITE, col, lower_ascii, row_key, text_of, unused
+from casetrends.llm.common import WHITE, col, cut, lower_ascii, row_key, text_of, unused
 
 
 def line_key(line: Column) -> Column:
@@ -32,14 +32,15 @@ def dropped_lines(
             F.xxhash64(F.lit(1), "key").alias("h2"),
         )
     )
-    shared = (
+    # A line in a third of all documents makes one large key on the left of the join below. With
+    # the shared lines stored, both of its sides are plain shuffles, and adaptive execution splits
+    # that key; the right side has one row for it.
+    shared = cut(
         lines.groupBy("h1", "h2")
         .agg(F.countDistinct("id").alias("n"), F.min("id").alias("owner"))
         .where(F.col("n") >= min_docs)
         .drop("n")
     )
-    # A line in a third of all documents makes one large key on the left of this join, which
-    # adaptive execution splits; the right side has one row for it.
     return (
         lines.join(shared, ["h1", "h2"])
         .where(F.col("id") != F.col("owner"))
