@@ -134,6 +134,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
                 .select("lang", "gram", "context", "left",
                         (own + F.col("left") * F.col("q")).alias("p"))
             )
+        made = cut(made)
         rest = made.select("lang", "gram", "p")
         out.append(made.select("lang", F.lit(size).alias("size"), "gram", "p"))
         # Kept at the context, which is a gram of the size below.
@@ -282,7 +283,7 @@ def fit_models(
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not langs:
         return None
-    probabilities = cut(kneser_ney(counts))
+    probabilities = kneser_ney(counts)
     models = collect_models(probabilities, langs, max_mb)
     complete(models, probabilities)
     models.limits = np.full(len(langs), np.inf)
@@ -295,7 +296,11 @@ def fit_models(
         return pd.Series([made.entropies([t])[0] if t else None for t in plain])
 
     place = F.array_position(F.array(*[F.lit(lang) for lang in langs]), col(lang_col))
-    sample = train.where(col(lang_col).isNotNull()).limit(calibration_rows)
+    # Stored, so that the limit holds before texts are scored, not after.
+    sample = cut(
+        train.where(col(lang_col).isNotNull())
+        .select(col(lang_col), col(text_col)).limit(calibration_rows)
+    )
     own = sample.select(
         place.cast("int").alias("k"), F.element_at(entropies(col(text_col)), place.cast("int"))
         .alias("h"),
