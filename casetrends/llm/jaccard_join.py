@@ -241,6 +241,25 @@ def _groups(members: DataFrame, group: str) -> DataFrame:
     )
 
 
+def _named(nodes: DataFrame) -> DataFrame:
+    """``group, size, rec``: nodes of the same texts are one group."""
+    return nodes.select(
+        F.xxhash64("size", "f1", "f2").alias("group"), "size", "rec"
+    ).distinct()
+
+
+def _led_blocks(members: DataFrame) -> DataFrame:
+    """``part, side, whole, rec``: large groups by blocks, each with the group's least text."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = members.select("group", F.pmod(F.xxhash64("rec"), blocks).cast("int").alias("b"), "rec")
+    leaders = members.groupBy("group").agg(F.min("rec").alias("rec"), F.first("size").alias("size"))
+    led = leaders.select("group", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b"), "rec")
+    return own.unionByName(led).distinct().select(
+        F.xxhash64("group", "b").alias("part"), F.lit(0).alias("side"), F.lit(True).alias("whole"),
+        "rec",
+    )
+
+
 def _compare(parts: DataFrame, sets: DataFrame, threshold: float, count: bool) -> DataFrame:
     """Links inside each part: with ``count`` the number for each text, else a spanning forest."""
 
@@ -343,34 +362,42 @@ def similar_texts(
     first = cut(keyed.groupBy("rec").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n_copies")))
     texts = keyed.select("rec", "text")
 
-    level = cut(_nodes(texts, width, threshold, runs).distinct())
-    sized = _counted(level)
-    met = cut(level.join(sized, "node"))
-    wanted = met.select("rec").distinct()
-    # Equal texts are equal rows here; one of each is kept.
-    sets = cut(
-        _sets(texts.join(wanted, "rec", "left_semi"), width).groupBy("rec").agg(
-            F.first("tokens").alias("tokens")
-        )
-    )
+    # Counted and joined through one shuffle, which holds the nodes as long as both need them.
+    level = _nodes(texts, width, threshold, runs).distinct()
+    met = cut(level.join(_counted(level), "node"))
+    # Equal texts are equal rows here; one of each is kept where the join has put it.
+    wanted = texts.join(met.select("rec").distinct(), "rec", "left_semi")
+    sets = cut(_sets(wanted.groupBy("rec").agg(F.first("text").alias("text")), width))
     leaves = [met.where(F.col("size") <= SMALL)]
     crowded = met.where(F.col("size") > SMALL)
-    for depth in range(2, DEPTH + 1):
+    for _ in range(2, DEPTH + 1):
         if crowded.isEmpty():
             break
         below = cut(_descend(crowded.join(sets, "rec"), threshold).select("node", "rec").distinct())
         met_below = cut(below.join(_counted(below), "node"))
         leaves.append(met_below.where(F.col("size") <= SMALL))
         crowded = met_below.where(F.col("size") > SMALL)
-    leaves.append(crowded)
-    found = leaves[0]
+    small = leaves[0]
     for part in leaves[1:]:
-        found = found.unionByName(part)
-    # Nodes of the same texts are compared once.
-    named = found.withColumn("group", F.xxhash64("size", "f1", "f2"))
-    groups = named.select("group", "size", "rec").distinct()
-    edges = cut(_compare(_groups(groups, "group"), sets, threshold, count=False))
-    roots = cut(components(edges))
+        small = small.unionByName(part)
+    parts = _groups(_named(small), "group")
+    dense = None if crowded.isEmpty() else cut(_named(crowded))
+    if dense is not None:
+        parts = parts.unionByName(_led_blocks(dense))
+    edges = cut(_compare(parts, sets, threshold, count=False))
+    roots = components(edges)
+    if dense is not None:
+        # A large group that is one component by now can connect nothing more; others are
+        # compared whole.
+        rooted = dense.join(roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
+        apart = rooted.groupBy("group").agg(
+            F.min("root").alias("low"), F.max("root").alias("high")
+        ).where("low != high").select("group")
+        more = cut(
+            _compare(_groups(dense.join(apart, "group"), "group"), sets, threshold, count=False)
+        )
+        if not more.isEmpty():
+            roots = components(edges.unionByName(more))
 
     members = roots.join(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "root")
     numbered = members.withColumn("group", F.xxhash64("root"))
