@@ -248,10 +248,20 @@ def _named(nodes: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _apart(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``group``: those whose texts are not all in one component."""
+    rooted = nodes.select("group", "rec").join(roots, "rec", "left")
+    root = F.coalesce("root", "rec")
+    ends = rooted.groupBy("group").agg(F.min(root).alias("low"), F.max(root).alias("high"))
+    return ends.where("low != high").select("group")
+
+
 def _led_blocks(members: DataFrame) -> DataFrame:
     """``part, side, whole, rec``: large groups by blocks, each with the group's least text."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = members.select("group", F.pmod(F.xxhash64("rec"), blocks).cast("int").alias("b"), "rec")
+    # Another deal in each group, so that texts of one group in several meet others in each.
+    dealt = F.pmod(F.xxhash64("rec", "group"), blocks).cast("int")
+    own = members.select("group", dealt.alias("b"), "rec")
     leaders = members.groupBy("group").agg(F.min("rec").alias("rec"), F.first("size").alias("size"))
     led = leaders.select("group", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b"), "rec")
     return own.unionByName(led).distinct().select(
@@ -368,36 +378,31 @@ def similar_texts(
     # Equal texts are equal rows here; one of each is kept where the join has put it.
     wanted = texts.join(met.select("rec").distinct(), "rec", "left_semi")
     sets = cut(_sets(wanted.groupBy("rec").agg(F.first("text").alias("text")), width))
-    leaves = [met.where(F.col("size") <= SMALL)]
-    crowded = met.where(F.col("size") > SMALL)
+    crowded = met.where(F.col("size") > SMALL).withColumn("group", F.xxhash64("size", "f1", "f2"))
+    parts = _groups(_named(met.where(F.col("size") <= SMALL)), "group")
+    if not crowded.isEmpty():
+        parts = parts.unionByName(_led_blocks(_named(crowded)))
+    edges = cut(_compare(parts, sets, threshold, count=False))
+    roots = components(edges)
+    leaves = []
     for _ in range(2, DEPTH + 1):
+        # A large node that is one component by now can connect nothing more.
+        crowded = cut(crowded.join(_apart(crowded, roots), "group", "left_semi"))
         if crowded.isEmpty():
             break
         below = cut(_descend(crowded.join(sets, "rec"), threshold).select("node", "rec").distinct())
-        met_below = cut(below.join(_counted(below), "node"))
-        leaves.append(met_below.where(F.col("size") <= SMALL))
-        crowded = met_below.where(F.col("size") > SMALL)
-    small = leaves[0]
-    for part in leaves[1:]:
-        small = small.unionByName(part)
-    parts = _groups(_named(small), "group")
-    dense = None if crowded.isEmpty() else cut(_named(crowded))
-    if dense is not None:
-        parts = parts.unionByName(_led_blocks(dense))
-    edges = cut(_compare(parts, sets, threshold, count=False))
-    roots = components(edges)
-    if dense is not None:
-        # A large group that is one component by now can connect nothing more; others are
-        # compared whole.
-        rooted = dense.join(roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
-        apart = rooted.groupBy("group").agg(
-            F.min("root").alias("low"), F.max("root").alias("high")
-        ).where("low != high").select("group")
-        more = cut(
-            _compare(_groups(dense.join(apart, "group"), "group"), sets, threshold, count=False)
-        )
-        if not more.isEmpty():
-            roots = components(edges.unionByName(more))
+        met = cut(below.join(_counted(below), "node"))
+        leaves.append(met.where(F.col("size") <= SMALL))
+        crowded = met.where(F.col("size") > SMALL).withColumn("group", F.xxhash64("size", "f1", "f2"))
+    if leaves:
+        small = leaves[0]
+        for leaf in leaves[1:]:
+            small = small.unionByName(leaf)
+        # What is still large and apart is compared whole, in pairs of blocks.
+        rest = crowded.join(_apart(crowded, roots), "group", "left_semi")
+        parts = _groups(_named(small).unionByName(_named(rest)).distinct(), "group")
+        edges = edges.unionByName(cut(_compare(parts, sets, threshold, count=False)))
+        roots = components(edges)
 
     members = roots.join(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "root")
     numbered = members.withColumn("group", F.xxhash64("root"))
