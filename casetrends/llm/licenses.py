@@ -91,9 +91,19 @@ def pairs(words: Column) -> Column:
             lambda i: F.xxhash64(F.element_at(words, i), F.element_at(words, i + 1)),
         )
     )
-    return F.transform(
-        plain, lambda x, i: F.xxhash64(x, i - F.array_position(plain, x).cast("int"))
-    )
+
+    def numbered(found: Column) -> Column:
+        return F.when(F.size(F.array_distinct(found)) == F.size(found), found).otherwise(
+            F.transform(
+                found,
+                lambda x, i: F.when(i == F.array_position(found, x) - 1, x).otherwise(
+                    F.xxhash64(x, i - F.array_position(found, x).cast("int"))
+                ),
+            )
+        )
+
+    # The array is a variable of the outer function, so that it is made once.
+    return F.element_at(F.transform(F.array(plain), numbered), 1)
 
 
 def template_pairs(
@@ -108,9 +118,13 @@ def template_pairs(
     n = F.size("words") - 1
     low = F.ceil(n * threshold / (2 - threshold) - 1e-9).cast("int")
     high = F.floor(n * (2 - threshold) / threshold + 1e-9).cast("int")
-    return words.where(n > 0).select(
-        F.explode(F.sequence(low, high)).alias("size"),
+    made = words.where(n > 0).select(
         "license", "template", n.alias("t_size"), pairs(F.col("words")).alias("t_pairs"),
+        low.alias("low"), high.alias("high"),
+    )
+    return made.select(
+        F.explode(F.sequence("low", "high")).alias("size"),
+        "license", "template", "t_size", "t_pairs",
     )
 
 
@@ -144,8 +158,16 @@ def scan_licenses(
         F.posexplode(F.concat(own, units)).alias("unit", "part"),
     ).select("id", "k1", "k2", "unit", word_array(F.col("part")).alias("words"))
     # A few templates times a few hundred sizes, whatever the documents are.
-    tried = parts.withColumn("size", F.size("words") - 1).join(F.broadcast(sizes), "size", "left")
-    shared = F.size(F.array_intersect(pairs(F.col("words")), F.col("t_pairs")))
+    sized = parts.withColumn("size", F.size("words") - 1)
+    known = sizes.select("size").distinct().withColumn("able", F.lit(True))
+    able = (
+        sized.join(F.broadcast(known), "size", "left")
+        .where((F.col("unit") == 0) | F.col("able"))
+        .select("id", "k1", "k2", "unit", "size",
+                F.when(F.col("able"), pairs(F.col("words"))).alias("own"))
+    )
+    tried = able.join(F.broadcast(sizes), "size", "left")
+    shared = F.size(F.array_intersect("own", "t_pairs"))
     dice = F.when(
         F.col("template").isNotNull(), 2 * shared / (F.col("size") + F.col("t_size"))
     )
