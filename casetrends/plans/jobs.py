@@ -50,7 +50,7 @@ def run_us(
     series = write_partitioned(us_series(confirmed, deaths, now), f"{database}.us_series")
     newest = latest_snapshot(series, last=latest_partition(spark, f"{database}.us_series"))
     current = materialize(newest, f"{database}.us_current")
-    export_csv(current, extract_path)
+    export_csv(current, extract_path, files=1)  # one day is one file by contract
     return current
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 FORMATS = ("csv", "json", "parquet", "orc")
-SINGLE_FILE_ROWS = 50_000
 
 
 def export_csv(
@@ -14,17 +13,17 @@ def export_csv(
     sep: str = ",",
     header: bool = True,
     fmt: str = "csv",
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    files: int | None = None,
 ) -> None:
     """Write ``df`` to the folder ``path``.
 
-    A result of at most ``single_file_rows`` rows (looked up by reading that many, plus one)
-    becomes one file; a larger one keeps its partitions. 0 always keeps them.
+    ``files`` is the number of files, for results that are small by contract; None keeps the
+    partitions.
     """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}, not {fmt!r}")
-    if single_file_rows and df.limit(single_file_rows + 1).count() <= single_file_rows:
-        df = df.repartition(1)
+    if files is not None:
+        df = df.repartition(files)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("sep", sep).option("header", header).option("escape", '"')

@@ -59,13 +59,13 @@ def coalesce(spark, sf):
     "F3_ifnull",
     """SELECT c_custkey, IFNULL(fulfilled, 0) AS fulfilled FROM customer
        LEFT JOIN (SELECT o_custkey, COUNT(*) AS fulfilled FROM orders
-                  WHERE o_orderstatus = 'F' AND o_totalprice > 400000 GROUP BY o_custkey)
+                  WHERE o_orderstatus = 'F' GROUP BY o_custkey)
          ON c_custkey = o_custkey""",
 )
 def ifnull(spark, sf):
     fulfilled = (
         table(spark, sf, "orders")
-        .filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 400000))
+        .filter(F.col("o_orderstatus") == "F")
         .groupBy("o_custkey")
         .agg(F.count("*").alias("fulfilled"))
     )

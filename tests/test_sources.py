@@ -240,8 +240,8 @@ def test_copy_keeps_partitions(spark, database):
 
 def test_export(spark, folder):
     df = spark.range(100).repartition(4).withColumn("s", F.lit('a "b"; c'))
-    export_csv(df, f"{folder}/one", sep=";")
-    export_csv(df, f"{folder}/many", single_file_rows=99, header=False)
+    export_csv(df, f"{folder}/one", sep=";", files=1)
+    export_csv(df, f"{folder}/many", header=False)
     export_csv(df, f"{folder}/json", fmt="json")
     parts = {n: [f for f in os.listdir(f"{folder}/{n}") if f.startswith("part-")] for n in ("one", "many")}
     assert len(parts["one"]) == 1 and len(parts["many"]) == 4
