@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -248,12 +249,37 @@ def _named(nodes: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _apart(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """``group``: those whose texts are not all in one component."""
-    rooted = nodes.select("group", "rec").join(roots, "rec", "left")
-    root = F.coalesce("root", "rec")
-    ends = rooted.groupBy("group").agg(F.min(root).alias("low"), F.max(root).alias("high"))
-    return ends.where("low != high").select("group")
+def _divided(named: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their ``root``; and ``group, main, strays`` of groups in several components.
+
+    ``main`` is the component most of the group's texts are in, ``strays`` how many are not.
+    """
+    rooted = named.join(roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
+    sizes = rooted.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n"))
+    split = sizes.groupBy("group").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"),
+        (F.sum("n") - F.max("n")).alias("strays"),
+    )
+    return rooted, split.where("strays > 0")
+
+
+def _stray_parts(rooted: DataFrame, few: DataFrame) -> DataFrame:
+    """``part, side, whole, rec``: the main component by blocks, all strays with each of them.
+
+    Strays so meet every text of the group. They are one block at most, so the parts hold no
+    more than twice the group's texts in all.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    stray = F.sequence(F.lit(0), blocks - 1)
+    dealt = F.array(F.pmod(F.xxhash64("rec", "group"), blocks).cast("int"))
+    return (
+        rooted.join(few, "group")
+        .withColumn("b", F.explode(F.when(F.col("root") == F.col("main"), dealt).otherwise(stray)))
+        .select(
+            F.xxhash64("group", F.lit(-1), "b").alias("part"), F.lit(0).alias("side"),
+            F.lit(True).alias("whole"), "rec",
+        )
+    )
 
 
 def _led_blocks(members: DataFrame) -> DataFrame:
@@ -359,7 +385,8 @@ def similar_texts(
     of node and token, and goes on to their nodes; so two similar sets meet again in each level
     with the share of tokens they have in common. Nodes of up to ``SMALL`` texts are compared pair
     by pair, larger ones are split again, ``DEPTH`` levels at most; what is still together is
-    compared whole, in pairs of blocks. ``runs`` roots are tried: a pair just at the threshold is
+    compared whole, in pairs of blocks. A large node of which all texts but a few are connected
+    already is not split: the few are compared with all of it. ``runs`` roots are tried: a pair just at the threshold is
     met at the first level with a chance of 1 - exp(-1) by each, 0.99999 in all. Links of a class
     are counted by comparing all its texts, so the join has to find only what connects it.
 
@@ -384,10 +411,21 @@ def similar_texts(
         parts = parts.unionByName(_led_blocks(_named(crowded)))
     edges = cut(_compare(parts, sets, threshold, count=False))
     roots = components(edges)
-    leaves = []
-    for _ in range(2, DEPTH + 1):
-        # A large node that is one component by now can connect nothing more.
-        crowded = cut(crowded.join(_apart(crowded, roots), "group", "left_semi"))
+    leaves, more = [], []
+    for level in range(2, DEPTH + 2):
+        # A large node that is one component by now can connect nothing more. One with few texts
+        # outside its main component is compared at once; the others are split on.
+        named = _named(crowded)
+        rooted, split = _divided(named, roots)
+        split = cut(split)
+        if split.isEmpty():
+            break
+        more.append(_stray_parts(rooted, split.where(F.col("strays") <= BLOCK)))
+        many = split.where(F.col("strays") > BLOCK).select("group")
+        if level > DEPTH:  # what is still together is compared whole, in pairs of blocks
+            more.append(_groups(named.join(many, "group", "left_semi"), "group"))
+            break
+        crowded = cut(crowded.join(many, "group", "left_semi"))
         if crowded.isEmpty():
             break
         below = cut(_descend(crowded.join(sets, "rec"), threshold).select("node", "rec").distinct())
@@ -395,12 +433,9 @@ def similar_texts(
         leaves.append(met.where(F.col("size") <= SMALL))
         crowded = met.where(F.col("size") > SMALL).withColumn("group", F.xxhash64("size", "f1", "f2"))
     if leaves:
-        small = leaves[0]
-        for leaf in leaves[1:]:
-            small = small.unionByName(leaf)
-        # What is still large and apart is compared whole, in pairs of blocks.
-        rest = crowded.join(_apart(crowded, roots), "group", "left_semi")
-        parts = _groups(_named(small).unionByName(_named(rest)).distinct(), "group")
+        more.append(_groups(_named(reduce(DataFrame.unionByName, leaves)), "group"))
+    if more:
+        parts = reduce(DataFrame.unionByName, more).distinct()
         edges = edges.unionByName(cut(_compare(parts, sets, threshold, count=False)))
         roots = components(edges)
 
