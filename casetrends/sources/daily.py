@@ -48,7 +48,9 @@ def read_daily(
     """All reports of ``days`` (default: all there are) in the layout's shape plus their day.
 
     Headers are read first and checked against the layout. Files are scanned once per
-    distinct header, of which there are few, and the scans are unioned into one plan.
+    distinct header, of which there are few, and the scans are unioned into one plan. A file
+    without a header fails before anything is written, so does, in the strict mode, a row with
+    another number of fields than its header.
     """
     headers = read_headers(spark, list(list_reports(spark, base, days)))
     if not headers:
@@ -57,7 +59,9 @@ def read_daily(
     day = F.to_date(F.regexp_extract("_metadata.file_path", REPORT_NAME_SQL, 1), "MM-dd-yyyy")
     frames = []
     for header, paths in by_header(headers).items():
-        raw = read_text_csv(spark, paths, header).withColumn(day_column, day)
+        reader_mode = "FAILFAST" if mode == "strict" else "PERMISSIVE"
+        raw = read_text_csv(spark, paths, header, mode=reader_mode, whole_rows=True)
+        raw = raw.withColumn(day_column, day)
         frames.append(standardize_report(raw, layout, mode, keep=(day_column,)))
     return union_drifted(*frames)
 

@@ -20,15 +20,14 @@ Header = tuple[str, ...]
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder that ``spark.checkpoint.dir`` names.
 
-    Where the setting is absent, a local session gets a temporary folder and any other
-    session its warehouse folder, which executors share too.
+    Where the setting is absent, a local session gets a temporary folder; on a cluster that is
+    an error, as executors would not share one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if spark.sparkContext.master.startswith("local"):
-            base = tempfile.gettempdir()
-        else:
-            base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/casetrends-{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -42,30 +41,35 @@ def list_files(spark: SparkSession, base: str) -> list[str]:
 
 
 def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line that is not blank, as the CSV reader takes it for the header."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(conf).open(target)
     try:
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
         source = codec.createInputStream(stream) if codec is not None else stream
-        return jvm.java.io.BufferedReader(
-            jvm.java.io.InputStreamReader(source, "UTF-8")
-        ).readLine()
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
+        line = lines.readLine()
+        while line is not None and not line.removeprefix(BOM).strip():
+            line = lines.readLine()
+        return line
     finally:
         stream.close()
 
 
 def read_headers(spark: SparkSession, paths: list[str], sep: str = ",") -> dict[str, Header]:
-    """``{path: header}``, reading only the head of each file; empty files are left out.
+    """``{path: header}``, reading only the head of each file; one without a header is an error.
 
     A byte order mark is not part of the first name, as in the reader's own view of the file.
     """
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         lines = list(pool.map(lambda p: _first_line(spark, p), paths))
+    headless = [path for path, line in zip(paths, lines) if line is None]
+    if headless:
+        raise ValueError(f"{len(headless)} files without a header: {headless}")
     return {
         path: tuple(next(csv.reader([line.removeprefix(BOM)], delimiter=sep)))
         for path, line in zip(paths, lines)
-        if line
     }
 
 
@@ -84,11 +88,14 @@ def read_text_csv(
     sep: str = ",",
     counts_from: int | None = None,
     mode: str = "PERMISSIVE",
+    whole_rows: bool = False,
 ) -> DataFrame:
     """CSV files with this very header, as strings; columns from ``counts_from`` on as BIGINT.
 
     The CSV reader assigns values by position, so the header of each file is checked against
     the names (``enforceSchema=false``) and a file with another column order fails the job.
+    With ``whole_rows`` a quoted field may hold line breaks and each row is parsed and checked
+    whatever columns are read; a file is then one task's.
     """
     texts = len(header) if counts_from is None else counts_from
     schema = T.StructType(
@@ -102,6 +109,8 @@ def read_text_csv(
         .option("mode", mode)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("multiLine", whole_rows)
+        .option("columnPruning", not whole_rows)
         .option("sep", sep)
         .option("escape", '"')
         .csv(paths)

@@ -18,13 +18,14 @@ from casetrends.schemas import GLOBAL_DAILY
 from querybook.registry import query
 from querybook.storage import SQL_STANDARD_REPORTS, report_folder, scratch_table
 from querybook.views import (
-    DAYS,
     SQL_NATION_DAYS,
     SQL_ORDER_DAYS,
     SQL_PLACES,
     SQL_REPORT_TEXTS,
     SQL_REPORTS,
+    event_days_range,
     global_wide,
+    order_dates,
     places,
     reports,
     sql_global_wide,
@@ -137,14 +138,13 @@ SQL_US_LONG = with_ctes(
 
 
 def _from_long(spark, sf, one_row_per_day):
-    # Every order counts as confirmed, so the last order has the last day.
-    days = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("dt"))
+    # Every order of a known place counts as confirmed, so the last of them has the last day.
     series = us_series_from_long(
         us_long(spark, sf, "confirmed"),
         us_long(spark, sf, "deaths"),
         places(spark, sf),
         one_row_per_day=one_row_per_day,
-        over=days,
+        over=order_dates(spark, sf),
     )
     return series.drop("last_updated_ts")
 
@@ -289,7 +289,7 @@ def q5(spark, sf):
 )
 def q6(spark, sf):
     base, name = report_folder(spark, sf), scratch_table(spark, "daily_global")
-    ingest_daily_reports(spark, base, name, GLOBAL_DAILY, DAYS[0], DAYS[-1])
+    ingest_daily_reports(spark, base, name, GLOBAL_DAILY, *event_days_range(spark, sf))
     return spark.table(name).withColumn("last_update", F.col("last_update").cast("timestamp_ntz"))
 
 

@@ -34,6 +34,7 @@ from querybook.views import (
     SQL_PLACES,
     SQL_REPORTS,
     US_IDS,
+    order_dates,
     global_long,
     places,
     reports,
@@ -170,8 +171,7 @@ def replace_column(spark, sf):
     + "SELECT * FROM us_confirmed WHERE dt = (SELECT MAX(dt) FROM us_confirmed)",
 )
 def snapshot(spark, sf):
-    days = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("dt"))
-    return latest_snapshot(us_long(spark, sf, "confirmed"), over=days)
+    return latest_snapshot(us_long(spark, sf, "confirmed"), over=order_dates(spark, sf))
 
 
 @query(
@@ -210,7 +210,7 @@ def null_literal_columns(spark, sf):
 @query(
     "P12_insert_column_at",
     with_ctes(SQL_PLACES, sql_us_wide("confirmed"))
-    + 'SELECT w."UID", w.combined_key, p.population, w.dt_20240101, w.dt_20240130 '
+    + f'SELECT w."UID", w.combined_key, p.population, {", ".join("w." + c for c in DAY_COLUMNS)} '
     + "FROM us_confirmed_wide w JOIN places p ON w.combined_key = p.combined_key",
 )
 def insert_population(spark, sf):
@@ -219,7 +219,7 @@ def insert_population(spark, sf):
     located = wide.join(people, "combined_key").select(*wide.columns, "people")
     placed = insert_column_at(located, 11, "population", F.col("people"))
     assert placed.columns[10:12] == ["combined_key", "population"]
-    return placed.select("UID", "combined_key", "population", "dt_20240101", "dt_20240130")
+    return placed.select("UID", "combined_key", "population", *DAY_COLUMNS)
 
 
 @query(

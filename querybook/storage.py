@@ -6,6 +6,7 @@ Files and tables go below the shared scratch folder of the session.
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +34,11 @@ from casetrends.streaming.publish import text_schema
 from querybook.registry import query
 from querybook.views import (
     DAY_COLUMNS,
-    DAYS,
     NEW_HEADER_DAY,
     SQL_PLACES,
     SQL_REPORT_TEXTS,
     US_IDS,
+    event_days_range,
     report_texts,
     sql_us_wide,
     table,
@@ -144,7 +145,7 @@ def _sql_headers() -> str:
     f"WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS dt FROM events) {_sql_headers()}",
 )
 def discover(spark, sf):
-    return discover_columns(spark, report_folder(spark, sf), DAYS[0], DAYS[-1])
+    return discover_columns(spark, report_folder(spark, sf), *event_days_range(spark, sf))
 
 
 # --- tables ---------------------------------------------------------------------------------------
@@ -209,23 +210,25 @@ def partitioned_write(spark, sf):
     return write_partitioned(event_days(spark, sf), scratch_table(spark, "days"))
 
 
-CORRECTED = DAYS[-3:]
-_CORRECTED_SQL = ", ".join(f"DATE '{d}'" for d in CORRECTED)
+# The last days of the table are corrected.
+CORRECTED = 3
 
 
 @query(
     "S8_replace_partition",
     with_ctes(SQL_EVENT_DAYS)
-    + f"""SELECT dt, event_type, CASE WHEN dt IN ({_CORRECTED_SQL}) THEN -n ELSE n END AS n,
+    + f"""SELECT dt, event_type, CASE WHEN dt > (SELECT MAX(dt) FROM event_days) - {CORRECTED} THEN -n ELSE n END AS n,
                  last_event FROM event_days""",
 )
 def replace_partition(spark, sf):
     name = scratch_table(spark, "days")
     days = event_days(spark, sf)
     replace_partitions(days, name, "dt")
-    corrected = days.filter(F.col("dt").isin(CORRECTED)).withColumn("n", -F.col("n"))
+    last = event_days_range(spark, sf)[1]
+    wanted = [last - timedelta(days=i) for i in range(CORRECTED)]
+    corrected = days.filter(F.col("dt").isin(wanted)).withColumn("n", -F.col("n"))
     for _ in range(2):
-        replace_partitions(corrected, name, "dt", days=CORRECTED)
+        replace_partitions(corrected, name, "dt", days=wanted)
     return spark.table(name)
 
 
@@ -292,13 +295,12 @@ def publish_on_arrival(spark, sf):
     return published(spark, out)
 
 
-RELOADED = DAYS[10:20]
-
-
 @query("S14_backfill", with_ctes(SQL_REPORT_TEXTS) + SQL_STANDARD_REPORTS)
 def backfill(spark, sf):
     base, name = report_folder(spark, sf), scratch_table(spark, "daily_global")
-    ingest_daily_reports(spark, base, name, GLOBAL_DAILY, DAYS[0])
-    ingest_daily_reports(spark, base, name, GLOBAL_DAILY, str(DAYS[0]), str(DAYS[-1]))
-    ingest_daily_reports(spark, base, name, GLOBAL_DAILY, list(RELOADED))
+    first, last = event_days_range(spark, sf)
+    ingest_daily_reports(spark, base, name, GLOBAL_DAILY, first)
+    ingest_daily_reports(spark, base, name, GLOBAL_DAILY, str(first), str(last))
+    reloaded = [first + timedelta(days=i) for i in range((last - first).days // 2)]
+    ingest_daily_reports(spark, base, name, GLOBAL_DAILY, [first, *reloaded])
     return spark.table(name).withColumn("last_update", F.col("last_update").cast("timestamp_ntz"))

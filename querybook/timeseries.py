@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from casetrends.operators import (
     daily_delta,
-    latest_snapshot,
     series_metrics,
     trailing_avg,
     with_global_max,
@@ -17,6 +16,7 @@ from querybook.views import (
     SQL_ORDER_DAYS,
     SQL_PLACES,
     global_long,
+    order_dates,
     sql_global_long,
     sql_round,
     sql_us_long,
@@ -112,8 +112,7 @@ SQL_G2 = COUNTY + """SELECT dt, combined_key, total_confirmed, MAX(dt) OVER () A
 
 @query("G2_global_max", SQL_G2)
 def global_max(spark, sf):
-    days = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("dt"))
-    return with_global_max(counties(spark, sf), over=days)
+    return with_global_max(counties(spark, sf), over=order_dates(spark, sf))
 
 
 @query(
@@ -125,4 +124,6 @@ def global_max(spark, sf):
 )
 def whole_table_window(spark, sf):
     rows = global_long(spark, sf, "recovered").drop("latitude", "longitude")
-    return with_global_max(latest_snapshot(rows))
+    # One maximum serves both: the subquery of the column is reused by the filter on it.
+    dated = with_global_max(rows)
+    return dated.filter(F.col("dt") == F.col("last_updated_dt"))

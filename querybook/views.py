@@ -50,11 +50,11 @@ FIRST_DAY = dt.date(2024, 1, 1)
 DAYS = [FIRST_DAY + dt.timedelta(days=i) for i in range(30)]
 DAY_COLUMNS = [day_column(d) for d in DAYS]
 
-# Which events count for a metric: (event types, least value).
+# Which event types count for a metric.
 EVENTS_OF = {
-    "confirmed": (("view", "click", "signup"), 0.0),
-    "deaths": (("error",), 90.0),
-    "recovered": (("purchase",), 75.0),
+    "confirmed": ("view", "click", "signup"),
+    "deaths": ("error",),
+    "recovered": ("purchase",),
 }
 
 US_IDS = [
@@ -106,15 +106,20 @@ places AS (
 )"""
 
 
+def event_days_range(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date]:
+    """The first and the last day that has events."""
+    day = F.col("ts").cast("date")
+    return tuple(table(spark, sf, "events").agg(F.min(day), F.max(day)).first())
+
+
 def _counts_to_date(df: DataFrame, metric: str) -> DataFrame:
     """One row per user with a running count for each date column.
 
     Counted per user and day first: a user with very many events then brings one thin row per
     day to the second grouping, which needs no partial sums for its many columns.
     """
-    kinds, least = EVENTS_OF[metric]
     per_day = (
-        df.filter(F.col("event_type").isin(*kinds) & (F.col("value") >= least))
+        df.filter(F.col("event_type").isin(*EVENTS_OF[metric]))
         .groupBy("user_id", F.expr("CAST(ts AS date) AS day"))
         .agg(F.count("*").alias("n"))
     )
@@ -126,16 +131,15 @@ def _counts_to_date(df: DataFrame, metric: str) -> DataFrame:
 
 
 def _sql_counts_to_date(metric: str, source: str, keys: str) -> str:
-    kinds, least = EVENTS_OF[metric]
     sums = ",\n           ".join(
         sql_long(f"SUM(CASE WHEN CAST(ts AS DATE) <= DATE '{d}' THEN 1 END)") + f" AS {c}"
         for d, c in zip(DAYS, DAY_COLUMNS)
     )
-    kind_list = ", ".join(f"'{k}'" for k in kinds)
+    kind_list = ", ".join(f"'{k}'" for k in EVENTS_OF[metric])
     return f"""SELECT {keys},
            {sums}
     FROM {source}
-    WHERE event_type IN ({kind_list}) AND value >= {least}
+    WHERE event_type IN ({kind_list})
     GROUP BY {keys}"""
 
 
@@ -266,6 +270,14 @@ order_days AS (
 )"""
 
 
+def order_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The days of all orders that belong to a place, without grouping them."""
+    known = places(spark, sf).select("place_id")
+    orders = table(spark, sf, "orders")
+    located = orders.join(known, F.col("o_custkey") == F.col("place_id"), "left_semi")
+    return located.select(F.col("o_orderdate").cast("date").alias("dt"))
+
+
 def us_long(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     """County long frame: running order counts on the days that add to the metric."""
     fresh = order_days(spark, sf).filter(F.col(f"new_{metric}") > 0)
@@ -337,7 +349,9 @@ nation_days AS (
 def global_long(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     """Nation long frame: running order counts on the days that add to the metric."""
     fresh = nation_days(spark, sf).filter(F.col(f"new_{metric}") > 0)
-    total = F.sum(f"new_{metric}").over(series_window(["n_nationkey"]))
+    # The labels are part of the key (one of each in a nation), so filters on them pass the window.
+    window = series_window(["n_nationkey", "province_state", "country_region"])
+    total = F.sum(f"new_{metric}").over(window)
     return fresh.select(
         "dt",
         "province_state",
@@ -370,15 +384,20 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
     """
     people = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("people"))
     days = nation_days(spark, sf).join(people, F.col("n_nationkey") == F.col("c_nationkey"))
-    window = series_window(["n_nationkey"])
-    totals = days.select(
+    labelled = days.withColumns(
+        {
+            "province_state": F.when(F.col("n_name") == "NATION_6", F.lit("Recovered"))
+            .otherwise(F.col("province_state")),
+            "country_region": F.when(F.col("r_name") == "AMERICA", F.lit("US"))
+            .otherwise(F.col("r_name")),
+        }
+    )
+    # The labels are part of the key (one of each in a nation), so filters on them pass the window.
+    window = series_window(["n_nationkey", "province_state", "country_region"], "dt")
+    totals = labelled.select(
         F.col("dt").alias("report_dt"),
-        F.when(F.col("n_name") == "NATION_6", F.lit("Recovered"))
-        .otherwise(F.col("province_state"))
-        .alias("province_state"),
-        F.when(F.col("r_name") == "AMERICA", F.lit("US"))
-        .otherwise(F.col("r_name"))
-        .alias("country_region"),
+        "province_state",
+        "country_region",
         "latitude",
         "longitude",
         *[F.sum(f"new_{m}").over(window).alias(m) for m in STATUS_OF],

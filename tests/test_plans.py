@@ -224,3 +224,13 @@ def test_global_key_that_confirmed_lacks(spark, merge):
     b = world_wide(spark, [("P", "Q", 1.0, 1.0, 1, 2)])
     got = global_series_wide(none, b, b, coalesce_keys=merge, now=NOW)
     assert rows(got.select("total_deaths", "total_recovered", "daily_new_deaths"), "dt") == [(1, 1, 1), (2, 2, 1)]
+
+
+def test_filters_on_labels_pass_the_window(spark):
+    from querybook.views import reports
+
+    plan = reports(spark, "/root/testdata/sf0.001").filter("country_region = 'US'")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in text
+    above = text.split("Window", 1)[0]
+    assert "Filter" not in above

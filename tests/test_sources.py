@@ -257,3 +257,36 @@ def test_scratch_lies_in_the_configured_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_blank_first_line_is_no_header(spark, folder):
+    put(folder, "g/01-22-2020.csv", "\nProvince/State,Country/Region,Confirmed\nHubei,China,444\n")
+    got = read_daily(spark, f"{folder}/g", GLOBAL_DAILY)
+    assert rows(got.select("province_state", "confirmed")) == [("Hubei", 444)]
+
+
+def test_truncated_file_leaves_the_loaded_day(spark, folder, database):
+    head = "Province/State,Country/Region,Confirmed\n"
+    for name in ("01-22-2020", "01-23-2020"):
+        put(folder, f"g/{name}.csv", head + "Hubei,China,444\n")
+    table = f"{database}.truncated"
+    days = ("2020-01-22", "2020-01-23")
+    ingest_daily_reports(spark, f"{folder}/g", table, GLOBAL_DAILY, *days)
+    put(folder, "g/01-22-2020.csv", "")
+    with pytest.raises(Exception, match="01-22-2020"):
+        ingest_daily_reports(spark, f"{folder}/g", table, GLOBAL_DAILY, *days)
+    assert spark.table(table).count() == 2
+
+
+def test_row_with_too_many_fields(spark, folder):
+    put(folder, "g/01-22-2020.csv", "Province/State,Country/Region,Confirmed\nA,B,1,99\nC,D,2\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_daily(spark, f"{folder}/g", GLOBAL_DAILY).select("province_state").collect()
+    got = read_daily(spark, f"{folder}/g", GLOBAL_DAILY, mode="permissive")
+    assert rows(got.select("province_state", "confirmed")) == [("A", 1), ("C", 2)]
+
+
+def test_quoted_line_break_in_a_report(spark, folder):
+    put(folder, "g/01-22-2020.csv", 'Province/State,Country/Region,Confirmed\n"A\nB",C,1\n')
+    got = read_daily(spark, f"{folder}/g", GLOBAL_DAILY)
+    assert rows(got.select("province_state", "confirmed")) == [("A\nB", 1)]
