@@ -321,3 +321,24 @@ def test_pipeline_stages(spark):
         assert out.columns == clash.columns, name
         assert out.dtypes == clash.dtypes, name
     assert words("A b") == ["a", "b"]
+
+
+def test_strays_of_a_large_connected_node(spark):
+    from itertools import combinations
+
+    from casetrends.llm.jaccard_join import similar_texts
+
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base[:-1], f"end{i}"]) for i in range(300)]
+    texts += [" ".join([*base[:20], *(f"s{i}x{k}" for k in range(40))]) for i in range(8)]
+    texts += [texts[-1] + " more", " ".join(base[:50])]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    links = [0] * len(texts)
+    for i, j in combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            links[i] += 1
+            links[j] += 1
+    found = similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.id: (r.class_id, r.n_links) for r in found.collect()}
+    assert [got[i][1] for i in range(len(texts))] == links
+    assert got[309][0] == 0 and got[308][0] == 307 and got[300][0] == 300
