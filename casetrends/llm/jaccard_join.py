@@ -18,7 +18,7 @@ WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 #: Groups up to this size are compared pair by pair; larger ones are split on.
-SMALL = 64
+SMALL = 256
 #: Rows of one side when a group that cannot be split is compared block by block.
 BLOCK = 256
 DEPTH = 5
