@@ -21,6 +21,8 @@ ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0
 SMALL = 256
 #: Rows of one side when a group that cannot be split is compared block by block.
 BLOCK = 256
+#: Blocks of texts that are compared whole at most where nodes of much the same texts remain.
+BLOCKS = 16
 DEPTH = 5
 
 
@@ -263,11 +265,22 @@ def _divided(named: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rooted, split.where("strays > 0")
 
 
+def _heads(named: DataFrame) -> DataFrame:
+    """``rec, root``: for each text, the largest of its groups of up to ``BLOCKS`` blocks.
+
+    Nodes of different runs hold much the same near copies. Where all texts of one head are
+    compared, groups need only the pairs of texts with different heads.
+    """
+    best = F.max(F.struct("size", "group")).alias("best")
+    fit = named.where(F.col("size") <= BLOCKS * BLOCK).groupBy("rec").agg(best)
+    return fit.select("rec", F.unhex(F.hex("best.group")).alias("root"))
+
+
 def _stray_parts(rooted: DataFrame, few: DataFrame) -> DataFrame:
     """``part, side, whole, rec``: the main component by blocks, all strays with each of them.
 
-    Strays so meet every text of the group. They are one block at most, so the parts hold no
-    more than twice the group's texts in all.
+    Strays so meet every text of the group. They are two blocks at most, so the parts hold no
+    more than three times the group's texts in all.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     stray = F.sequence(F.lit(0), blocks - 1)
@@ -386,7 +399,9 @@ def similar_texts(
     with the share of tokens they have in common. Nodes of up to ``SMALL`` texts are compared pair
     by pair, larger ones are split again, ``DEPTH`` levels at most; what is still together is
     compared whole, in pairs of blocks. A large node of which all texts but a few are connected
-    already is not split: the few are compared with all of it. ``runs`` roots are tried: a pair just at the threshold is
+    already is not split: the few are compared with all of it. From the second level on, each text's
+    largest node of up to ``BLOCKS`` blocks is compared whole, other nodes then need only pairs of
+    texts with different largest nodes. ``runs`` roots are tried: a pair just at the threshold is
     met at the first level with a chance of 1 - exp(-1) by each, 0.99999 in all. Links of a class
     are counted by comparing all its texts, so the join has to find only what connects it.
 
@@ -425,6 +440,16 @@ def similar_texts(
         if level > DEPTH:  # what is still together is compared whole, in pairs of blocks
             more.append(_groups(named.join(many, "group", "left_semi"), "group"))
             break
+        if level > 2:  # a node still large after a split holds texts that much the same nodes hold
+            still = cut(named.join(many, "group", "left_semi"))
+            heads = cut(_heads(still))
+            sizes = heads.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+            own = heads.join(sizes, "root").withColumn("group", F.xxhash64(F.lit(-2), "root"))
+            more.append(_groups(own, "group"))
+            headed, split = _divided(still, heads)
+            split = cut(split)
+            more.append(_stray_parts(headed, split.where(F.col("strays") <= 2 * BLOCK)))
+            many = split.where(F.col("strays") > 2 * BLOCK).select("group")
         crowded = cut(crowded.join(many, "group", "left_semi"))
         if crowded.isEmpty():
             break
