@@ -342,3 +342,24 @@ def test_strays_of_a_large_connected_node(spark):
     got = {r.id: (r.class_id, r.n_links) for r in found.collect()}
     assert [got[i][1] for i in range(len(texts))] == links
     assert got[309][0] == 0 and got[308][0] == 307 and got[300][0] == 300
+
+
+def test_near_copies_around_the_threshold(spark, monkeypatch):
+    """Nodes that stay large after a split are compared through each text's largest node."""
+    from random import Random
+
+    from casetrends.llm import jaccard_join
+
+    for name, value in (("SMALL", 4), ("BLOCK", 8), ("DEPTH", 3)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    draw = Random(1)
+    texts = []
+    for k in range(110):
+        words = [f"w{i}" for i in range(150)]
+        for i in draw.sample(range(150), 3):
+            words[i] = f"z{k}_{i}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    got = similar_texts(documents(spark, rows)).collect()
+    want = [(i, *x) for (i, _), x in zip(rows, classes(rows))]
+    assert same_rows([(r["id"], r["class_id"], r["n_links"], r["n_copies"]) for r in got], want)
