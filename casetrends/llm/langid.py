@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from casetrends.llm.common import col, cut
+from casetrends.llm.common import col, cut, unused
 
 ORDER = 4
 #: Characters of 16 bits, so that the grams of the longest order are exact 64-bit numbers.
@@ -43,29 +48,6 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return packed[keep], sizes - ORDER + 1
 
 
-def hash64(keys: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of 64-bit numbers."""
-    p1, p2, p3, p4, p5 = (
-        np.uint64(n)
-        for n in (
-            0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
-            0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
-        )
-    )
-
-    def turn(x: np.ndarray, n: int) -> np.ndarray:
-        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
-
-    x = turn(keys * p2, 31) * p1
-    x ^= np.uint64(42) + p5 + np.uint64(8)
-    x = turn(x, 27) * p1 + p4
-    x ^= x >> np.uint64(33)
-    x *= p2
-    x ^= x >> np.uint64(29)
-    x *= p3
-    return x ^ (x >> np.uint64(32))
-
-
 def count_grams(train: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``lang, gram, n`` over all texts, pre-aggregated by batch before they are shuffled."""
 
@@ -151,28 +133,38 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
 @dataclass
 class Models:
-    """Sorted hash arrays for each size: known grams, and by language what each scores.
+    """Sorted arrays of exact grams for each size: known grams, and by language what each scores.
 
     ``scores[k]`` has the log-probability of a gram; ``leaves[k]`` the log-weight a context leaves.
     """
 
     langs: list[str]
-    keys: dict[int, np.ndarray]
-    scores: dict[int, np.ndarray]
-    context_keys: dict[int, np.ndarray]
-    leaves: dict[int, np.ndarray]
     floor: float
-    bits: int
+    keys: dict[int, np.ndarray] = field(default_factory=dict)
+    scores: dict[int, np.ndarray] = field(default_factory=dict)
+    context_keys: dict[int, np.ndarray] = field(default_factory=dict)
+    leaves: dict[int, np.ndarray] = field(default_factory=dict)
     limits: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def _slots(self, packed: np.ndarray) -> np.ndarray:
-        return hash64(packed) & np.uint64((1 << self.bits) - 1)
+    def fill(self, rows: pa.Table) -> Models:
+        """These models with the arrays of ``size, gram, values``."""
+        sizes = rows["size"].to_numpy()
+        packed = rows["gram"].to_numpy().view(np.uint64)
+        values = rows["values"].combine_chunks().flatten().to_numpy().reshape(-1, len(self.langs))
+        for size in range(1, ORDER + 1):
+            for sign, keys, tables in (
+                (1, self.keys, self.scores), (-1, self.context_keys, self.leaves)
+            ):
+                mine = np.flatnonzero(sizes == sign * size)
+                mine = mine[np.argsort(packed[mine])]
+                keys[size], tables[size] = packed[mine], values[mine]
+        return self
 
     @staticmethod
-    def _find(keys: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(keys, slots)
+    def _find(keys: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(keys, packed)
         at[at == len(keys)] = 0
-        return at, (keys[at] == slots) if len(keys) else np.zeros(len(slots), bool)
+        return at, (keys[at] == packed) if len(keys) else np.zeros(len(packed), bool)
 
     def score(self, packed: np.ndarray, size: int = ORDER) -> np.ndarray:
         """Log-probability of each gram in each language; what no language knows goes on to the
@@ -180,7 +172,7 @@ class Models:
         if size == 0:
             return np.full((len(packed), len(self.langs)), self.floor, np.float32)
         out = np.empty((len(packed), len(self.langs)), np.float32)
-        at, known = self._find(self.keys[size], self._slots(packed))
+        at, known = self._find(self.keys[size], packed)
         out[known] = self.scores[size][at[known]]
         if not known.all():
             rest = packed[~known]
@@ -190,9 +182,7 @@ class Models:
         return out
 
     def _left(self, packed: np.ndarray, size: int) -> np.ndarray:
-        at, known = self._find(
-            self.context_keys[size], self._slots(packed >> np.uint64(BITS))
-        )
+        at, known = self._find(self.context_keys[size], packed >> np.uint64(BITS))
         out = np.zeros((len(packed), len(self.langs)), np.float32)
         out[known] = self.leaves[size][at[known]]
         return out
@@ -210,60 +200,87 @@ class Models:
             total[mine[first]] += np.add.reduceat(scored, first, axis=0, dtype=np.float64)
         return -total / sizes[:, None]
 
+    def of_texts(self, texts: Iterable[str | None]) -> list[list[float] | None]:
+        """The entropies of each text; None where it has no letter.
+
+        A few texts at a time, so that memory follows the longest text, not the batch.
+        """
+        plain = [normalised(t) for t in texts]
+        out: list[list[float] | None] = [None] * len(plain)
+        group, size = [], 0
+        for i in [i for i, t in enumerate(plain) if t] + [None]:
+            if group and (i is None or size > 1 << 21):
+                for j, found in zip(group, self.entropies([plain[j] for j in group])):
+                    out[j] = found.tolist()
+                group, size = [], 0
+            if i is not None:
+                group.append(i)
+                size += len(plain[i])
+        return out
+
+
+@dataclass
+class StoredModels:
+    """Models that stay in Spark: ``size, gram, values`` as ``score_rows`` gives them."""
+
+    langs: list[str]
+    floor: float
+    rows: DataFrame
+    limits: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
 
-def collect_models(probabilities: DataFrame, langs: list[str], max_mb: int) -> Models:
-    """The arrays, of at most ``max_mb`` on the driver however large the corpus is.
+def score_rows(probabilities: DataFrame, langs: list[str], floor: float) -> DataFrame:
+    """``size, gram, values``: a row for each gram that any language knows.
 
-    Grams become hashes of as many bits as keep 16 bytes for each size, language and hash within
-    the bound; grams that share a hash share their mean probability.
+    ``values`` has a number for each language: the log-probability of the gram, and where the
+    language never saw it what backing off gives; at the size less than 0 the log-weight that
+    the gram leaves as a context, 0 where the language never saw it.
     """
-    tables = 2 * ORDER
-    bits = int(np.clip(np.log2(max_mb * 1e6 / (16 * tables * max(len(langs), 1))), 8, 22))
-    slot = F.xxhash64("gram").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-    rows = (
-        probabilities.groupBy("lang", "size", slot.alias("slot"))
-        .agg(F.avg("p").alias("p"))
-        .select(
-            (F.array_position(F.array(*[F.lit(lang) for lang in langs]), F.col("lang")) - 1)
-            .cast("int").alias("lang"),
-            "size", "slot", "p",
-        )
-        .toPandas()
+    named = probabilities.select(
+        "size", "gram", F.log("p").alias("p"),
+        F.array_position(F.array(*[F.lit(lang) for lang in langs]), F.col("lang"))
+        .cast("int").alias("k"),
+    )
+    seen = cut(
+        named.groupBy("size", "gram")
+        .agg(F.map_from_entries(F.collect_list(F.struct("k", "p"))).alias("seen"))
     )
-    floor = float(np.log(2.0**-BITS))
-    keys, scores, context_keys, leaves = {}, {}, {}, {}
-    models = Models(langs, keys, scores, context_keys, leaves, floor, bits)
-    for size, part in rows.groupby("size"):
-        slots, at = np.unique(part["slot"].to_numpy(np.uint64), return_inverse=True)
-        table = np.full((len(slots), len(langs)), np.nan, np.float32)
-        table[at, part["lang"].to_numpy()] = np.log(part["p"].to_numpy())
-        if size > 0:
-            keys[size], scores[size] = slots, table
-        else:
-            # A language that never saw the context leaves all to the shorter gram.
-            context_keys[-size], leaves[-size] = slots, np.nan_to_num(table, nan=0.0)
-    return models
 
+    def each(value: Callable[[Column], Column]) -> Column:
+        places = F.array(*[F.lit(k + 1) for k in range(len(langs))])
+        return F.transform(places, lambda k: value(k).cast("float"))
 
-def complete(models: Models, probabilities: DataFrame) -> None:
-    """Fill in, for grams that only some languages saw, what the others give by backing off."""
+    left = seen.where(F.col("size") < 0).select(
+        "size", "gram", each(lambda k: F.coalesce(F.col("seen")[k], F.lit(0.0))).alias("values")
+    )
+    out, lower = [left], None
     for size in range(1, ORDER + 1):
-        table = models.scores[size]
-        rows = (
-            probabilities.where(F.col("size") == size)
-            .groupBy(
-                F.xxhash64("gram").bitwiseAND(F.lit((1 << models.bits) - 1).cast("long"))
-                .alias("slot")
+        own = seen.where(F.col("size") == size)
+        leaves = left.where(F.col("size") == -size).withColumnRenamed("values", "left")
+        if size == 1:  # one context, the empty one
+            backed = own.crossJoin(F.broadcast(leaves.select("left"))).withColumn(
+                "lower", F.array_repeat(F.lit(floor), len(langs))
             )
-            .agg(F.min("gram").alias("gram"))
-            .toPandas()
+        else:
+            mask = F.lit((1 << (BITS * (size - 1))) - 1).cast("long")
+            backed = (
+                own.withColumn("context", F.shiftrightunsigned("gram", BITS))
+                .join(leaves.select(F.col("gram").alias("context"), "left"), "context")
+                .withColumn("suffix", F.col("gram").bitwiseAND(mask))
+                .join(lower.select(F.col("gram").alias("suffix"), F.col("values").alias("lower")),
+                      "suffix")
+            )
+        lower = cut(
+            backed.select("size", "gram", each(
+                lambda k: F.coalesce(
+                    F.col("seen")[k], F.element_at("left", k) + F.element_at("lower", k))
+            ).alias("values"))
         )
-        at = np.searchsorted(models.keys[size], rows["slot"].to_numpy(np.uint64))
-        packed = np.zeros(len(table), np.uint64)
-        packed[at] = rows["gram"].to_numpy(np.int64).astype(np.uint64)
-        lower = models.score(packed & np.uint64((1 << (BITS * (size - 1))) - 1), size - 1)
-        backed = models._left(packed, size) + lower
-        models.scores[size] = np.where(np.isnan(table), backed, table)
+        out.append(lower)
+    joined = out[0]
+    for part in out[1:]:
+        joined = joined.unionByName(part)
+    return joined
 
 
 def fit_models(
@@ -271,46 +288,124 @@ def fit_models(
     text_col: str = "text",
     lang_col: str = "lang",
     max_mb: int = 200,
-    calibration_rows: int = 2000,
     tail: float = 0.005,
-) -> Models | None:
-    """Models from all labelled texts; None where there is none.
+) -> Models | StoredModels | None:
+    """Models of all grams of all labelled texts; None where there is none.
 
-    Rejection is calibrated on ``calibration_rows`` of these texts at most: a language's limit is
-    the cross-entropy that the share ``tail`` of its own texts exceeds, and a tenth more.
+    Up to ``max_mb`` (16 bytes for each gram and language) they are arrays on the driver, larger
+    ones stay in Spark; both score the same. A language's limit is the cross-entropy that the
+    share ``tail`` of all its own texts exceeds, and a tenth more.
     """
     counts = cut(count_grams(train, text_col, lang_col))
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not langs:
         return None
-    probabilities = kneser_ney(counts)
-    models = collect_models(probabilities, langs, max_mb)
-    complete(models, probabilities)
+    floor = float(np.log(2.0**-BITS))
+    rows = score_rows(kneser_ney(counts), langs, floor)
+    if 16 * rows.count() * len(langs) <= max_mb * 1e6:
+        models = Models(langs, floor).fill(rows.toArrow())
+    else:
+        models = StoredModels(langs, floor, rows)
+    place = F.array_position(F.array(*[F.lit(lang) for lang in langs]), F.col("lang"))
+    labelled = train.select(col(lang_col).alias("lang"), col(text_col).alias("text"))
+    own = (
+        with_entropies(labelled.where(F.col("lang").isNotNull()), models, "text", "h")
+        .where(F.col("h").isNotNull())
+        .select(place.cast("int").alias("k"), "h")
+        .select("k", F.element_at("h", F.col("k")).alias("h"))
+    )
     models.limits = np.full(len(langs), np.inf)
-    sent = train.sparkSession.sparkContext.broadcast(vars(models))
+    for r in own.groupBy("k").agg(F.percentile_approx("h", 1 - tail).alias("h")).collect():
+        models.limits[r["k"] - 1] = 1.1 * r["h"]
+    return models
+
+
+def with_entropies(
+    docs: DataFrame, models: Models | StoredModels, text_col: str, name: str
+) -> DataFrame:
+    """All columns and ``name``: the cross-entropy by character in each language, NULL where a
+    text has no letter."""
+    if isinstance(models, StoredModels):
+        return _joined_entropies(docs, models, text_col, name)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(models))
 
     @F.pandas_udf("array<double>")
     def entropies(texts: pd.Series) -> pd.Series:
-        made = Models(**sent.value)
-        plain = [normalised(t) for t in texts]
-        return pd.Series([made.entropies([t])[0] if t else None for t in plain])
+        return pd.Series(Models(**sent.value).of_texts(texts), index=texts.index, dtype=object)
+
+    return docs.select("*", entropies(col(text_col)).alias(name))
 
-    place = F.array_position(F.array(*[F.lit(lang) for lang in langs]), col(lang_col))
-    # Stored, so that the limit holds before texts are scored, not after.
-    sample = cut(
-        train.where(col(lang_col).isNotNull())
-        .select(col(lang_col), col(text_col)).limit(calibration_rows)
+
+def _joined_entropies(
+    docs: DataFrame, models: StoredModels, text_col: str, name: str
+) -> DataFrame:
+    """The same where the models stay in Spark: groups of rows, so large that the grams they can
+    hold fit in a task, meet the models' rows for these grams and for what they back off to."""
+    langs, floor = models.langs, models.floor
+    room = max(1 << 14, (1 << 27) // (24 * (len(langs) + 2)))
+    (group,) = unused(docs, "group")
+    place = docs.columns.index(text_col)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, size = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            chars = pc.fill_null(pc.utf8_length(batch.column(place)), 0).to_numpy(False)
+            # Short rows count by what their other columns hold.
+            ends = size + np.cumsum(chars + batch.nbytes // max(batch.num_rows, 1))
+            size = int(ends[-1]) if len(ends) else size
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(first + ends.astype(np.int64) // room)],
+                names=[*batch.schema.names, group],
+            )
+
+    fields = T.StructType([*docs.schema.fields, T.StructField(group, T.LongType())])
+    # Stored, so that a row is in the same group each time it is read.
+    dealt = cut(docs.mapInArrow(deal, fields))
+
+    def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k, part in batch.groupby("group"):
+                texts = [t for t in map(normalised, part["text"]) if t]
+                if not texts:
+                    continue
+                found = np.unique(grams(texts)[0])
+                for size in range(ORDER, 0, -1):
+                    shift, mask = np.uint64(BITS), np.uint64((1 << (BITS * (size - 1))) - 1)
+                    contexts = np.unique(found >> shift)
+                    for sign, keys in ((1, found), (-1, contexts)):
+                        yield pd.DataFrame(
+                            {"group": k, "size": sign * size, "gram": keys.view(np.int64)}
+                        )
+                    found = np.unique(found & mask)
+
+    needed = (
+        dealt.select(F.col(group).alias("group"), col(text_col).alias("text"))
+        .where(F.col("text").isNotNull())
+        .mapInPandas(wanted, "group long, size int, gram long")
+        .distinct()
     )
-    own = sample.select(
-        place.cast("int").alias("k"), F.element_at(entropies(col(text_col)), place.cast("int"))
-        .alias("h"),
-    ).where(F.col("h").isNotNull())
-    for r in own.groupBy("k").agg(F.percentile("h", 1 - tail).alias("h")).collect():
-        models.limits[r["k"] - 1] = 1.1 * r["h"]
-    return models
+    rows = needed.join(models.rows, ["size", "gram"])
+
+    def judge(mine: pa.Table, known: pa.Table) -> pa.Table:
+        if not mine.num_rows:
+            return out_schema.empty_table()
+        found = Models(langs, floor).fill(known).of_texts(mine.column(place).to_pylist())
+        return mine.drop_columns([group]).append_column(
+            name, pa.array(found, pa.list_(pa.float64()))
+        )
 
+    fields = T.StructType(
+        [*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))]
+    )
+    out_schema = to_arrow_schema(fields)
+    return (
+        dealt.groupBy(col(group)).cogroup(rows.groupBy("group")).applyInArrow(judge, fields)
+    )
 
-def predict(docs: DataFrame, models: Models | None, text_col: str, name: str = "language") -> DataFrame:
+
+def predict(
+    docs: DataFrame, models: Models | StoredModels | None, text_col: str, name: str = "language"
+) -> DataFrame:
     """All columns and a struct ``name``: ``lang``, ``score`` (0 to 1) and ``accepted``.
 
     The language with the least cross-entropy by character is chosen; ``score`` is its share
@@ -318,33 +413,22 @@ def predict(docs: DataFrame, models: Models | None, text_col: str, name: str = "
     where its cross-entropy is beyond its limit. Texts that are NULL or have no letter, and all
     texts where nothing was learned, are ``und`` with score 0. A column of that name is replaced.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(models and vars(models))
-
-    @F.pandas_udf("struct<lang:string,score:double,accepted:boolean>")
-    def best(texts: pd.Series) -> pd.DataFrame:
-        m = sent.value and Models(**sent.value)
-        out = pd.DataFrame({"lang": "und", "score": 0.0, "accepted": False}, index=texts.index)
-        plain = [normalised(t) for t in texts]
-        known = [i for i, t in enumerate(plain) if t]
-        if m is None or not known:
-            return out
-        # A few texts at a time, so that memory follows the longest text, not the batch.
-        group, size = [], 0
-        for i in known + [None]:
-            if i is None or size > 1 << 21:
-                if group:
-                    found = m.entropies([plain[j] for j in group])
-                    top = found.argmin(axis=1)
-                    least = found[np.arange(len(group)), top]
-                    share = 1 / np.exp(20 * (least[:, None] - found)).sum(axis=1)
-                    out.loc[out.index[group], "lang"] = [m.langs[k] for k in top]
-                    out.loc[out.index[group], "score"] = np.clip(share, 0.0, 1.0)
-                    out.loc[out.index[group], "accepted"] = least <= m.limits[top]
-                group, size = [], 0
-            if i is not None:
-                group.append(i)
-                size += len(plain[i])
-        return out
-
     others = [col(c) for c in docs.columns if c != name]
-    return docs.select(*others, best(col(text_col)).alias(name))
+
+    def said(lang: Column, score: Column, accepted: Column) -> Column:
+        return F.struct(lang.alias("lang"), score.alias("score"), accepted.alias("accepted"))
+
+    nothing = said(F.lit("und"), F.lit(0.0), F.lit(False))
+    if models is None:
+        return docs.select(*others, nothing.alias(name))
+    (h,) = unused(docs, "h")
+    found = with_entropies(docs, models, text_col, h)
+    least = F.array_min(h)
+    top = F.array_position(h, least).cast("int")
+    total = F.aggregate(h, F.lit(0.0), lambda all_, x: all_ + F.exp(20 * (least - x)))
+    langs = F.array(*[F.lit(lang) for lang in models.langs])
+    limits = F.array(*[F.lit(float(x)) for x in models.limits])
+    best = said(F.element_at(langs, top), 1 / total, least <= F.element_at(limits, top))
+    return found.select(
+        *others, F.when(F.col(h).isNull(), nothing).otherwise(best).alias(name)
+    )

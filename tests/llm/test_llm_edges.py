@@ -1,5 +1,7 @@
 """NULLs, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import random
+
 import pytest
 from plain import CLASHES, classes, contamination, dedup_lines, documents, measures, words
 
@@ -175,6 +177,48 @@ def test_language(spark):
     assert predict(train.limit(0), models, "text").count() == 0
 
 
+def test_grams_of_models_are_exact(spark):
+    """Many different grams: each keeps its own probability, sent to tasks or joined in Spark."""
+    from casetrends.llm import langid
+
+    rng = random.Random(5)
+    letters = {"zh": range(0x4E00, 0x7E00), "ja": range(0x6E00, 0x9E00)}
+    texts = [
+        (lang, "".join(chr(rng.choice(x)) for _ in range(3000)))
+        for lang, x in letters.items() for _ in range(20)
+    ]
+    rows = [(i, text) for i, (_, text) in enumerate(texts)]
+    train = documents(spark, rows[:20]).unionAll(documents(spark, rows[20:]).replace("en", "ja", "lang"))
+    sent, stored = fit_models(train), fit_models(train, max_mb=1)
+    assert isinstance(sent, langid.Models) and isinstance(stored, langid.StoredModels)
+    distinct = {text[i : i + 4] for _, text in texts for i in range(len(text) - 3)}
+    # All of them; as hashes of 19 bits some of them were one.
+    assert len(sent.keys[4]) >= len(distinct) > 100_000
+    docs = documents(spark, [*[t[:400] for _, t in texts], None, "", "12", "xyz"], clash=True)
+    got, other = (
+        {r["doc_id"]: r["language"] for r in predict(docs, m, "text").collect()}
+        for m in (sent, stored)
+    )
+    assert len(got) == len(other) == docs.count()
+    for i, g in got.items():
+        assert g["lang"] == other[i]["lang"] and g["accepted"] == other[i]["accepted"]
+        assert g["score"] == pytest.approx(other[i]["score"], abs=1e-5)
+    assert list(sent.limits) == pytest.approx(list(stored.limits), rel=1e-5)
+    # A gram no text has backs off: its score is that of the shorter one and of what is left.
+    unseen = next(x for x in ("\u4e00" * 4, "\u4e01" * 4) if x not in distinct)
+    packed = langid.grams([unseen])[0][3:4]
+    assert not langid.Models._find(sent.keys[4], packed)[1].any()
+
+
+def test_limits_of_rejection_take_all_texts(spark):
+    """A language whose texts come after thousands of another one's has a limit, too."""
+    rows = [(i, "the cat and the other thing of that") for i in range(2500)]
+    last = [(i, "ñandú que el niño español") for i in range(20)]
+    train = documents(spark, rows).unionAll(documents(spark, last).replace("en", "es", "lang"))
+    models = fit_models(train.coalesce(1))
+    assert models.langs == ["en", "es"] and all(x < 100 for x in models.limits)
+
+
 def test_models_sum_to_one(spark):
     from casetrends.llm import langid
 
