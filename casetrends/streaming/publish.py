@@ -16,6 +16,7 @@ from casetrends.sources.tables import spread
 
 SUFFIX = ".csv"
 NAME_FROM = ("file", "folder")
+VERSION = "_version"
 
 
 def text_schema(columns: tuple[str, ...] = US_SERIES_COLUMNS) -> T.StructType:
@@ -27,16 +28,56 @@ def _decoded(uri: str) -> Column:
     return F.url_decode(F.replace(F.col(uri), F.lit("+"), F.lit("%2B")))
 
 
-def _target_and_version(in_dir: str, name_from: str) -> tuple[Column, Column]:
-    """The published name of a row's file, and what tells two uploads of a name apart."""
-    path, written = _decoded("_metadata.file_path"), F.col("_metadata.file_modification_time")
+def _target_and_version(
+    in_dir: str, name_from: str, path: Column, millis: Column
+) -> tuple[Column, Column]:
+    """The published name of a file, and a text that sorts the uploads of a name by age."""
     if name_from == "file":
-        return strip_suffix(_decoded("_metadata.file_name"), SUFFIX), F.struct(written, path)
+        age = F.lpad(millis.cast("string"), 20, "0")
+        return strip_suffix(F.regexp_extract(path, "[^/]+$", 0), SUFFIX), F.concat_ws(" ", age, path)
     # <in_dir>/<name>/<run>/part-*.csv, or name=<name>/run=<run>: the greatest run is the newest.
     inside = re.escape(in_dir.rstrip("/").split(":")[-1].lstrip("/"))
     name = F.regexp_extract(path, inside + r"/(?:[^/=]+=)?([^/]+)/[^/]+/[^/]+$", 1)
     run = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
-    return strip_suffix(name, SUFFIX), F.struct(run.alias("run"))
+    return strip_suffix(name, SUFFIX), run
+
+
+def _exact(path: str) -> str:
+    """The path as a pattern that only it matches."""
+    return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
+
+
+def _uploads(spark: SparkSession, in_dir: str) -> DataFrame:
+    """``path, millis`` of the files below a folder, also of the empty ones that readers skip."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(in_dir)
+    system = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    above = len(system.makeQualified(top).toString().rstrip("/")) + 1
+    files, found = system.listFiles(top, True), []
+    while files.hasNext():
+        file = files.next()
+        path = file.getPath().toString()
+        hidden = any(
+            x.startswith(".") or (x.startswith("_") and "=" not in x)
+            for x in path[above:].split("/")
+        )
+        if path.endswith(SUFFIX) and not hidden:
+            found.append((path, file.getModificationTime()))
+    return spark.createDataFrame(found, "path string, millis long")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
+
+
+def _published_versions(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """The version of each table that is published; tables written before there were any are left
+    out."""
+    if not _exists(spark, out_dir):
+        return {}
+    stored = spark.read.schema(f"`{VERSION}` string, target string").parquet(out_dir)
+    newest = stored.filter(F.col(VERSION).isNotNull()).groupBy("target").agg(F.max(VERSION))
+    return {r[0]: r[1] for r in newest.collect()}
 
 
 def publish_stream(
@@ -46,61 +87,104 @@ def publish_stream(
     checkpoint: str,
     schema: T.StructType | None = None,
     name_from: str = "file",
+    marker: str | None = None,
 ) -> StreamingQuery:
     """Publish every ``*.csv`` that has arrived below ``in_dir`` and stop.
 
-    ``<name>.csv`` replaces the whole published ``<name>``; other files are ignored. When a
-    name arrives more than once in a batch the newest upload is the one published. The file
+    ``<name>.csv`` replaces the whole published ``<name>``; other files are ignored. The file
     source remembers paths, so a name is published again by writing it to a new folder. With
     ``name_from="folder"`` an upload is a folder of part files, ``<name>/<run>/part-*.csv``,
-    and its run folders sort by age (a time stamp as the name does).
+    and its run folders sort by age (a time stamp as the name does). With a ``marker`` (such as
+    ``_SUCCESS``) only folders that hold a file of that name are published; one that gets it
+    later is published by the next call.
+
+    A batch only tells that files have arrived. The newest upload of each name below ``in_dir``
+    is read whole, in whatever batches its parts came, where a part of it is in the batch or it is
+    newer than what is published.
 
     Each batch is one dynamic partition overwrite, so repeating it after a failure leaves the
-    same tables. Header rows stay in the stored data (``is_header``); a file that has only a
-    header therefore empties its table.
+    same tables. Header rows stay in the stored data (``is_header``), and each table has a row
+    with its version among them; a file that is empty or has only a header therefore empties its
+    table.
     """
     if name_from not in NAME_FROM:
         raise ValueError(f"name_from must be one of {NAME_FROM}, not {name_from!r}")
+    if marker is not None and name_from != "folder":
+        raise ValueError("a marker needs name_from='folder'")
     schema = schema or text_schema()
-    target, version = _target_and_version(in_dir, name_from)
+    millis = F.unix_millis(F.col("_metadata.file_modification_time"))
+    target, _ = _target_and_version(in_dir, name_from, _decoded("_metadata.file_path"), millis)
     header_row = F.lit(True)
     for name in schema.names:
         header_row = header_row & F.col(quoted(name)).eqNullSafe(F.lit(name))
-    arrivals = (
-        spark.readStream.schema(schema)
-        .option("header", False)
-        .option("escape", '"')
-        .option("pathGlobFilter", "*" + SUFFIX)
-        .option("recursiveFileLookup", True)
-        .csv(in_dir)
-        .select(
-            *[quoted(c) for c in schema.names],
-            header_row.alias("is_header"),
-            F.col("_metadata.file_path").alias("file_path"),
-            target.alias("target"),
-            version.alias("version"),
-        )
-    )
 
-    def replace(batch: DataFrame, _: int) -> None:
-        uploads = batch.groupBy("target", "version", "file_path").agg(
-            F.bool_or("is_header").alias("has_header")
+    def publish(arrived: set[str]) -> None:
+        files = _uploads(spark, in_dir).select(
+            "path", *(c.alias(n) for c, n in zip(
+                _target_and_version(in_dir, name_from, F.col("path"), F.col("millis")),
+                ("target", "version"),
+            ))
+        )
+        found: dict[str, dict[str, list]] = {}
+        for r in files.collect():
+            found.setdefault(r.target, {}).setdefault(r.version, []).append(r)
+        before = _published_versions(spark, out_dir)
+        kept = []
+        for name, versions in found.items():
+            for newest in sorted(versions, reverse=True):
+                # An upload that is published already may have got further parts.
+                old = before.get(name, "")
+                if newest < old or (newest == old and name not in arrived):
+                    break
+                folder = versions[newest][0].path.rsplit("/", 1)[0]
+                if marker is None or _exists(spark, f"{folder}/{marker}"):
+                    kept += versions[newest]
+                    break
+        if not kept:
+            return
+        read = (
+            spark.read.schema(schema)
+            .option("header", False)
+            .option("escape", '"')
+            .csv([_exact(r.path) for r in kept])
+            .select(
+                *[quoted(c) for c in schema.names],
+                header_row.alias("is_header"),
+                F.lit(None).cast("string").alias(VERSION),
+                F.col("_metadata.file_path").alias("file_path"),
+                target.alias("target"),
+            )
         )
-        headless = [r.file_path for r in uploads.filter(~F.col("has_header")).limit(20).collect()]
+        by_file = read.groupBy("file_path").agg(F.bool_or("is_header").alias("has_header"))
+        headless = [r.file_path for r in by_file.filter(~F.col("has_header")).limit(20).collect()]
         if headless:
             raise ValueError(f"files without the header {schema.names}: {headless}")
-        newest = uploads.groupBy("target").agg(F.max("version").alias("version"))
-        kept = batch.join(newest, ["target", "version"], "left_semi").drop("version", "file_path")
+        own = spark.createDataFrame(
+            sorted({(r.target, r.version) for r in kept}), "target string, version string"
+        ).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
+            F.lit(True).alias("is_header"), F.col("version").alias(VERSION), "target",
+        )
         (
-            spread(kept, "target")
+            spread(read.drop("file_path").unionByName(own), "target")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("target")
             .parquet(out_dir)
         )
 
+    def replace(batch: DataFrame, _: int) -> None:
+        publish({r.target for r in batch.distinct().collect()})
+
+    if marker is not None and _exists(spark, in_dir):
+        publish(set())
     return (
-        arrivals.writeStream.foreachBatch(replace)
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "*" + SUFFIX)
+        .option("recursiveFileLookup", True)
+        .csv(in_dir)
+        .select(target.alias("target"))
+        .writeStream.foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -109,7 +193,7 @@ def publish_stream(
 
 def published(spark: SparkSession, out_dir: str, target: str | None = None) -> DataFrame:
     """The data rows of one published table, or of all with their ``target``."""
-    rows = spark.read.parquet(out_dir).filter(~F.col("is_header")).drop("is_header")
+    rows = spark.read.parquet(out_dir).filter(~F.col("is_header")).drop("is_header", VERSION)
     if target is None:
         return rows
     return rows.filter(F.col("target") == target).drop("target")

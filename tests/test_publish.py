@@ -64,6 +64,49 @@ def test_folder_uploads(spark, folder):
     assert rows(published(spark, f"{folder}/out", "us_cur"), "county") == [("d", "0", "2"), ("d", "1", "2")]
 
 
+def test_parts_of_two_batches_are_one_upload(spark, folder):
+    put(folder, "in/x/20200122/part-0.csv", HEADER + "d,0,1\n")
+    run(spark, folder, name_from="folder")
+    put(folder, "in/x/20200122/part-1.csv", HEADER + "d,1,1\n")
+    run(spark, folder, name_from="folder")
+    assert rows(published(spark, f"{folder}/out", "x"), "county") == [("d", "0", "1"), ("d", "1", "1")]
+
+
+def test_late_old_upload_does_not_replace_a_newer_one(spark, folder):
+    put(folder, "in/x/20200123/part-0.csv", HEADER + "d,A,2\n")
+    run(spark, folder, name_from="folder")
+    put(folder, "in/x/20200122/part-0.csv", HEADER + "d,A,1\n")
+    run(spark, folder, name_from="folder")
+    assert rows(published(spark, f"{folder}/out", "x")) == [("d", "A", "2")]
+    # Also where the newer one is not below the folder.
+    put(folder, "other/x/20200122/part-0.csv", HEADER + "d,A,1\n")
+    publish_stream(
+        spark, f"{folder}/other", f"{folder}/out", f"{folder}/other-state", SCHEMA, "folder"
+    ).awaitTermination()
+    assert rows(published(spark, f"{folder}/out", "x")) == [("d", "A", "2")]
+
+
+def test_empty_object_empties_its_table(spark, folder):
+    put(folder, "in/1/x.csv", HEADER + "2020-01-22,A,1\n")
+    put(folder, "in/1/y [1],{2}.csv", HEADER + "2020-01-22,A,1\n")
+    run(spark, folder)
+    put(folder, "in/2/x.csv", "")
+    run(spark, folder)
+    assert rows(published(spark, f"{folder}/out")) == [("2020-01-22", "A", "1", "y [1],{2}")]
+
+
+def test_only_marked_folders(spark, folder):
+    options = {"name_from": "folder", "marker": "_SUCCESS"}
+    put(folder, "in/x/20200122/part-0.csv", HEADER + "d,A,1\n")
+    put(folder, "in/x/20200122/_SUCCESS", "")
+    put(folder, "in/x/20200123/part-0.csv", HEADER + "d,A,2\n")
+    run(spark, folder, **options)
+    assert rows(published(spark, f"{folder}/out", "x")) == [("d", "A", "1")]
+    put(folder, "in/x/20200123/_SUCCESS", "")
+    run(spark, folder, **options)
+    assert rows(published(spark, f"{folder}/out", "x")) == [("d", "A", "2")]
+
+
 def test_wrong_header_fails(spark, folder):
     put(folder, "in/1/x.csv", "dt,total,county\n2020-01-22,1,A\n")
     with pytest.raises(Exception, match="without the header"):
