@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ASCII white space: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -64,13 +64,23 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     ]
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a local session without one takes a temporary one."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
+    return folder
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute the frame once and store it in the shared folder of ``spark.checkpoint.dir``.
 
     Only where that setting is absent, as in tests, a folder is chosen here.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
