@@ -18,6 +18,7 @@ from casetrends.schemas import GLOBAL_DAILY
 from querybook.registry import query
 from querybook.storage import SQL_STANDARD_REPORTS, report_folder, scratch_table
 from querybook.views import (
+    SQL_AXIS,
     SQL_NATION_DAYS,
     SQL_ORDER_DAYS,
     SQL_PLACES,
@@ -28,11 +29,10 @@ from querybook.views import (
     order_dates,
     places,
     reports,
-    sql_global_wide,
+    sql_global_long_of_wide,
     sql_round,
-    sql_unpivot,
     sql_us_long,
-    sql_us_wide,
+    sql_us_long_of_wide,
     table,
     us_long,
     us_reports,
@@ -104,11 +104,14 @@ us_series AS (
 
 SQL_US_WIDE = with_ctes(
     SQL_PLACES,
-    sql_us_wide("confirmed"),
-    sql_us_wide("deaths"),
-    sql_unpivot("us_confirmed_wide", IDS, "confirmed", "confirmed_long"),
-    sql_unpivot("us_deaths_wide", IDS, "deaths", "deaths_long"),
-    sql_us_joined("confirmed_long", "deaths_long", "us_deaths_wide"),
+    SQL_AXIS,
+    sql_us_long_of_wide("confirmed"),
+    sql_us_long_of_wide("deaths"),
+    sql_us_joined(
+        "us_confirmed_melted",
+        "us_deaths_melted",
+        "(SELECT DISTINCT combined_key, population FROM us_deaths_melted)",
+    ),
     sql_series("joined", "combined_key", US),
     SQL_US_RESULT,
 )
@@ -248,8 +251,8 @@ joined AS (
 
 
 SQL_WORLD_WIDE = with_ctes(
-    *[sql_global_wide(m) for m in WIDE],
-    *[sql_unpivot(f"global_{m}_wide", PLACE, m, f"{m}_long") for m in WIDE],
+    SQL_AXIS,
+    *[sql_global_long_of_wide(m, f"{m}_long") for m in WIDE],
     _sql_world_joined(),
     sql_series("joined", WORLD_KEY, WIDE),
 )

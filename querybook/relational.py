@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casetrends.functions import date_header
+from casetrends.functions.dates import column_day
 from casetrends.functions.rates import plausible_rate
 from casetrends.operators import (
     UnknownColumnsError,
@@ -23,24 +24,25 @@ from casetrends.operators import (
     standardize_report,
     union_drifted,
     union_sources,
+    unpivot_wide,
 )
 from casetrends.schemas import US_DAILY
 from querybook.registry import query
 from querybook.views import (
-    DAY_COLUMNS,
-    DAYS,
+    SQL_AXIS,
     SQL_NATION_DAYS,
     SQL_ORDER_DAYS,
     SQL_PLACES,
     SQL_REPORTS,
     US_IDS,
-    order_dates,
+    day_columns,
     global_long,
+    order_dates,
     places,
     reports,
     sql_global_long,
     sql_us_long,
-    sql_us_wide,
+    sql_us_long_of_wide,
     table,
     us_long,
     us_reports,
@@ -60,16 +62,24 @@ def positional_rename(spark, sf):
     return table(spark, sf, "customer").toDF("place_id", "county", "state_id", "balance", "segment")
 
 
+def _sql_melted(metric: str) -> str:
+    return with_ctes(SQL_PLACES, SQL_AXIS, sql_us_long_of_wide(metric))
+
+
+# Wide results are melted: a table has as many columns as its data have days, SQL text has not.
+
+
 @query(
     "P2_date_header_normalize",
-    with_ctes(SQL_PLACES, sql_us_wide("confirmed"))
-    + f"SELECT combined_key, {', '.join(DAY_COLUMNS)} FROM us_confirmed_wide",
+    _sql_melted("confirmed") + "SELECT combined_key, dt, total_confirmed FROM us_confirmed_melted",
 )
 def date_header_normalize(spark, sf):
-    headers = [f"{d.month}/{d.day}/{d:%y}" for d in DAYS]
-    published = us_wide(spark, sf, "confirmed").select("combined_key", *DAY_COLUMNS)
+    columns = day_columns(spark, sf)
+    headers = [f"{d.month}/{d.day}/{d:%y}" for d in map(column_day, columns)]
+    published = us_wide(spark, sf, "confirmed").select("combined_key", *columns)
     published = published.toDF("combined_key", *headers)
-    return published.toDF("combined_key", *[date_header(h) for h in published.columns[1:]])
+    named = published.toDF("combined_key", *[date_header(h) for h in published.columns[1:]])
+    return unpivot_wide(named, ["combined_key"], "confirmed")
 
 
 def _spelled(spark, sf):
@@ -156,13 +166,16 @@ def select_except(spark, sf):
 
 @query(
     "P7_replace_column",
-    with_ctes(SQL_PLACES, sql_us_wide("confirmed"))
-    + """SELECT combined_key, COALESCE(dt_20240102, 0) AS dt_20240102, dt_20240103
-         FROM us_confirmed_wide""",
+    _sql_melted("confirmed")
+    + """SELECT combined_key, dt, CASE WHEN dt = (SELECT MIN(dt) FROM axis) + 1
+                                      THEN COALESCE(total_confirmed, 0) ELSE total_confirmed END
+                AS total_confirmed FROM us_confirmed_melted""",
 )
 def replace_column(spark, sf):
-    wide = us_wide(spark, sf, "confirmed").select("combined_key", "dt_20240102", "dt_20240103")
-    return wide.withColumns({"dt_20240102": F.coalesce("dt_20240102", F.lit(0))})
+    columns = day_columns(spark, sf)
+    wide = us_wide(spark, sf, "confirmed").select("combined_key", *columns)
+    replaced = wide.withColumns({c: F.coalesce(c, F.lit(0)) for c in columns[1:2]})
+    return unpivot_wide(replaced, ["combined_key"], "confirmed")
 
 
 @query(
@@ -189,12 +202,13 @@ def neq_filter(spark, sf):
 
 @query(
     "P10_column_slice",
-    with_ctes(SQL_PLACES, sql_us_wide("deaths"))
-    + "SELECT " + ", ".join([f'"{c}"' for c in US_IDS] + ["population"] + DAY_COLUMNS[:3])
-    + " FROM us_deaths_wide",
+    _sql_melted("deaths")
+    + f"""SELECT {", ".join(f'"{c}"' for c in US_IDS)}, population, dt, total_deaths
+          FROM us_deaths_melted WHERE dt < (SELECT MIN(dt) FROM axis) + 3""",
 )
 def slice_columns(spark, sf):
-    return column_slice(us_wide(spark, sf, "deaths"), 0, 15)
+    part = column_slice(us_wide(spark, sf, "deaths"), 0, len(US_IDS) + 1 + 3)
+    return unpivot_wide(part, [*US_IDS, "population"], "deaths")
 
 
 @query(
@@ -209,9 +223,9 @@ def null_literal_columns(spark, sf):
 
 @query(
     "P12_insert_column_at",
-    with_ctes(SQL_PLACES, sql_us_wide("confirmed"))
-    + f'SELECT w."UID", w.combined_key, p.population, {", ".join("w." + c for c in DAY_COLUMNS)} '
-    + "FROM us_confirmed_wide w JOIN places p ON w.combined_key = p.combined_key",
+    _sql_melted("confirmed")
+    + """SELECT w."UID", w.combined_key, p.population, dt, total_confirmed
+         FROM us_confirmed_melted w JOIN places p ON w.combined_key = p.combined_key""",
 )
 def insert_population(spark, sf):
     wide = us_wide(spark, sf, "confirmed")
@@ -219,7 +233,7 @@ def insert_population(spark, sf):
     located = wide.join(people, "combined_key").select(*wide.columns, "people")
     placed = insert_column_at(located, 11, "population", F.col("people"))
     assert placed.columns[10:12] == ["combined_key", "population"]
-    return placed.select("UID", "combined_key", "population", *DAY_COLUMNS)
+    return unpivot_wide(placed, ["UID", "combined_key", "population"], "confirmed")
 
 
 @query(
@@ -327,9 +341,11 @@ def full_align_3_one_row(spark, sf):
 
 @query(
     "J3_left_enrich",
-    with_ctes(SQL_ORDER_DAYS, SQL_PLACES, sql_us_long("confirmed"), sql_us_wide("deaths"))
+    with_ctes(SQL_ORDER_DAYS, SQL_PLACES, SQL_AXIS, sql_us_long("confirmed"), sql_us_long_of_wide("deaths"))
     + """SELECT a.dt, a.combined_key, a.total_confirmed, b.population
-         FROM us_confirmed a LEFT JOIN us_deaths_wide b ON a.combined_key = b.combined_key""",
+         FROM us_confirmed a
+         LEFT JOIN (SELECT DISTINCT combined_key, population FROM us_deaths_melted) b
+           ON a.combined_key = b.combined_key""",
 )
 def left_enrich(spark, sf):
     series = us_long(spark, sf, "confirmed").select("dt", "combined_key", "total_confirmed")

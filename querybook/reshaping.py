@@ -8,11 +8,10 @@ from casetrends.operators import dated_structs, unnest, unpivot_wide
 from casetrends.schemas import US_PLACE
 from querybook.registry import query
 from querybook.views import (
-    DAY_COLUMNS,
-    DAYS,
+    SQL_AXIS,
     SQL_PLACES,
-    sql_unpivot,
-    sql_us_wide,
+    day_columns,
+    sql_us_long_of_wide,
     us_wide,
     with_ctes,
 )
@@ -20,12 +19,8 @@ from querybook.views import (
 
 @query(
     "R1_unpivot_wide",
-    with_ctes(
-        SQL_PLACES,
-        sql_us_wide("confirmed"),
-        sql_unpivot("us_confirmed_wide", ", ".join(US_PLACE), "confirmed", "long"),
-    )
-    + "SELECT * FROM long",
+    with_ctes(SQL_PLACES, SQL_AXIS, sql_us_long_of_wide("confirmed"))
+    + f"SELECT dt, {', '.join(US_PLACE)}, total_confirmed FROM us_confirmed_melted",
 )
 def unpivot(spark, sf):
     return unpivot_wide(us_wide(spark, sf, "confirmed"), list(US_PLACE), "confirmed")
@@ -33,33 +28,25 @@ def unpivot(spark, sf):
 
 @query(
     "R2_array_of_struct",
-    with_ctes(SQL_PLACES, sql_us_wide("deaths"))
-    + f"""SELECT combined_key, {len(DAY_COLUMNS)} AS days, DATE '{DAYS[0]}' AS first_dt,
-                 {DAY_COLUMNS[0]} AS first_total, DATE '{DAYS[-1]}' AS last_dt,
-                 {DAY_COLUMNS[-1]} AS last_total FROM us_deaths_wide""",
+    with_ctes(SQL_PLACES, SQL_AXIS, sql_us_long_of_wide("deaths"))
+    + """SELECT combined_key, CAST(dt - (SELECT MIN(dt) FROM axis) AS INTEGER) AS position, dt,
+                total_deaths, CAST((SELECT COUNT(*) FROM axis) AS INTEGER) AS days
+         FROM us_deaths_melted""",
 )
 def array_of_struct(spark, sf):
-    dated = dated_structs(us_wide(spark, sf, "deaths"), DAY_COLUMNS, "deaths")
-    first, last = F.element_at("arr", 1), F.element_at("arr", -1)
-    return dated.select(
-        "combined_key",
-        F.size("arr").alias("days"),
-        first["dt"].alias("first_dt"),
-        first["total_deaths"].alias("first_total"),
-        last["dt"].alias("last_dt"),
-        last["total_deaths"].alias("last_total"),
+    """Every struct of every array, with its position and the array's length."""
+    dated = dated_structs(us_wide(spark, sf, "deaths"), day_columns(spark, sf), "deaths")
+    structs = dated.select(
+        "combined_key", F.size("arr").alias("days"), F.posexplode("arr").alias("position", "x")
     )
+    return structs.select("combined_key", "position", "x.dt", "x.total_deaths", "days")
 
 
 @query(
     "R3_unnest",
-    with_ctes(
-        SQL_PLACES,
-        sql_us_wide("deaths"),
-        sql_unpivot("us_deaths_wide", "combined_key, population", "deaths", "long"),
-    )
-    + "SELECT combined_key, population, dt, total_deaths FROM long",
+    with_ctes(SQL_PLACES, SQL_AXIS, sql_us_long_of_wide("deaths"))
+    + "SELECT combined_key, population, dt, total_deaths FROM us_deaths_melted",
 )
 def unnest_array(spark, sf):
-    dated = dated_structs(us_wide(spark, sf, "deaths"), DAY_COLUMNS, "deaths")
+    dated = dated_structs(us_wide(spark, sf, "deaths"), day_columns(spark, sf), "deaths")
     return unnest(dated.select("combined_key", "population", "arr"), "arr")

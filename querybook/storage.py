@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casetrends.functions import report_file_name
+from casetrends.operators import unpivot_wide
 from casetrends.plans import ingest_daily_reports
 from casetrends.schemas import GLOBAL_DAILY, US_CONFIRMED_IDS
 from casetrends.sources import (
@@ -33,14 +34,14 @@ from casetrends.streaming import publish_stream, published
 from casetrends.streaming.publish import text_schema
 from querybook.registry import query
 from querybook.views import (
-    DAY_COLUMNS,
     NEW_HEADER_DAY,
+    SQL_AXIS,
     SQL_PLACES,
     SQL_REPORT_TEXTS,
     US_IDS,
     event_days_range,
     report_texts,
-    sql_us_wide,
+    sql_us_long_of_wide,
     table,
     us_wide,
     with_ctes,
@@ -59,13 +60,14 @@ def scratch_table(spark: SparkSession, name: str) -> str:
 
 @query(
     "S1_wide_csv_scan",
-    with_ctes(SQL_PLACES, sql_us_wide("confirmed"))
-    + "SELECT " + ", ".join(f'"{c}"' for c in [*US_IDS, *DAY_COLUMNS]) + " FROM us_confirmed_wide",
+    with_ctes(SQL_PLACES, SQL_AXIS, sql_us_long_of_wide("confirmed"))
+    + "SELECT * FROM us_confirmed_melted",
 )
 def wide_csv_scan(spark, sf):
+    """Every cell of the file that was read, one row per place and date column."""
     path = scratch_path(spark, "wide")
     write_wide(us_wide(spark, sf, "confirmed"), path, US_IDS)
-    return read_wide(spark, path, US_CONFIRMED_IDS)
+    return unpivot_wide(read_wide(spark, path, US_CONFIRMED_IDS), US_IDS, "confirmed")
 
 
 def report_folder(spark: SparkSession, sf: str) -> str:

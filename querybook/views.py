@@ -1,8 +1,9 @@
 """Case-count frames out of the driver's tables, in Spark and as SQL text.
 
 Places: a customer is a county, its nation the province or state, the region the country.
-``NATION_0`` has no province name. Counts: events per user and day (30 dense days, wide
-frames) and orders per customer or nation and day (2,400 sparse days, long frames).
+``NATION_0`` has no province name. Counts: events per user and day (wide frames, a column for
+every day from the first event to the last) and orders per customer or nation and day (2,400
+sparse days, long frames).
 
 Orders and events are counted per customer and day before they meet the customer table, so a
 customer with very many rows is already reduced to at most one row per day by then. Small
@@ -14,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casetrends.functions.dates import column_day, day_column
@@ -46,10 +47,6 @@ def sql_long(expr: str) -> str:
 
 # --- wide frames from events ----------------------------------------------------------------
 
-FIRST_DAY = dt.date(2024, 1, 1)
-DAYS = [FIRST_DAY + dt.timedelta(days=i) for i in range(30)]
-DAY_COLUMNS = [day_column(d) for d in DAYS]
-
 # Which event types count for a metric.
 EVENTS_OF = {
     "confirmed": ("view", "click", "signup"),
@@ -106,46 +103,81 @@ places AS (
 )"""
 
 
+_RANGES: WeakKeyDictionary[SparkSession, dict[str, tuple]] = WeakKeyDictionary()
+
+
 def event_days_range(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date]:
-    """The first and the last day that has events."""
-    day = F.col("ts").cast("date")
-    return tuple(table(spark, sf, "events").agg(F.min(day), F.max(day)).first())
+    """The first and the last day that has events; one aggregate per session and table."""
+    known = _RANGES.setdefault(spark, {})
+    if sf not in known:
+        day = F.col("ts").cast("date")
+        known[sf] = tuple(table(spark, sf, "events").agg(F.min(day), F.max(day)).first())
+    return known[sf]
+
+
+def day_columns(spark: SparkSession, sf: str) -> list[str]:
+    """A date column for every day from the first event to the last."""
+    first, last = event_days_range(spark, sf)
+    if first is None:
+        return []
+    return [day_column(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)]
+
+
+def _user_days(spark: SparkSession, sf: str, metric: str) -> DataFrame:
+    """A metric's events per user and day: a user's very many events become one row per day."""
+    counted = table(spark, sf, "events").filter(F.col("event_type").isin(*EVENTS_OF[metric]))
+    return counted.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(
+        F.count("*").alias("n")
+    )
 
 
-def _counts_to_date(df: DataFrame, metric: str) -> DataFrame:
-    """One row per user with a running count for each date column.
+def _running(per_day: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One row per key with the running sum of ``n`` in each date column; NULL before the first.
 
-    Counted per user and day first: a user with very many events then brings one thin row per
-    day to the second grouping, which needs no partial sums for its many columns.
+    The sum of a day is repeated up to the next day that has one, and these runs joined end to
+    end, so the work grows with the days, not with their square.
     """
-    per_day = (
-        df.filter(F.col("event_type").isin(*EVENTS_OF[metric]))
-        .groupBy("user_id", F.expr("CAST(ts AS date) AS day"))
-        .agg(F.count("*").alias("n"))
+    if not columns:
+        return per_day.select(*keys).distinct()
+    by_day = Window.partitionBy(*keys).orderBy("day")
+    at = F.date_diff("day", F.lit(column_day(columns[0])))
+    placed = per_day.select(
+        *keys, at.alias("at"), F.sum("n").over(by_day).alias("total"),
+        F.coalesce(F.lead(at).over(by_day), F.lit(len(columns))).alias("until"),
+    )
+    run = F.array_repeat("total", F.col("until") - F.col("at"))
+    rows = placed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", run.alias("run")))).alias("runs"))
+    before = F.array_repeat(F.lit(None).cast("bigint"), F.col("runs")[0]["at"])
+    totals = rows.select(
+        *keys, F.concat(before, F.flatten(F.transform("runs", lambda r: r["run"]))).alias("totals")
     )
-    sums = [
-        F.expr(f"sum(CASE WHEN day <= DATE '{d}' THEN n END) AS {c}")
-        for d, c in zip(DAYS, DAY_COLUMNS)
-    ]
-    return per_day.repartition("user_id").groupBy("user_id").agg(*sums)
+    return totals.select(*keys, *[F.col("totals")[k].alias(c) for k, c in enumerate(columns)])
 
 
-def _sql_counts_to_date(metric: str, source: str, keys: str) -> str:
-    sums = ",\n           ".join(
-        sql_long(f"SUM(CASE WHEN CAST(ts AS DATE) <= DATE '{d}' THEN 1 END)") + f" AS {c}"
-        for d, c in zip(DAYS, DAY_COLUMNS)
-    )
-    kind_list = ", ".join(f"'{k}'" for k in EVENTS_OF[metric])
-    return f"""SELECT {keys},
-           {sums}
-    FROM {source}
-    WHERE event_type IN ({kind_list})
-    GROUP BY {keys}"""
+SQL_AXIS = """
+axis AS (
+    SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS dt
+    FROM (SELECT date_trunc('day', MIN(ts)) AS lo, date_trunc('day', MAX(ts)) AS hi FROM events)
+)"""
+
+
+def _sql_running(metric: str, source: str, keys: tuple[str, ...]) -> str:
+    """Long rows: every key with every day of the axis and the count up to it."""
+    kinds = ", ".join(f"'{k}'" for k in EVENTS_OF[metric])
+    names = ", ".join(keys)
+    same = " AND ".join(f"g.{k} IS NOT DISTINCT FROM d.{k}" for k in keys)
+    total = sql_long(f"SUM(n) OVER (PARTITION BY {', '.join('g.' + k for k in keys)} ORDER BY g.dt)")
+    return f"""SELECT {", ".join("g." + k for k in keys)}, g.dt, {total} AS total_{metric}
+    FROM (SELECT DISTINCT {names}, axis.dt FROM {source}, axis WHERE event_type IN ({kinds})) g
+    LEFT JOIN (SELECT {names}, CAST(ts AS DATE) AS day, COUNT(*) AS n FROM {source}
+               WHERE event_type IN ({kinds}) GROUP BY ALL) d
+      ON {same} AND g.dt = d.day"""
 
 
 def us_wide(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     """County wide frame: running event counts; NULL before a county's first event."""
-    counts = _counts_to_date(table(spark, sf, "events"), metric)
+    columns = day_columns(spark, sf)
+    counts = _running(_user_days(spark, sf, metric), ["user_id"], columns)
     located = counts.join(places(spark, sf), F.col("user_id") == F.col("place_id"))
     extra = ["population"] if metric == "deaths" else []
     return located.select(
@@ -161,20 +193,21 @@ def us_wide(spark: SparkSession, sf: str, metric: str) -> DataFrame:
         "longitude",
         "combined_key",
         *extra,
-        *DAY_COLUMNS,
+        *columns,
     )
 
 
-def sql_us_wide(metric: str) -> str:
+def sql_us_long_of_wide(metric: str) -> str:
+    """The wide frame's rows, melted: ``us_<metric>_melted``."""
     extra = "population, " if metric == "deaths" else ""
     return f"""
 us_{metric}_counts AS (
-    {_sql_counts_to_date(metric, "events", "user_id")}
+    {_sql_running(metric, "events", ("user_id",))}
 ),
-us_{metric}_wide AS (
+us_{metric}_melted AS (
     SELECT user_id AS "UID", 'US' AS iso2, 'USA' AS iso3, CAST(840 AS BIGINT) AS code3,
            user_id AS "FIPS", county, province_state, country_region, latitude, longitude,
-           combined_key, {extra}{", ".join(DAY_COLUMNS)}
+           combined_key, {extra}dt, total_{metric}
     FROM us_{metric}_counts JOIN places ON user_id = place_id
 )"""
 
@@ -185,55 +218,49 @@ def nation_name() -> Column:
 
 def global_wide(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     """Nation wide frame. Recovered cases of ASIA are known for the country only."""
-    counts = _counts_to_date(table(spark, sf, "events"), metric)
     name, spot = "nullif(n_name, 'NATION_0')", "CAST(n_nationkey AS double)"
     if metric == "recovered":
         name, spot = (f"CASE WHEN r_name <> 'ASIA' THEN {v} END" for v in (name, spot))
-    return (
-        counts.join(table(spark, sf, "customer"), F.col("user_id") == F.col("c_custkey"))
+    keys = ["province_state", "country_region", "latitude", "longitude"]
+    per_day = (
+        _user_days(spark, sf, metric)
+        .join(table(spark, sf, "customer"), F.col("user_id") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy(
-            F.expr(f"{name} AS province_state"),
+            F.expr(name).alias("province_state"),
             F.col("r_name").alias("country_region"),
-            F.expr(f"{spot} AS latitude"),
-            F.expr("CAST(r_regionkey AS double) AS longitude"),
+            F.expr(spot).alias("latitude"),
+            F.col("r_regionkey").cast("double").alias("longitude"),
+            "day",
         )
-        .agg(*[F.expr(f"sum({c}) AS {c}") for c in DAY_COLUMNS])
+        .agg(F.sum("n").alias("n"))
     )
+    return _running(per_day, keys, day_columns(spark, sf))
 
 
-def sql_global_wide(metric: str) -> str:
+def sql_global_long_of_wide(metric: str, name: str) -> str:
     whole = metric == "recovered"
-    name = "NULLIF(n_name, 'NATION_0')"
+    state = "NULLIF(n_name, 'NATION_0')"
     spot = "CAST(n_nationkey AS DOUBLE)"
     if whole:
-        name = f"CASE WHEN r_name <> 'ASIA' THEN {name} END"
+        state = f"CASE WHEN r_name <> 'ASIA' THEN {state} END"
         spot = f"CASE WHEN r_name <> 'ASIA' THEN {spot} END"
-    keys = "province_state, country_region, latitude, longitude"
+    keys = ("province_state", "country_region", "latitude", "longitude")
     return f"""
 placed_{metric} AS (
-    SELECT event_type, value, ts, {name} AS province_state, r_name AS country_region,
+    SELECT event_type, ts, {state} AS province_state, r_name AS country_region,
            {spot} AS latitude, CAST(r_regionkey AS DOUBLE) AS longitude
     FROM events
     JOIN customer ON user_id = c_custkey
     JOIN nation ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey
 ),
-global_{metric}_wide AS (
-    {_sql_counts_to_date(metric, f"placed_{metric}", keys)}
+{name} AS (
+    {_sql_running(metric, f"placed_{metric}", keys)}
 )"""
 
 
-def sql_unpivot(wide: str, ids: str, metric: str, name: str) -> str:
-    """Long form of a wide CTE: one branch per date column."""
-    branches = "\n    UNION ALL\n    ".join(
-        f"SELECT DATE '{column_day(c)}' AS dt, {ids}, {c} AS total_{metric} FROM {wide}"
-        for c in DAY_COLUMNS
-    )
-    return f"\n{name} AS (\n    {branches}\n)"
-
-
 # --- long frames from orders ------------------------------------------------------------------
 
 STATUS_OF = {"confirmed": ("F", "O", "P"), "deaths": ("F",), "recovered": ("O",), "active": ("P",)}
