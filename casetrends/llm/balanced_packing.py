@@ -19,6 +19,8 @@ from casetrends.llm.common import col
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ɏ"
 SIMPLE = f"^(?P<word>[{LETTERS}]{{0,64}})(?P<marks>[.,;:!?]{{0,64}})$"
 NONE = np.iinfo(np.int64).max
+WORDS_AT_ONCE, RUNS_AT_ONCE = 1 << 16, 1 << 18
+PIECES_AT_ONCE = 1024
 
 
 def byte_letters() -> list[str]:
@@ -111,28 +113,34 @@ class WordCoder:
         return np.array([i for x in made for i in x.ids], np.int64), size
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-        text = "".join(words.to_pylist()).encode()
-        filled = np.concatenate([[0], np.cumsum(size[size > 0])])
-        ids, counts = self.merges.encode(np.frombuffer(text, np.uint8), filled)
-        size[size > 0] = counts
-        return ids, size
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and where the ids of each text begin (one number more than texts)."""
+        flat, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), WORDS_AT_ONCE):
+            _, offsets, data = words[k : k + WORDS_AT_ONCE].buffers()
+            n = min(WORDS_AT_ONCE, len(words) - k)
+            begins = np.frombuffer(offsets, np.int32)[k : k + n + 1].astype(np.int64)
+            text = np.frombuffer(data or b"", np.uint8)[begins[0] : begins[-1]]
+            size = np.diff(begins)
+            if len(text):
+                ids, size[size > 0] = self.merges.encode(text, np.unique(begins) - begins[0])
+                flat.append(ids.astype("<u4"))
+            sizes.append(size)
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text in turn."""
         runs = pc.ascii_split_whitespace(texts.fill_null(""))
+        offsets = np.asarray(runs.offsets, np.int64) - runs.offsets[0].as_py()
         coded = runs.flatten().dictionary_encode()
-        if not len(coded):
-            return np.zeros(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
         parts = pc.extract_regex(coded.dictionary, SIMPLE)
         simple = parts.is_valid().to_numpy(zero_copy_only=False)
         words = pc.utf8_lower(pc.struct_field(parts, "word")).dictionary_encode()
         marks = pc.struct_field(parts, "marks").dictionary_encode()
-        others = coded.dictionary.filter(pa.array(~simple))
+        others = coded.dictionary.filter(pa.array(~simple, pa.bool_()))
         # Each run is two atoms: a word and its marks, or another run and nothing (the last atom).
         made = [self._words(words.dictionary), self._wholes(marks.dictionary), self._wholes(others)]
         size = np.concatenate([*[n for _, n in made], [0]])
         flat = np.concatenate([ids for ids, _ in made]).astype("<u4")
+        begin = np.cumsum(size) - size
         n_words, n_marks = len(words.dictionary), len(marks.dictionary)
         first = np.where(
             simple, words.indices.fill_null(0).to_numpy(zero_copy_only=False),
@@ -142,12 +150,23 @@ class WordCoder:
             simple, n_words + marks.indices.fill_null(0).to_numpy(zero_copy_only=False),
             len(size) - 1,
         )
-        which = np.stack([first, second], 1)[coded.indices.to_numpy(zero_copy_only=False)].ravel()
-        length = size[which]
-        before = np.concatenate([[0], np.cumsum(length)])
-        at = np.repeat((np.cumsum(size) - size)[which] - before[:-1], length)
-        offsets = np.asarray(runs.offsets, np.int64) - runs.offsets[0].as_py()
-        return flat[at + np.arange(before[-1])], before[2 * offsets]
+        atoms = np.stack([first, second], 1)
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        del runs, coded, parts, words, marks, others
+        at = 0
+        while at < len(texts):
+            # Some texts at a time, as their ids take far more room than the numbers of their runs.
+            until = max(at + 1, int(np.searchsorted(offsets, offsets[at] + RUNS_AT_ONCE)) - 1)
+            own = atoms[which[offsets[at] : offsets[until]]].ravel()
+            length = size[own]
+            before = np.concatenate([[0], np.cumsum(length)])
+            place = np.repeat(begin[own] - before[:-1], length)
+            place += np.arange(before[-1])
+            ids = flat[place]
+            ends = before[2 * (offsets[at + 1 : until + 1] - offsets[at])]
+            for low, high in zip([0, *ends[:-1]], ends):
+                yield ids[low:high]
+            at = until
 
 
 def room_for(tokens: int, capacity: int) -> list[int]:
@@ -252,23 +271,26 @@ def pack_balanced(
 
         for batch in batches:
             id_type = batch.column("id").type
-            ids, begins = coder.encode(batch.column("text"))
             full = []
-            for k, name in enumerate(batch.column("id").to_pylist()):
-                own = np.concatenate([ids[begins[k] : begins[k + 1]], end])
+            names_of = batch.column("id").to_pylist()
+            for name, ids in zip(names_of, coder.encode(batch.column("text"))):
+                own = np.concatenate([ids, end])
                 whole, at = len(own), 0
                 while whole - at >= capacity:
                     piece = own[at : at + capacity].tobytes()
                     full.append((name, at, capacity, piece, whole, made, 0))
                     made, at = made + 1, at + capacity
+                    if len(full) == PIECES_AT_ONCE:
+                        yield rows_of(full)
+                        full = []
                 if at < whole:
                     n = min(whole - at, limit - held)
-                    waiting.append((name, at, own[at : at + n], whole))
+                    waiting.append((name, at, own[at : at + n].copy(), whole))
                     held += n
                     if held == limit:
                         yield packed()
                     if at + n < whole:
-                        waiting.append((name, at + n, own[at + n :], whole))
+                        waiting.append((name, at + n, own[at + n :].copy(), whole))
                         held += whole - at - n
             yield rows_of(full)
         if waiting:
