@@ -1,6 +1,7 @@
-from casetrends.sources.daily import discover_columns, list_reports, read_daily
+from casetrends.sources.daily import discover_columns, read_daily, report_headers
 from casetrends.sources.extract import export_csv, export_table
-from casetrends.sources.files import read_headers, scratch_path
+from casetrends.sources.files import scratch_path
+from casetrends.sources.headers import file_headers, header_groups
 from casetrends.sources.tables import (
     copy_table,
     latest_partition,
@@ -17,15 +18,16 @@ __all__ = [
     "discover_columns",
     "export_csv",
     "export_table",
+    "file_headers",
+    "header_groups",
     "latest_partition",
-    "list_reports",
     "load",
     "materialize",
     "partition_date",
     "read_daily",
-    "read_headers",
     "read_wide",
     "replace_partitions",
+    "report_headers",
     "scratch_path",
     "write_partitioned",
     "write_wide",

@@ -1,20 +1,16 @@
-"""File listings, CSV headers and the shared scratch folder."""
+"""CSV scans and the shared scratch folder."""
 
 from __future__ import annotations
 
-import csv
+import re
 import tempfile
 import uuid
-from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BOM = "\ufeff"
-HEADER_READERS = 32
-
-Header = tuple[str, ...]
+from casetrends.sources.headers import FILE, HeaderGroup
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -31,87 +27,50 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/casetrends-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def list_files(spark: SparkSession, base: str) -> list[str]:
-    """Data files below ``base`` (itself when it is a file), sorted; hidden ones left out.
-
-    This is the listing every file scan makes; nothing is read.
-    """
-    tree = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-    return sorted(unquote(uri) for uri in tree.inputFiles())
-
-
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line that is not blank, as the CSV reader takes it for the header."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(conf).open(target)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
-        source = codec.createInputStream(stream) if codec is not None else stream
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
-        line = lines.readLine()
-        while line is not None and not line.removeprefix(BOM).strip():
-            line = lines.readLine()
-        return line
-    finally:
-        stream.close()
-
-
-def read_headers(spark: SparkSession, paths: list[str], sep: str = ",") -> dict[str, Header]:
-    """``{path: header}``, reading only the head of each file; one without a header is an error.
-
-    A byte order mark is not part of the first name, as in the reader's own view of the file.
-    """
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        lines = list(pool.map(lambda p: _first_line(spark, p), paths))
-    headless = [path for path, line in zip(paths, lines) if line is None]
-    if headless:
-        raise ValueError(f"{len(headless)} files without a header: {headless}")
-    return {
-        path: tuple(next(csv.reader([line.removeprefix(BOM)], delimiter=sep)))
-        for path, line in zip(paths, lines)
-    }
-
-
-def by_header(headers: dict[str, Header]) -> dict[Header, list[str]]:
-    """Files that share a header, to be read by one scan each."""
-    groups: dict[Header, list[str]] = {}
-    for path, header in headers.items():
-        groups.setdefault(header, []).append(path)
-    return groups
+def exact(path: str) -> str:
+    """The path as a pattern that only it matches."""
+    return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
 
 
 def read_text_csv(
     spark: SparkSession,
     paths: list[str],
-    header: Header,
+    group: HeaderGroup,
     sep: str = ",",
     counts_from: int | None = None,
     mode: str = "PERMISSIVE",
+    keep: Column | None = None,
     whole_rows: bool = False,
 ) -> DataFrame:
-    """CSV files with this very header, as strings; columns from ``counts_from`` on as BIGINT.
+    """The CSV files of a group as strings, with ``file_path``; columns from ``counts_from`` on as
+    BIGINT.
 
     The CSV reader assigns values by position, so the header of each file is checked against
-    the names (``enforceSchema=false``) and a file with another column order fails the job.
-    With ``whole_rows`` a quoted field may hold line breaks and each row is parsed and checked
-    whatever columns are read; a file is then one task's.
+    the names (``enforceSchema=false``) and a file with another column order fails the job. Files
+    are split among tasks unless the group has quoted line breaks. With ``whole_rows`` each row is
+    parsed and checked whatever columns are read. ``keep`` is a condition on ``file_path``.
     """
-    texts = len(header) if counts_from is None else counts_from
+    texts = len(group.header) if counts_from is None else counts_from
     schema = T.StructType(
         [
             T.StructField(name, T.StringType() if i < texts else T.LongType())
-            for i, name in enumerate(header)
+            for i, name in enumerate(group.header)
         ]
     )
-    return (
+    rows = (
         spark.read.schema(schema)
         .option("mode", mode)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", whole_rows)
+        .option("recursiveFileLookup", True)
+        .option("multiLine", group.multi)
         .option("columnPruning", not whole_rows)
         .option("sep", sep)
         .option("escape", '"')
         .csv(paths)
+        .select("*", F.col(FILE).alias("file_path"))
     )
+    for condition in (keep, group.files):
+        if condition is not None:
+            rows = rows.where(condition)
+    return rows

@@ -10,7 +10,8 @@ from casetrends.functions.casts import typed_sql
 from casetrends.functions.dates import column_day, date_columns, date_header
 from casetrends.operators.align import union_drifted
 from casetrends.operators.project import quoted
-from casetrends.sources.files import by_header, list_files, read_headers, read_text_csv
+from casetrends.sources.files import exact, read_text_csv
+from casetrends.sources.headers import file_headers, header_groups
 
 COUNTS = ("digits", "text")
 
@@ -26,7 +27,8 @@ def read_wide(
     """Read wide files below ``path``: ``ids`` by position, ``dt_YYYYMMDD`` columns by name.
 
     Dates come from each file's own header, so files that end on different days go together;
-    a date that a file lacks is NULL for its rows.
+    a date that a file lacks is NULL for its rows. Headers are found by tasks; files are split
+    among tasks unless a quoted field of theirs holds a line break.
 
     With ``counts="digits"`` the CSV reader itself parses the counts, several times faster
     than a thousand cast expressions, and takes nothing but digits or an empty field. In the
@@ -34,24 +36,26 @@ def read_wide(
     """
     if counts not in COUNTS:
         raise ValueError(f"counts must be one of {COUNTS}, not {counts!r}")
-    headers = read_headers(spark, list_files(spark, path), sep)
-    if not headers:
+    groups = header_groups(file_headers(spark, [exact(path)], sep))
+    if not groups:
         raise FileNotFoundError(f"no CSV data below {path}")
     frames = []
-    for header, paths in by_header(headers).items():
-        if len(header) < len(ids):
-            raise ValueError(f"{paths[0]}: {len(header)} columns, at least {len(ids)} expected")
-        dates = [date_header(h) for h in header[len(ids) :]]
+    for group in groups:
+        if len(group.header) < len(ids):
+            raise ValueError(
+                f"{group.example}: {len(group.header)} columns, at least {len(ids)} expected"
+            )
+        dates = [date_header(h) for h in group.header[len(ids) :]]
         if len(set(dates)) < len(dates):
-            raise ValueError(f"{paths[0]}: a date occurs twice in the header")
+            raise ValueError(f"{group.example}: a date occurs twice in the header")
         raw = read_text_csv(
             spark,
-            paths,
-            header,
+            [exact(path)],
+            group,
             sep,
             counts_from=len(ids) if counts == "digits" else None,
             mode="FAILFAST" if counts == "digits" and mode == "strict" else "PERMISSIVE",
-        ).toDF(*ids.names, *dates)
+        ).drop("file_path").toDF(*ids.names, *dates)
         located = [
             f"{typed_sql(quoted(f.name), f.dataType, mode, f.name)} AS {quoted(f.name)}"
             for f in ids.fields

@@ -10,10 +10,13 @@ from pyspark.sql import types as T
 from casetrends.plans import ingest_daily_reports
 from casetrends.operators import UnknownColumnsError, latest_snapshot
 from casetrends.schemas import GLOBAL_DAILY, GLOBAL_IDS, US_DAILY
+from casetrends.sources.daily import report_day
 from casetrends.sources import (
     copy_table,
     discover_columns,
     export_csv,
+    file_headers,
+    header_groups,
     latest_partition,
     load,
     materialize,
@@ -290,3 +293,81 @@ def test_quoted_line_break_in_a_report(spark, folder):
     put(folder, "g/01-22-2020.csv", 'Province/State,Country/Region,Confirmed\n"A\nB",C,1\n')
     got = read_daily(spark, f"{folder}/g", GLOBAL_DAILY)
     assert rows(got.select("province_state", "confirmed")) == [("A\nB", 1)]
+
+
+def test_quoted_line_break_in_a_wide_file(spark, folder):
+    put(folder, "a.csv", f'{HEAD},1/22/20\n"two\nlines",A,1,2,3\n"x ""y"", z",B,1,2,4\n')
+    put(folder, "b.csv", f"{HEAD},1/22/20\nplain,C,1,2,5\n")
+    got = read_wide(spark, folder, GLOBAL_IDS).select("province_state", "dt_20200122")
+    assert rows(got, "dt_20200122") == [("two\nlines", 3), ('x "y", z', 4), ("plain", 5)]
+
+
+def test_headers_of_files(spark, folder):
+    put(folder, "a.csv", '\n  \n\ufeff,"B, b","say ""x"""\n1,2,3\n')
+    put(folder, "b [1]/part-0.csv", 'X\n"1\n2"\n')
+    put(folder, "empty.csv", "")
+    put(folder, "_hidden.csv", "H\n")
+    found = {
+        r.file_path.rsplit("/", 1)[-1]: (r.header, r.multi)
+        for r in file_headers(spark, [folder]).collect()
+    }
+    assert found == {
+        "a.csv": (["", "B, b", 'say "x"'], False),
+        "part-0.csv": (["X"], True),
+        "empty.csv": (None, False),
+    }
+    with pytest.raises(ValueError, match="1 files without a header, first .*empty.csv"):
+        header_groups(file_headers(spark, [folder]))
+
+
+def test_groups_of_headers_by_days_and_by_files(spark, folder):
+    day = report_day()
+    for name, head in (("01-01", "A,B"), ("01-02", "A,B"), ("01-03", "B,A"), ("01-04", "A,B")):
+        put(folder, f"{name}-2021.csv", f"{head}\n1,2\n")
+    heads = file_headers(spark, [folder])
+    groups = header_groups(heads, day)
+    assert [g.header for g in groups] == [("A", "B"), ("B", "A")]
+    assert [len(g.days) for g in groups] == [3, 1]
+    picked = [heads.where(g.files).count() for g in groups]
+    assert picked == [3, 1]
+    # Two kinds of parts in one day are told apart by their names.
+    put(folder, "01-05-2021.csv/part-0.csv", "A,B\n1,2\n")
+    put(folder, "01-05-2021.csv/part-1.csv", "B,A\n1,2\n")
+    groups = header_groups(file_headers(spark, [folder]), day)
+    assert [heads.where(g.files).count() for g in groups] == [3, 1]
+    assert [file_headers(spark, [folder]).where(g.files).count() for g in groups] == [4, 2]
+
+
+def test_reports_in_folders_of_years(spark, folder):
+    put(folder, "2020/01-22-2020.csv", "Country_Region,Confirmed\nX,1\n")
+    put(folder, "2021/01-22-2021.csv", "Confirmed,Country_Region\n2,X\n")
+    put(folder, "2021/notes.csv", "Something\nelse\n")
+    got = read_daily(spark, folder, GLOBAL_DAILY).select("report_dt", "confirmed")
+    assert rows(got, "confirmed") == [(dt.date(2020, 1, 22), 1), (dt.date(2021, 1, 22), 2)]
+    one = read_daily(spark, folder, GLOBAL_DAILY, days=["2021-01-22"])
+    assert rows(one.select("confirmed")) == [(2,)]
+
+
+def test_wanted_days_are_not_looked_for_elsewhere(spark, folder):
+    put(folder, "01-22-2020.csv", "Country_Region,Confirmed\nX,1\n")
+    put(folder, "deep/er/01-23-2020.csv", "Surprise\n1\n")
+    got = read_daily(spark, folder, GLOBAL_DAILY, days=["2020-01-22"])
+    assert got.count() == 1
+    files = {p.rsplit("/", 1)[-1] for p in got.inputFiles()}
+    assert files == {"01-22-2020.csv"}
+
+
+def test_files_are_split_unless_a_field_holds_a_line_break(spark, folder):
+    lines = "".join(f"X,{k}\n" for k in range(20000))
+    put(folder, "a/01-22-2020.csv", "Country_Region,Confirmed\n" + lines)
+    put(folder, "b/01-22-2020.csv", 'Country_Region,Confirmed\n"X\nY",7\n' + lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        split = read_daily(spark, f"{folder}/a", GLOBAL_DAILY)
+        whole = read_daily(spark, f"{folder}/b", GLOBAL_DAILY)
+        assert split.rdd.getNumPartitions() > 3 and whole.rdd.getNumPartitions() == 1
+        assert (split.count(), whole.count()) == (20000, 20001)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
