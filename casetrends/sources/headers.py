@@ -16,7 +16,7 @@ Header = tuple[str, ...]
 FILE = "_metadata.file_path"
 
 
-def _listed(spark: SparkSession, paths: list[str]) -> DataFrame:
+def listed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``file_path`` of all data files below the paths, empty ones too; nothing is read."""
     tree = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     jvm = spark._jvm
@@ -58,7 +58,7 @@ def file_headers(
         F.regexp_replace("value", f"^{BOM}", "").alias("line"),
         F.monotonically_increasing_id().alias("at"),
     )
-    listed = _listed(spark, paths)
+    listed = listed_files(spark, paths)
     if keep is not None:
         lines, listed = lines.where(keep), listed.where(keep)
     first = (F.col("start") == 0) & (F.trim("line") != "")

@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from casetrends.functions.names import strip_suffix
 from casetrends.operators.project import quoted
 from casetrends.schemas import US_SERIES_COLUMNS
+from casetrends.sources.files import exact
+from casetrends.sources.headers import listed_files
 from casetrends.sources.tables import spread
 
 SUFFIX = ".csv"
@@ -42,27 +44,43 @@ def _target_and_version(
     return strip_suffix(name, SUFFIX), run
 
 
-def _exact(path: str) -> str:
-    """The path as a pattern that only it matches."""
-    return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
+LEDGER = "path string"
 
 
-def _uploads(spark: SparkSession, in_dir: str) -> DataFrame:
-    """``path, millis`` of the files below a folder, also of the empty ones that readers skip."""
-    top = spark._jvm.org.apache.hadoop.fs.Path(in_dir)
-    system = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    above = len(system.makeQualified(top).toString().rstrip("/")) + 1
-    files, found = system.listFiles(top, True), []
-    while files.hasNext():
-        file = files.next()
-        path = file.getPath().toString()
-        hidden = any(
-            x.startswith(".") or (x.startswith("_") and "=" not in x)
-            for x in path[above:].split("/")
-        )
-        if path.endswith(SUFFIX) and not hidden:
-            found.append((path, file.getModificationTime()))
-    return spark.createDataFrame(found, "path string, millis long")
+def _arrivals(
+    spark: SparkSession, in_dir: str, ledger: str, name_from: str
+) -> list[tuple[str, str, str]]:
+    """``(target, version, path)`` of the files below a folder that the ledger does not have yet,
+    also of the empty ones that readers skip.
+
+    Spark lists and compares; only what has arrived since comes to the driver and is asked for
+    its age.
+    """
+    listed = listed_files(spark, [in_dir]).where(F.col("file_path").endswith(SUFFIX))
+    if _exists(spark, ledger):
+        handled = spark.read.schema(LEDGER).parquet(ledger)
+        listed = listed.join(handled, F.col("file_path") == F.col("path"), "left_anti")
+    paths = [r[0] for r in listed.select(_decoded("file_path")).collect()]
+    millis = _millis(spark, paths) if name_from == "file" else [0] * len(paths)
+    if not paths:
+        return []
+    files = spark.createDataFrame(list(zip(paths, millis)), "path string, millis long")
+    target, version = _target_and_version(in_dir, name_from, F.col("path"), F.col("millis"))
+    return [tuple(r) for r in files.select(target, version, "path").collect()]
+
+
+def _millis(spark: SparkSession, paths: list[str]) -> list[int]:
+    system = spark._jsparkSession.sessionState().newHadoopConf()
+    found = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return [p.getFileSystem(system).getFileStatus(p).getModificationTime() for p in found]
+
+
+def _parts(spark: SparkSession, folder: str) -> list[str]:
+    """The data files of one upload folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [f.getPath().toString() for f in system.listStatus(path)]
+    return [n for n in names if n.endswith(SUFFIX) and n.rsplit("/", 1)[-1][0] not in "._"]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -70,14 +88,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
 
 
-def _published_versions(spark: SparkSession, out_dir: str) -> dict[str, str]:
-    """The version of each table that is published; tables written before there were any are left
-    out."""
+def _published_versions(spark: SparkSession, out_dir: str, names: set[str]) -> dict[str, str]:
+    """The published version of these tables; tables written before there were any are left out."""
     if not _exists(spark, out_dir):
         return {}
+    wanted = spark.createDataFrame([(n,) for n in sorted(names)], "target string")
     stored = spark.read.schema(f"`{VERSION}` string, target string").parquet(out_dir)
-    newest = stored.filter(F.col(VERSION).isNotNull()).groupBy("target").agg(F.max(VERSION))
-    return {r[0]: r[1] for r in newest.collect()}
+    own = stored.filter(F.col(VERSION).isNotNull()).join(wanted, "target", "left_semi")
+    return {r[0]: r[1] for r in own.groupBy("target").agg(F.max(VERSION)).collect()}
 
 
 def publish_stream(
@@ -98,12 +116,14 @@ def publish_stream(
     ``_SUCCESS``) only folders that hold a file of that name are published; one that gets it
     later is published by the next call.
 
-    A batch only tells that files have arrived. The newest upload of each name below ``in_dir``
-    is read whole, in whatever batches its parts came, where a part of it is in the batch or it is
-    newer than what is published.
+    A batch only tells that files have arrived. A ledger in ``checkpoint`` has the files that were
+    dealt with; what is below ``in_dir`` and not in it has arrived. For each name among these the
+    newest upload is read whole, in whatever batches its parts came, unless a newer one is
+    published; names without arrivals are not looked at, whatever their history. An upload that still
+    lacks its marker stays out of the ledger.
 
-    Each batch is one dynamic partition overwrite, so repeating it after a failure leaves the
-    same tables. Header rows stay in the stored data (``is_header``), and each table has a row
+    Each batch is one dynamic partition overwrite, and the ledger is written after it, so repeating
+    a batch after a failure leaves the same tables. Quoted fields may hold line breaks. Header rows stay in the stored data (``is_header``), and each table has a row
     with its version among them; a file that is empty or has only a header therefore empties its
     table.
     """
@@ -118,35 +138,50 @@ def publish_stream(
     for name in schema.names:
         header_row = header_row & F.col(quoted(name)).eqNullSafe(F.lit(name))
 
-    def publish(arrived: set[str]) -> None:
-        files = _uploads(spark, in_dir).select(
-            "path", *(c.alias(n) for c, n in zip(
-                _target_and_version(in_dir, name_from, F.col("path"), F.col("millis")),
-                ("target", "version"),
-            ))
-        )
-        found: dict[str, dict[str, list]] = {}
-        for r in files.collect():
-            found.setdefault(r.target, {}).setdefault(r.version, []).append(r)
-        before = _published_versions(spark, out_dir)
-        kept = []
-        for name, versions in found.items():
-            for newest in sorted(versions, reverse=True):
-                # An upload that is published already may have got further parts.
-                old = before.get(name, "")
-                if newest < old or (newest == old and name not in arrived):
-                    break
-                folder = versions[newest][0].path.rsplit("/", 1)[0]
-                if marker is None or _exists(spark, f"{folder}/{marker}"):
-                    kept += versions[newest]
-                    break
-        if not kept:
+    ledger = f"{checkpoint.rstrip('/')}/ledger"
+
+    def publish() -> None:
+        arrived = _arrivals(spark, in_dir, ledger, name_from)
+        if not arrived:
             return
+        uploads: dict[str, dict[str, list[str]]] = {}
+        for name, version, path in arrived:
+            uploads.setdefault(name, {}).setdefault(version, []).append(path)
+        before = _published_versions(spark, out_dir, set(uploads))
+        kept: list[tuple[str, str, str]] = []
+        waiting: set[str] = set()
+        for name, versions in uploads.items():
+            for version in sorted(versions, reverse=True):
+                if version < before.get(name, ""):
+                    break
+                paths = versions[version]
+                if name_from == "folder":
+                    folder = paths[0].rsplit("/", 1)[0]
+                    if marker is not None and not _exists(spark, f"{folder}/{marker}"):
+                        waiting.update(paths)
+                        continue
+                    # Parts of it may have been published before.
+                    paths = _parts(spark, folder)
+                kept += [(name, version, path) for path in paths]
+                break
+        if kept:
+            replace_tables(kept)
+        done = [(path,) for _, _, path in arrived if path not in waiting]
+        if done:
+            # The ledger has paths as listings write them, so it is filled from one.
+            handled = spark.createDataFrame(done, LEDGER)
+            listing = listed_files(spark, [in_dir]).withColumn("path", _decoded("file_path"))
+            listing.join(handled, "path", "left_semi").select(F.col("file_path").alias("path")).write.mode(
+                "append"
+            ).parquet(ledger)
+
+    def replace_tables(kept: list[tuple[str, str, str]]) -> None:
         read = (
             spark.read.schema(schema)
             .option("header", False)
+            .option("multiLine", True)
             .option("escape", '"')
-            .csv([_exact(r.path) for r in kept])
+            .csv([exact(path) for _, _, path in kept])
             .select(
                 *[quoted(c) for c in schema.names],
                 header_row.alias("is_header"),
@@ -160,7 +195,7 @@ def publish_stream(
         if headless:
             raise ValueError(f"files without the header {schema.names}: {headless}")
         own = spark.createDataFrame(
-            sorted({(r.target, r.version) for r in kept}), "target string, version string"
+            sorted({(name, version) for name, version, _ in kept}), "target string, version string"
         ).select(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
             F.lit(True).alias("is_header"), F.col("version").alias(VERSION), "target",
@@ -173,18 +208,14 @@ def publish_stream(
             .parquet(out_dir)
         )
 
-    def replace(batch: DataFrame, _: int) -> None:
-        publish({r.target for r in batch.distinct().collect()})
-
     if marker is not None and _exists(spark, in_dir):
-        publish(set())
+        publish()
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "*" + SUFFIX)
         .option("recursiveFileLookup", True)
         .csv(in_dir)
-        .select(target.alias("target"))
-        .writeStream.foreachBatch(replace)
+        .writeStream.foreachBatch(lambda batch, _: publish())
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -122,3 +122,63 @@ def test_names_with_spaces(spark, folder):
 def test_options(spark, folder):
     with pytest.raises(ValueError):
         run(spark, folder, name_from="sheet")
+
+
+def test_quoted_line_break(spark, folder):
+    put(folder, "in/1/x.csv", HEADER + '2020-01-22,"two\nlines, ""q""",1\n2020-01-22,B,2\n')
+    run(spark, folder)
+    assert rows(published(spark, f"{folder}/out", "x"), "total") == [
+        ("2020-01-22", 'two\nlines, "q"', "1"), ("2020-01-22", "B", "2")
+    ]
+
+
+def test_work_follows_arrivals_not_history(spark, folder, monkeypatch):
+    from casetrends.streaming import publish
+
+    for k in range(1000):
+        put(folder, f"in/old{k % 50}/{k:04}/part-0.csv", HEADER + f"d,A,{k}\n")
+    run(spark, folder, name_from="folder")
+    assert published(spark, f"{folder}/out").count() == 50
+    looked_at = []
+    parts = publish._parts
+    monkeypatch.setattr(publish, "_parts", lambda s, f: looked_at.append(f) or parts(s, f))
+    versions = publish._published_versions
+    monkeypatch.setattr(
+        publish, "_published_versions", lambda s, o, names: looked_at.append(names) or versions(s, o, names)
+    )
+    put(folder, "in/old7/2000/part-0.csv", HEADER + "d,A,new\n")
+    run(spark, folder, name_from="folder")
+    assert [x if isinstance(x, set) else x[-9:] for x in looked_at] == [{"old7"}, "old7/2000"]
+    assert rows(published(spark, f"{folder}/out", "old7")) == [("d", "A", "new")]
+    assert published(spark, f"{folder}/out").count() == 50
+    # Nothing has arrived: nothing is looked at.
+    looked_at.clear()
+    run(spark, folder, name_from="folder")
+    assert looked_at == []
+
+
+def test_lost_ledger_gives_the_same_tables(spark, folder):
+    """As after a failure between the tables and the ledger."""
+    import shutil
+
+    put(folder, "in/x/1/part-0.csv", HEADER + "d,A,1\n")
+    put(folder, "in/x/2/part-0.csv", HEADER + "d,A,2\n")
+    run(spark, folder, name_from="folder")
+    shutil.rmtree(f"{folder}/state/ledger")
+    put(folder, "in/y/1/part-0.csv", HEADER + "d,B,3\n")
+    run(spark, folder, name_from="folder")
+    assert rows(published(spark, f"{folder}/out"), "target") == [("d", "A", "2", "x"), ("d", "B", "3", "y")]
+
+
+def test_superseded_upload_without_marker_is_dealt_with(spark, folder):
+    options = {"name_from": "folder", "marker": "_SUCCESS"}
+    put(folder, "in/x/1/part-0.csv", HEADER + "d,A,1\n")
+    run(spark, folder, **options)
+    put(folder, "in/x/2/part-0.csv", HEADER + "d,A,2\n")
+    put(folder, "in/x/2/_SUCCESS", "")
+    run(spark, folder, **options)
+    assert rows(published(spark, f"{folder}/out", "x")) == [("d", "A", "2")]
+    put(folder, "in/x/1/_SUCCESS", "")
+    run(spark, folder, **options)
+    assert rows(published(spark, f"{folder}/out", "x")) == [("d", "A", "2")]
+    assert spark.read.parquet(f"{folder}/state/ledger").distinct().count() == 2
