@@ -121,13 +121,13 @@ def stack_align(
         F.greatest(*[F.count(_sided("seen", i)) for i in range(len(frames))], F.lit(0)).alias("copies"),
         *[F.max(F.col(quoted(c))).alias(c) for c in values],
     )
-    checked = F.when(
-        F.col("copies") > 1, F.raise_error(F.lit(f"stack_align: {list(on)} is not unique in a frame"))
-    )
+    # A filter, so that the check holds whichever columns are read.
+    complaint = F.raise_error(F.lit(f"stack_align: {list(on)} is not unique in a frame")).cast("boolean")
+    grouped = grouped.filter(F.when(F.col("copies") > 1, complaint).otherwise(True))
     out = []
     for names in metrics:
         for m in names:
-            value = F.coalesce(checked, F.col(quoted(m)))
+            value = F.col(quoted(m))
             out.append((value if fill is None else F.coalesce(value, F.lit(fill))).alias(m))
     return grouped.select(*on, *[_merged(c, len(frames)) for c in describe], *out)
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
-from contextlib import contextmanager
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -16,21 +16,22 @@ from casetrends.operators.project import quoted
 MODES = ("overwrite", "append")
 
 
-def _writer(df: DataFrame, mode: str, partition_by: str | None) -> DataFrameWriter:
+def _writer(df: DataFrame, mode: str, partition_by: str | list[str] | None) -> DataFrameWriter:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    if partition_by is None:
+    columns = [partition_by] if isinstance(partition_by, str) else partition_by
+    if not columns:
         return df.write.format("parquet").mode(mode)
-    return spread(df, partition_by).write.format("parquet").mode(mode).partitionBy(partition_by)
+    return spread(df, *columns).write.format("parquet").mode(mode).partitionBy(*columns)
 
 
-def spread(df: DataFrame, partition_by: str) -> DataFrame:
+def spread(df: DataFrame, *partition_by: str) -> DataFrame:
     """Bring the rows of a table partition together without a limit on its size.
 
     A rebalance, not ``repartition``: adaptive execution merges small days into one task and
     cuts a large day into files of the advisory size.
     """
-    return df.hint("rebalance", F.col(quoted(partition_by)))
+    return df.hint("rebalance", *[F.col(quoted(c)) for c in partition_by])
 
 
 def load(
@@ -68,44 +69,78 @@ def replace_partitions(
 ) -> None:
     """Replace the days that ``df`` holds; other days of the table stay as they are.
 
-    Running it twice leaves the same table. ``days`` names the days meant to be replaced: rows
-    of another day are an error, and a named day without rows ends up empty.
+    Running it twice leaves the same table. ``days`` names the days meant to be replaced: rows of
+    another day are an error, and a named day without rows ends up empty. Rows without a day are an
+    error.
+
+    The rows are computed once, into a folder of the load inside the table's own. What the load
+    holds is read off its folders; only then each day is pointed to its new files, one day
+    at a time, and the old files go. Until then, and where the load fails, the table is as it was.
+    No setting of the session is touched, and ``df`` may read the table itself.
     """
     spark = df.sparkSession
-    wanted = None if days is None else {as_day(d) for d in days}
-    if wanted is not None:
-        allowed = F.col(partition_by).isin([F.lit(d) for d in sorted(wanted)])
-        stray = F.raise_error(F.concat(F.lit("row of an unnamed day: "), F.col(partition_by)))
-        df = df.withColumn(
-            partition_by, F.when(allowed, F.col(partition_by)).otherwise(stray.cast("date"))
-        )
     if not spark.catalog.tableExists(table):
-        _writer(df, "overwrite", partition_by).saveAsTable(table)
-        return
-    columns = [F.col(quoted(c)) for c in spark.table(table).columns]
-    kept = set() if wanted is None else _partition_days(spark, table, partition_by) & wanted
-    written = set()
-    if kept:
-        # Days named, present in the table and absent from the new rows have to go.
-        written = {r[0] for r in df.select(partition_by).distinct().collect()}
-    # Inserts take the overwrite mode from the table or the session, not from the writer.
-    with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        spread(df.select(*columns), partition_by).write.mode("overwrite").insertInto(table)
-    for day in sorted(kept - written):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({quoted(partition_by)} = DATE '{day}')")
-
-
-@contextmanager
-def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+        empty = spark.createDataFrame([], df.schema)
+        _writer(empty, "append", partition_by).saveAsTable(table)
+    fields = [f for f in spark.table(table).schema.fields]
+    home = _location(spark, f"DESCRIBE TABLE EXTENDED {table}")
+    load = f"{home}/_load-{uuid.uuid4().hex}"
+    typed = df.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+    spread(typed, partition_by).write.partitionBy(partition_by).parquet(load)
     try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        staged = _staged_days(spark, load, partition_by)
+        if None in staged:
+            raise ValueError(f"{table}: rows without a day")
+        wanted = set(staged) if days is None else {as_day(d) for d in days}
+        if stray := sorted(set(staged) - wanted):
+            raise ValueError(f"{table}: row of an unnamed day: {', '.join(map(str, stray))}")
+    except ValueError:
+        _delete(spark, load)
+        raise
+    present = _partition_days(spark, table, partition_by)
+
+    def partition(day: dt.date) -> str:
+        return f"PARTITION ({quoted(partition_by)} = DATE '{day}')"
+
+    if new := sorted(set(staged) - present):
+        places = " ".join(f"{partition(d)} LOCATION '{staged[d]}'" for d in new)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {places}")
+    for day in sorted(set(staged) & present):
+        old = _location(spark, f"DESCRIBE TABLE EXTENDED {table} {partition(day)}")
+        spark.sql(f"ALTER TABLE {table} {partition(day)} SET LOCATION '{staged[day]}'")
+        if old.startswith(home):
+            _delete(spark, old)
+    if gone := sorted((wanted & present) - set(staged)):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(map(partition, gone))}")
+    spark.catalog.refreshTable(table)
+
+
+def _location(spark: SparkSession, describe: str) -> str:
+    """The location that a description of a table or partition names."""
+    found = [r["data_type"] for r in spark.sql(describe).collect() if r["col_name"] == "Location"]
+    return found[0].rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    found, system = _file_system(spark, path)
+    system.delete(found, True)
+
+
+def _staged_days(spark: SparkSession, load: str, partition_by: str) -> dict[dt.date | None, str]:
+    """The days of a load and their folders, from the folders' names."""
+    found, system = _file_system(spark, load)
+    out = {}
+    for folder in system.listStatus(found):
+        name, _, value = folder.getPath().getName().partition("=")
+        if unquote(name) == partition_by:
+            day = None if value == "__HIVE_DEFAULT_PARTITION__" else as_day(value)
+            out[day] = f"{load}/{folder.getPath().getName()}"
+    return out
 
 
 def _partition_days(spark: SparkSession, table: str, partition_by: str) -> set[dt.date]:
@@ -126,7 +161,7 @@ def partition_date(column: str = "report_dt", alias: str = "dt") -> Column:
 
 
 def copy_table(spark: SparkSession, source: str, destination: str, overwrite: bool = True) -> None:
-    """Copy rows, columns and day partitioning of ``source``."""
-    days = [c.name for c in spark.catalog.listColumns(source) if c.isPartition]
+    """Copy rows, columns and partitioning of ``source``, whichever columns partition it."""
+    columns = [c.name for c in spark.catalog.listColumns(source) if c.isPartition]
     mode = "overwrite" if overwrite else "append"
-    _writer(spark.table(source), mode, days[0] if days else None).saveAsTable(destination)
+    _writer(spark.table(source), mode, columns).saveAsTable(destination)

@@ -156,3 +156,12 @@ def test_windows_over_wide_alignment_add_no_exchange(spark):
     frames = {m: wide(spark, [("x", "A", 1, 2)], (22, 23)) for m in ("a", "b")}
     aligned = align_wide(frames, on=["k"], describe=["place"])
     assert exchanges(series_metrics(aligned, ["k"], ["a", "b"])) == exchanges(aligned)
+
+
+def test_stack_align_checks_whichever_columns_are_read(spark):
+    twice = spark.createDataFrame([("a", 1), ("a", 2)], "k string, x bigint")
+    once = spark.createDataFrame([("a", 3)], "k string, y bigint")
+    stacked = stack_align([twice, once], on=["k"])
+    for read in (stacked.select("k").collect, stacked.count):
+        with pytest.raises(Exception, match="not unique"):
+            read()

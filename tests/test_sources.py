@@ -196,8 +196,74 @@ def test_named_day_without_rows_ends_up_empty(spark, database):
 
 
 def test_row_of_an_unnamed_day_is_an_error(spark, database):
-    with pytest.raises(Exception, match="unnamed day"):
-        replace_partitions(days(spark, (1, 1), (2, 2)), f"{database}.strays", "dt", days=[day(1)])
+    name = f"{database}.strays"
+    replace_partitions(days(spark, (1, 1), (2, 2)), name, "dt")
+    with pytest.raises(ValueError, match="unnamed day"):
+        replace_partitions(days(spark, (1, 3), (2, 4)), name, "dt", days=[day(1)])
+    with pytest.raises(ValueError, match="without a day"):
+        replace_partitions(days(spark, (1, 3)).withColumn("dt", F.lit(None).cast("date")), name, "dt")
+    assert rows(spark.table(name).select("v"), "v") == [(1,), (2,)]
+
+
+def _folder_of(spark, name):
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return found["data_type"].removeprefix("file:")
+
+
+def test_replacing_evaluates_its_input_once(spark, database):
+    name = f"{database}.once"
+    replace_partitions(days(spark, (1, 10), (2, 20)), name, "dt")
+    count = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(v):
+        count.add(1)
+        return v
+
+    fresh = days(spark, (1, 11), (2, 21)).withColumn("v", counted.asNondeterministic()("v"))
+    replace_partitions(fresh, name, "dt", days=[day(1), day(2), day(3)])
+    assert count.value == 2
+    assert rows(spark.table(name).select("v"), "v") == [(11,), (21,)]
+
+
+def test_replaced_files_go_and_a_failed_load_leaves_all(spark, database):
+    name = f"{database}.swapped"
+    replace_partitions(days(spark, (1, 10), (2, 20)), name, "dt")
+    for v in (21, 22):
+        replace_partitions(days(spark, (2, v)), name, "dt")
+    kept = [f for _, _, names in os.walk(_folder_of(spark, name)) for f in names if f.endswith(".parquet")]
+    assert len(kept) == 2
+    broken = days(spark, (2, 23)).withColumn("v", F.raise_error(F.lit("no")).cast("bigint"))
+    with pytest.raises(Exception, match="no"):
+        replace_partitions(broken, name, "dt")
+    assert rows(spark.table(name).select("v"), "v") == [(10,), (22,)]
+
+
+def test_a_table_can_be_corrected_from_itself(spark, database):
+    name = f"{database}.itself"
+    replace_partitions(days(spark, (1, 10), (2, 20)), name, "dt")
+    replace_partitions(spark.table(name).where(F.col("dt") == day(2)).withColumn("v", -F.col("v")), name, "dt")
+    assert rows(spark.table(name).select("v"), "v") == [(-20,), (10,)]
+
+
+def test_two_loads_at_once(spark, database):
+    from concurrent.futures import ThreadPoolExecutor
+
+    name = f"{database}.together"
+    replace_partitions(days(spark, *[(d, 0) for d in range(6)]), name, "dt")
+    before = dict(spark.conf.getAll)
+    with ThreadPoolExecutor(6) as pool:
+        done = [
+            pool.submit(replace_partitions, days(spark, (d, d + 1), (d, d + 100)), name, "dt", [day(d)])
+            for d in range(6)
+        ]
+        seen = []
+        while not all(f.done() for f in done):
+            seen.append(dict(spark.conf.getAll) == before)
+        for f in done:
+            f.result()
+    assert all(seen)
+    assert rows(spark.table(name).select("v"), "v") == [(v,) for d in (1, 100) for v in range(d, d + 6)]
 
 
 def test_partitioned_write_and_pruning(spark, database):
@@ -241,6 +307,16 @@ def test_copy_keeps_partitions(spark, database):
     assert latest_partition(spark, f"{name}_copy") == day(2)
 
 
+def test_copy_keeps_all_partition_columns(spark, database):
+    name = f"{database}.by_two"
+    df = days(spark, (1, 10), (2, 20)).withColumn("kind", F.lit("a"))
+    df.write.partitionBy("dt", "kind").saveAsTable(name)
+    copy_table(spark, name, f"{name}_copy")
+    columns = spark.catalog.listColumns(f"{name}_copy")
+    assert [c.name for c in columns if c.isPartition] == ["dt", "kind"]
+    assert spark.table(f"{name}_copy").count() == 2
+
+
 def test_export(spark, folder):
     df = spark.range(100).repartition(4).withColumn("s", F.lit('a "b"; c'))
     export_csv(df, f"{folder}/one", sep=";", files=1)
