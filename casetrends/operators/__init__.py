@@ -3,6 +3,7 @@ from casetrends.operators.align import (
     enrich,
     full_align,
     null_tolerant_eq,
+    salted_full_join,
     stack_align,
     union_drifted,
     union_sources,
@@ -22,6 +23,7 @@ from casetrends.operators.series import (
     collapse_days,
     daily_delta,
     first_row_fallback,
+    ranged_series_metrics,
     series_metrics,
     series_window,
     trailing_avg,
@@ -43,8 +45,10 @@ __all__ = [
     "null_tolerant_eq",
     "preview",
     "profile",
+    "ranged_series_metrics",
     "reject_unknown_columns",
     "rollup_region",
+    "salted_full_join",
     "series_metrics",
     "series_window",
     "stack_align",

@@ -27,25 +27,102 @@ def _sided(name: str, side: int) -> str:
 
 
 def _outer_chain(
-    sides: list[DataFrame], on: Sequence[str], tolerant: Sequence[str], coalesce_keys: bool
+    sides: list[DataFrame],
+    on: Sequence[str],
+    tolerant: Sequence[str],
+    coalesce_keys: bool,
+    salts: int | None = None,
 ) -> DataFrame:
     """FULL OUTER JOIN of frames whose columns carry a side suffix."""
     joined = sides[0]
     for i, side in enumerate(sides[1:], start=1):
         upto = range(i) if coalesce_keys else range(1)
-        conditions = [
-            _match(
-                k,
-                F.coalesce(*[F.col(_sided(k, j)) for j in upto]),
-                F.col(_sided(k, i)),
-                tolerant,
+        left = [F.coalesce(*[F.col(_sided(k, j)) for j in upto]) for k in on]
+        right = [F.col(_sided(k, i)) for k in on]
+        if salts is None:
+            conditions = [_match(k, x, y, tolerant) for k, x, y in zip(on, left, right)]
+            joined = joined.join(side, reduce(Column.__and__, conditions), "full")
+        else:
+            blank = [F.lit("") if k in tolerant else None for k in on]
+            joined = salted_full_join(
+                joined,
+                side,
+                [x if b is None else F.coalesce(x, b) for x, b in zip(left, blank)],
+                [x if b is None else F.coalesce(x, b) for x, b in zip(right, blank)],
+                salts,
             )
-            for k in on
-        ]
-        joined = joined.join(side, reduce(Column.__and__, conditions), "full")
     return joined
 
 
+def salted_full_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[Column],
+    right_keys: Sequence[Column],
+    salts: int,
+) -> DataFrame:
+    """FULL OUTER JOIN on equal keys where a key may hold a large share of a side's rows.
+
+    Spark cannot split a hot key of a full outer join. Here a key with more than one ``salts``-th
+    of all rows is hot; there are at most ``2 * salts`` of them, so their list is broadcast. On
+    the side that has more rows of it, they are dealt out by a hash of the row and its input
+    partition; the other side's rows meet each of these parts. A key that both sides have matches
+    all its rows, so a copy that met an empty part is dropped, and a key of one side, or one with a
+    NULL in it, is dealt out but not copied: every unmatched row comes out once.
+
+    The two frames are read twice, once to count their keys. Column names must differ.
+    """
+    names = [f"key{i}" for i in range(len(left_keys))]
+    sides = []
+    for df, keys, suffix in ((left, left_keys, "l"), (right, right_keys, "r")):
+        columns = {f"{n}__{suffix}": k for n, k in zip(names, keys)}
+        columns[f"at__{suffix}"] = F.pmod(
+            F.xxhash64(*[F.col(quoted(c)) for c in df.columns], F.spark_partition_id()), F.lit(salts)
+        ).cast("int")
+        sides.append(df.withColumns(columns))
+    counted = reduce(
+        DataFrame.unionByName,
+        [
+            df.select(
+                *[F.col(f"{n}__{own}").alias(n) for n in names],
+                *[F.lit(int(own == side)).alias(f"n__{side}") for side in "lr"],
+            )
+            for df, own in zip(sides, "lr")
+        ],
+    ).groupBy(*names).agg(F.sum("n__l").alias("n__l"), F.sum("n__r").alias("n__r"))
+    total = counted.agg(F.sum(F.col("n__l") + F.col("n__r"))).scalar()
+    whole = reduce(Column.__and__, [F.col(n).isNotNull() for n in names])
+    hot = counted.filter(F.greatest("n__l", "n__r") * salts > total).select(
+        *names,
+        (whole & (F.col("n__l") > 0) & (F.col("n__r") > 0)).alias("both"),
+        (F.col("n__l") >= F.col("n__r")).alias("left_heavy"),
+    )
+    dealt = []
+    for df, own in zip(sides, "lr"):
+        marks = hot.select(
+            *[F.col(n).alias(f"{n}__h{own}") for n in names],
+            (F.col("both") & (F.col("left_heavy") != (own == "l"))).alias(f"copied__{own}"),
+        )
+        same = [F.col(f"{n}__{own}").eqNullSafe(F.col(f"{n}__h{own}")) for n in names]
+        marked = df.join(F.broadcast(marks), reduce(Column.__and__, same), "left")
+        parts = (
+            F.when(F.col(f"copied__{own}").isNull(), F.array(F.lit(0)))
+            .when(F.col(f"copied__{own}"), F.sequence(F.lit(0), F.lit(salts - 1)))
+            .otherwise(F.array(f"at__{own}"))
+        )
+        dealt.append(
+            marked.withColumns({f"salt__{own}": F.explode(parts), f"here__{own}": F.lit(True)})
+        )
+    same = [F.col(f"{n}__l") == F.col(f"{n}__r") for n in ("salt", *names)]
+    joined = dealt[0].join(dealt[1], reduce(Column.__and__, same), "full")
+    phantom = [
+        F.coalesce(f"copied__{a}", F.lit(False)) & F.col(f"here__{b}").isNull()
+        for a, b in ("lr", "rl")
+    ]
+    rows = joined.filter(~phantom[0] & ~phantom[1])
+    return rows.select(*[F.col(quoted(c)) for c in (*left.columns, *right.columns)])
+
+
 def _merged(name: str, count: int) -> Column:
     return F.coalesce(*[F.col(_sided(name, i)) for i in range(count)]).alias(name)
 
@@ -58,6 +135,7 @@ def full_align(
     fill: int | None = 0,
     null_tolerant: Sequence[str] = (),
     coalesce_keys: bool = True,
+    salts: int | None = None,
 ) -> DataFrame:
     """FULL OUTER JOIN of long metric frames on ``on``.
 
@@ -66,6 +144,9 @@ def full_align(
 
     ``coalesce_keys=False`` compares the third and later frames with the first one only. A
     key that the first frame lacks then gives one row per later frame that has it.
+
+    ``salts`` spreads keys that hold more than that part of the rows over tasks
+    (``salted_full_join``); the rows are the same.
     """
     shared = [*on, *describe]
     metrics = [[c for c in df.columns if c not in shared] for df in frames]
@@ -73,7 +154,7 @@ def full_align(
         df.select(*[F.col(quoted(c)).alias(_sided(c, i)) for c in [*shared, *metrics[i]]])
         for i, df in enumerate(frames)
     ]
-    joined = _outer_chain(sides, on, null_tolerant, coalesce_keys)
+    joined = _outer_chain(sides, on, null_tolerant, coalesce_keys, salts)
     values = []
     for i, names in enumerate(metrics):
         for m in names:

@@ -117,3 +117,60 @@ def series_metrics(
     return changed.withColumns(
         {name: rolling_mean(F.col(f"daily_new_{m}"), window, n) for m, n, name in means}
     )
+
+
+def ranged_series_metrics(
+    df: DataFrame,
+    keys: Sequence[str],
+    metrics: Sequence[str],
+    path: str,
+    order: Sequence[str] = ("dt",),
+    rows: Sequence[int] = AVG_ROWS,
+) -> DataFrame:
+    """``series_metrics`` for series that are too long for one task, or repeat a day.
+
+    The rows are sorted by key, then ``order``, then all their other columns as they stand in the
+    frame (NULLs first), so their order is total but for equal rows, which are the same in any
+    order. Ranges of that order are windowed apart. Each range of a series also gets as many rows
+    before it as its averages look back on, and one more for the first change; they come from the
+    tails of the ranges before it.
+
+    The sorted rows are written to ``path``, a folder that executors share, so that all steps
+    see the same ranges. A task holds a range; the tails of a series are one row per range.
+    """
+    reach = max(rows, default=1)
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    sorting = [F.col(quoted(c)) for c in (*keys, *order, *rest)]
+    placed = (
+        df.repartitionByRange(*sorting)
+        .sortWithinPartitions(*sorting)
+        .withColumns({"range__": F.spark_partition_id(), "at__": F.monotonically_increasing_id()})
+    )
+    placed.write.parquet(path)
+    stored = df.sparkSession.read.schema(placed.schema).parquet(path)
+    series = [F.col(quoted(c)) for c in keys]
+    own = Window.partitionBy(*series, "range__").orderBy(F.desc("at__"))
+    packed = F.struct(*[F.col(quoted(c)) for c in stored.columns])
+    # Only the last rows of each range of a series are grouped.
+    tails = (
+        stored.withColumn("back__", F.row_number().over(own))
+        .filter(F.col("back__") <= reach)
+        .groupBy(*series, "range__")
+        .agg(F.sort_array(F.collect_list(F.struct("at__", packed.alias("row")))).alias("tail__"))
+    )
+    earlier = Window.partitionBy(*series).orderBy("range__").rowsBetween(-reach, -1)
+    before = F.flatten(F.collect_list("tail__").over(earlier))
+    carried = (
+        tails.select("range__", before.alias("rows__"))
+        .filter(F.size("rows__") > 0)
+        .select(
+            F.col("range__").alias("to__"),
+            F.explode(F.slice("rows__", -F.least(F.size("rows__"), F.lit(reach)), F.lit(reach))).alias("x__"),
+        )
+        .select("x__.row.*", "to__")
+        .withColumn("range__", F.col("to__"))
+        .drop("to__")
+    )
+    both = stored.withColumn("own__", F.lit(True)).unionByName(carried.withColumn("own__", F.lit(False)))
+    done = series_metrics(both, [*keys, "range__"], metrics, "at__", rows)
+    return done.filter("own__").drop("own__", "range__", "at__")

@@ -20,6 +20,7 @@ from casetrends.operators import (
     profile,
     reject_unknown_columns,
     rollup_region,
+    salted_full_join,
     stack_align,
     standardize_report,
     union_drifted,
@@ -297,6 +298,31 @@ def full_align_2_stacked(spark, sf):
     return stack_align(frames, on=["dt", "combined_key"], describe=US_DESCRIBE)
 
 
+@query("J1_full_align_2_salted", SQL_J1)
+def full_align_2_salted(spark, sf):
+    frames = [us_long(spark, sf, m) for m in ("deaths", "recovered")]
+    return full_align(frames, on=["dt", "combined_key"], describe=US_DESCRIBE, salts=16)
+
+
+@query(
+    "J1_full_join_hot_keys",
+    """WITH a AS (SELECT o_orderstatus AS status, o_orderkey FROM orders WHERE o_orderstatus <> 'P'),
+            b AS (SELECT o_orderstatus AS kind, o_custkey, COUNT(*) AS n FROM orders
+                  WHERE o_orderstatus <> 'F' AND o_custkey % 97 = 0 GROUP BY ALL)
+       SELECT status, o_orderkey, kind, o_custkey, n FROM a FULL JOIN b ON status = kind""",
+)
+def full_join_hot_keys(spark, sf):
+    """Two of three keys hold nearly all rows: one on both sides, one on the left, one on the right."""
+    orders = table(spark, sf, "orders")
+    a = orders.filter(F.col("o_orderstatus") != "P").select(F.col("o_orderstatus").alias("status"), "o_orderkey")
+    b = (
+        orders.filter((F.col("o_orderstatus") != "F") & (F.col("o_custkey") % 97 == 0))
+        .groupBy(F.col("o_orderstatus").alias("kind"), "o_custkey")
+        .agg(F.count("*").alias("n"))
+    )
+    return salted_full_join(a, b, [F.col("status")], [F.col("kind")], salts=16)
+
+
 WORLD_KEYS = ["dt", "province_state", "country_region"]
 WORLD_METRICS = ("deaths", "recovered", "active")
 
@@ -319,16 +345,22 @@ def _sql_j2(coalesce_keys: bool) -> str:
          AND {key("country_region")} = c.country_region"""
 
 
-def _full_align_3(spark, sf, coalesce_keys):
+def _full_align_3(spark, sf, coalesce_keys, salts=None):
     return full_align(
         [global_long(spark, sf, m) for m in WORLD_METRICS],
         on=WORLD_KEYS,
         describe=["latitude", "longitude"],
         null_tolerant=["province_state"],
         coalesce_keys=coalesce_keys,
+        salts=salts,
     )
 
 
+@query("J2_full_align_3_salted", _sql_j2(coalesce_keys=True))
+def full_align_3_salted(spark, sf):
+    return _full_align_3(spark, sf, coalesce_keys=True, salts=16)
+
+
 @query("J2_full_align_3", _sql_j2(coalesce_keys=False))
 def full_align_3(spark, sf):
     return _full_align_3(spark, sf, coalesce_keys=False)

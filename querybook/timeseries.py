@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from casetrends.operators import (
     daily_delta,
+    ranged_series_metrics,
     series_metrics,
     trailing_avg,
     with_global_max,
 )
+from casetrends.sources import scratch_path
 from querybook.registry import query
 from querybook.views import (
     SQL_NATION_DAYS,
@@ -84,6 +86,33 @@ def average_28(spark, sf):
     return _average(spark, sf, 28)
 
 
+@query(
+    "W4_trailing_avg_28_ranged",
+    f"""WITH fresh AS (
+            SELECT o_orderstatus, o_orderdate, o_orderkey,
+                   CAST(FLOOR(o_totalprice) AS BIGINT) AS total_price,
+                   COALESCE(CAST(FLOOR(o_totalprice) AS BIGINT)
+                            - LAG(CAST(FLOOR(o_totalprice) AS BIGINT)) OVER w,
+                            CAST(FLOOR(o_totalprice) AS BIGINT)) AS daily_new_price
+            FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey))
+        SELECT *, {", ".join(sql_round(f"""AVG(daily_new_price) OVER (
+                       PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey
+                       ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)""", 1)
+                  + f" AS daily_new_price_{n}d_ma" for n in (7, 28))}
+        FROM fresh""",
+)
+def average_28_ranged(spark, sf):
+    """Three series of all orders: days repeat, and two series hold nearly all rows."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderstatus", "o_orderdate", "o_orderkey",
+        F.floor("o_totalprice").cast("bigint").alias("total_price"),
+    )
+    return ranged_series_metrics(
+        orders, ["o_orderstatus"], ["price"], scratch_path(spark, "ranges"),
+        order=("o_orderdate", "o_orderkey"),
+    )
+
+
 SQL_W5 = """FROM global_deaths
          WINDOW w AS (PARTITION BY province_state, country_region ORDER BY dt)"""
 

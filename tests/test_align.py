@@ -165,3 +165,60 @@ def test_stack_align_checks_whichever_columns_are_read(spark):
     for read in (stacked.select("k").collect, stacked.count):
         with pytest.raises(Exception, match="not unique"):
             read()
+
+
+def _pairs(spark, seed, hot):
+    """Two frames whose keys repeat, miss on either side, are NULL, or are hot."""
+    import random
+
+    random.seed(seed)
+    sides = []
+    for side, heavy in (("x", hot[0]), ("y", hot[1])):
+        keys = [random.choice(["a", "b", "c", None, side]) for _ in range(30)] + heavy
+        sides.append(spark.createDataFrame(
+            [(k, i % 7) for i, k in enumerate(keys)], f"k string, {side} bigint"
+        ).repartition(6))
+    return sides
+
+
+@pytest.mark.parametrize("hot", [
+    (["h"] * 200, ["h"] * 3), (["h"] * 3, ["h"] * 200), (["h"] * 200, []), ([], ["h"] * 200),
+    ([None] * 200, ["h"] * 100), (["h"] * 40, ["h"] * 40), ([], []),
+])
+def test_salted_join_equals_the_plain_one(spark, hot):
+    frames = _pairs(spark, 3, hot)
+    for options in ({}, {"null_tolerant": ["k"]}, {"fill": None}):
+        plain = full_align(frames, on=["k"], **options)
+        salted = full_align(frames, on=["k"], salts=8, **options)
+        key = lambda r: tuple((v is not None, v if v is not None else 0) for v in r)
+        assert sorted(map(tuple, salted.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
+
+
+def test_salted_join_of_three_frames(spark):
+    frames = _pairs(spark, 5, (["h"] * 60, ["h"] * 2))
+    frames.append(spark.createDataFrame([("h", 1), ("z", 2), (None, 3), ("h", 4)], "k string, z bigint"))
+    for coalesce_keys in (True, False):
+        got = [
+            sorted(map(repr, full_align(frames, on=["k"], coalesce_keys=coalesce_keys, salts=s).collect()))
+            for s in (None, 4)
+        ]
+        assert got[0] == got[1]
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    left = spark.range(40_000).select(F.lit("h").alias("k"), F.col("id").alias("x")).repartition(8)
+    right = spark.createDataFrame([("h", 1), ("i", 2)], "k string, y bigint")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def largest(df):
+            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        assert largest(full_align([left, right], on=["k"])) == 40_000
+        salted = full_align([left, right], on=["k"], salts=32)
+        assert salted.count() == 40_001 and largest(salted) < 20_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -3,11 +3,13 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from helpers import day, exchanges, plan, rows
 
 from casetrends.operators import (
     daily_delta,
+    ranged_series_metrics,
     series_metrics,
     trailing_avg,
     with_global_max,
@@ -111,3 +113,44 @@ def test_global_max_is_no_single_partition_window(spark):
     assert {r.last_updated_dt for r in df.collect()} == {day(3)}
     main = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in main and "Join" not in main
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_ranges_equal_the_plain_windows(spark, folder, partitions):
+    """Few long series with days that repeat, one of them NULL, over more ranges than it has weeks."""
+    import random
+
+    random.seed(partitions)
+    data = [
+        (key, day(random.randint(0, 20)), random.choice((None, 1, 5, 9)), n)
+        for key, size in (("hot", 300), (None, 60), ("one", 1), ("few", 9))
+        for n in range(size)
+    ]
+    data += data[:5]
+    df = spark.createDataFrame(data, "k string, dt date, total_a bigint, total_b bigint").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = ranged_series_metrics(df, ["k"], ["a", "b"], f"{folder}/ranges", rows=(7, 28))
+        got = sorted(map(repr, got.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # The plain windows over the same total order.
+    order = Window.orderBy("dt", F.col("total_a"), F.col("total_b"))
+    placed = df.withColumn("n", F.row_number().over(order))
+    want = series_metrics(placed, ["k"], ["a", "b"], "n", rows=(7, 28)).drop("n")
+    assert got == sorted(map(repr, want.collect()))
+
+
+def test_ranges_spread_one_series(spark, folder):
+    df = spark.range(20_000).select(
+        F.lit("x").alias("k"), F.lit(day(1)).alias("dt"), F.col("id").alias("total_a")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = ranged_series_metrics(df, ["k"], ["a"], f"{folder}/ranges")
+        sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 20_000 and max(sizes) < 15_000
