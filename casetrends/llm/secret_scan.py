@@ -25,43 +25,54 @@ KINDS = ("assign", "access", "hex", "key_part", "endpoint")
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+BLOCK = 256
+
+
+def _sums(numbers: Column) -> Column:
+    """Running sums of a short array."""
+    return F.aggregate(
+        numbers,
+        F.array().cast("array<int>"),
+        lambda out, x: F.concat(out, F.array(F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(0)) + x)),
+    )
+
+
+def running_sums(numbers: Column) -> Column:
+    """Running sums of an array, block by block: a growing array is copied with each number, so it
+    has to stay short."""
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / BLOCK).cast("int")),
+        lambda k: F.slice(numbers, k * BLOCK + 1, F.lit(BLOCK)),
+    )
+    inside = F.transform(blocks, _sums)
+    ends = _sums(F.transform(inside, lambda b: F.element_at(b, -1)))
+    return F.flatten(
+        F.zip_with(
+            inside,
+            F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), F.size(ends) - 1)),
+            lambda block, before: F.transform(block, lambda x: x + before),
+        )
+    )
+
+
 def spans_of(text: Column, pattern: str, kind: int, keep: Column | None = None) -> Column:
     """``(start, kind, end)`` of a pattern's matches, leftmost ones that don't overlap.
 
     The texts between the matches give the places. ``keep`` is an array of booleans, by match.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern)
-    zero = F.lit(0).cast("int")
-    empty = F.array().cast(SPAN)
-    lengths = F.zip_with(
-        F.slice(gaps, F.lit(1), F.size(found)),
-        found,
-        lambda gap, hit: F.struct(
-            F.char_length(gap).alias("gap"), F.char_length(hit).alias("hit")
+    sizes = F.transform(found, F.char_length)
+    gaps = F.transform(F.slice(F.split(text, pattern), F.lit(1), F.size(found)), F.char_length)
+    ends = running_sums(F.zip_with(gaps, sizes, lambda gap, hit: gap + hit))
+    placed = F.zip_with(
+        ends, sizes,
+        lambda end, size: F.struct(
+            (end - size).alias("start"), F.lit(kind).alias("kind"), end.alias("end")
         ),
-    )
-    placed = F.aggregate(
-        lengths,
-        F.struct(zero.alias("at"), empty.alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["hit"]).alias("at"),
-            F.concat(
-                s["out"],
-                F.array(
-                    F.struct(
-                        (s["at"] + x["gap"]).alias("start"),
-                        F.lit(kind).alias("kind"),
-                        (s["at"] + x["gap"] + x["hit"]).alias("end"),
-                    )
-                ),
-            ).cast(SPAN).alias("out"),
-        ),
-        lambda s: s["out"],
-    )
+    ).cast(SPAN)
     if keep is not None:
         placed = F.filter(placed, lambda _, i: F.element_at(keep, i + 1))
-    return F.when(text.rlike(pattern), placed).otherwise(empty)
+    return F.when(text.rlike(pattern), placed).otherwise(F.array().cast(SPAN))
 
 
 def parts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
