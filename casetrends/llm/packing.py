@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,22 +16,34 @@ from casetrends.llm.common import col
 SPECIAL = "<|endoftext|>"
 
 
-def rank_encoder(ranks_path: str, pattern: str, special_id: int) -> Callable[[str], np.ndarray]:
+def rank_encoder(
+    ranks_path: str, pattern: str, special_id: int, tokenizer_path: str
+) -> Callable[[str], np.ndarray]:
     """Token ids of a text, from a rank file. The special string is one token, as in the
-    vocabulary's own definition."""
+    vocabulary's own definition.
+
+    The pattern engine gives up on runs of some hundred thousand blanks or line ends; the
+    tokenizer of the same vocabulary, which is slower, encodes such a text.
+    """
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     coder = tiktoken.Encoding(
         "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: special_id}
     )
+    whole = lru_cache(1)(Tokenizer.from_file)
 
     def encode(text: str) -> np.ndarray:
-        if SPECIAL in text:
-            return np.asarray(coder.encode(text, allowed_special="all"), "<u4")
-        return np.frombuffer(coder.encode_to_numpy(text, allowed_special=set(),
-                                                   disallowed_special=()), "<u4")
+        try:
+            if SPECIAL in text:
+                return np.asarray(coder.encode(text, allowed_special="all"), "<u4")
+            return np.frombuffer(coder.encode_to_numpy(text, allowed_special=set(),
+                                                       disallowed_special=()), "<u4")
+        except ValueError:
+            ids = whole(tokenizer_path).encode(text, add_special_tokens=False).ids
+            return np.asarray(ids, "<u4")
 
     return encode
 
@@ -84,6 +97,7 @@ def pack_documents(
     docs: DataFrame,
     ranks_path: str,
     pattern: str,
+    tokenizer_path: str,
     id_col: str = "doc_id",
     text_col: str = "text",
     capacity: int = 1024,
@@ -98,7 +112,10 @@ def pack_documents(
     sequences of its own from its rows in turn, so nothing is shuffled, memory is ``open_bins``
     numbers, and a task that runs again gives the same rows.
 
-    NULL text is empty: one piece of length 1. NULL and repeated ids are carried along, a piece
+    Every task leaves its last open sequences as they are, so the fill falls with the number of tasks
+    (README has figures). Among sequences with equal room the one opened or filled last is taken.
+
+    NULL text is empty: one piece of length 1. A very long text is held once, with its ids. NULL and repeated ids are carried along, a piece
     or more for each row. An empty table gives no rows. Other columns are not looked at.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -106,7 +123,7 @@ def pack_documents(
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = rank_encoder(ranks_path, pattern, special_id)
+        encode = rank_encoder(ranks_path, pattern, special_id, tokenizer_path)
         bins = OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() << 33
         end = np.asarray([end_id], "<u4")

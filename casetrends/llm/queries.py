@@ -235,7 +235,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.quality_report(table(spark, sf_dir, "documents"), name="q")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.quality_report(docs, name="q")
     failed = (F.col("q.n_words") < 10) | (100 * F.col("q.n_repeat_words") > 20 * F.col("q.n_words"))
     return judged.select(
         "doc_id",
@@ -309,6 +310,7 @@ def tokenizer() -> dict:
         "ranks_path": os.environ.get("TOKENIZER_RANKS")
         or public_tokenizers.path("byte_bpe_50k.tiktoken"),
         "pattern": public_tokenizers.PATTERN,
+        "tokenizer_path": public_tokenizers.path("byte_bpe_50k.json"),
     }
 
 
