@@ -11,7 +11,7 @@ from casetrends.sources.tables import (
     replace_partitions,
     write_partitioned,
 )
-from casetrends.sources.wide import read_wide, write_wide
+from casetrends.sources.wide import read_wide, wide_rejects, write_wide
 
 __all__ = [
     "copy_table",
@@ -29,6 +29,7 @@ __all__ = [
     "replace_partitions",
     "report_headers",
     "scratch_path",
+    "wide_rejects",
     "write_partitioned",
     "write_wide",
 ]

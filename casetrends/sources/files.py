@@ -41,9 +41,10 @@ def read_text_csv(
     mode: str = "PERMISSIVE",
     keep: Column | None = None,
     whole_rows: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """The CSV files of a group as strings, with ``file_path``; columns from ``counts_from`` on as
-    BIGINT.
+    BIGINT. ``corrupt`` names one more column for the text of rows that don't fit.
 
     The CSV reader assigns values by position, so the header of each file is checked against
     the names (``enforceSchema=false``) and a file with another column order fails the job. Files
@@ -57,9 +58,12 @@ def read_text_csv(
             for i, name in enumerate(group.header)
         ]
     )
+    if corrupt is not None:
+        schema.add(corrupt, T.StringType())
     rows = (
         spark.read.schema(schema)
         .option("mode", mode)
+        .option("columnNameOfCorruptRecord", corrupt or "_corrupt_record")
         .option("header", True)
         .option("enforceSchema", False)
         .option("recursiveFileLookup", True)

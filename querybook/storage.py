@@ -27,6 +27,7 @@ from casetrends.sources import (
     read_wide,
     replace_partitions,
     scratch_path,
+    wide_rejects,
     write_partitioned,
     write_wide,
 )
@@ -39,6 +40,7 @@ from querybook.views import (
     SQL_PLACES,
     SQL_REPORT_TEXTS,
     US_IDS,
+    day_columns,
     event_days_range,
     report_texts,
     sql_us_long_of_wide,
@@ -70,6 +72,46 @@ def wide_csv_scan(spark, sf):
     return unpivot_wide(read_wide(spark, path, US_CONFIRMED_IDS), US_IDS, "confirmed")
 
 
+def _spelled_wide(spark: SparkSession, sf: str) -> str:
+    """A wide file in which some counts are written ``12.0``, ``NA`` or with a letter."""
+    wide = us_wide(spark, sf, "confirmed")
+    columns = day_columns(spark, sf)
+    said = [
+        F.when(F.col(c) % 7 == 0, F.concat(F.lit("n"), c))
+        .when(F.col(c) % 5 == 0, F.concat(c, F.lit(".0")))
+        .when(F.col(c) % 3 == 0, "NA").otherwise(F.col(c).cast("string")).alias(c)
+        for c in columns
+    ]
+    path = scratch_path(spark, "spelled")
+    write_wide(wide.select(*US_IDS, *said), path, US_IDS)
+    return path
+
+
+@query(
+    "S1_wide_permissive",
+    with_ctes(SQL_PLACES, SQL_AXIS, sql_us_long_of_wide("confirmed"))
+    + """SELECT "UID", dt, CASE WHEN total_confirmed % 7 = 0 THEN NULL
+                              WHEN total_confirmed % 5 = 0 THEN total_confirmed
+                              WHEN total_confirmed % 3 = 0 THEN NULL ELSE total_confirmed END
+                AS total_confirmed FROM us_confirmed_melted""",
+)
+def wide_permissive(spark, sf):
+    rows = read_wide(spark, _spelled_wide(spark, sf), US_CONFIRMED_IDS, mode="permissive")
+    return unpivot_wide(rows, ["UID"], "confirmed")
+
+
+@query(
+    "S1_wide_rejects",
+    with_ctes(SQL_PLACES, SQL_AXIS, sql_us_long_of_wide("confirmed"))
+    + """SELECT strftime(dt, 'dt_%Y%m%d') AS "column", 'n' || total_confirmed AS text,
+                COUNT(*) AS rows
+         FROM us_confirmed_melted WHERE total_confirmed % 7 = 0 GROUP BY ALL""",
+)
+def rejected_counts(spark, sf):
+    found = wide_rejects(spark, _spelled_wide(spark, sf), US_CONFIRMED_IDS)
+    return found.groupBy("column", "text").agg(F.count("*").alias("rows"))
+
+
 def report_folder(spark: SparkSession, sf: str) -> str:
     """Daily report files of events, with one header before NEW_HEADER_DAY and another since."""
     base = scratch_path(spark, "reports")

@@ -24,6 +24,7 @@ from casetrends.sources import (
     read_wide,
     replace_partitions,
     scratch_path,
+    wide_rejects,
     write_partitioned,
     write_wide,
 )
@@ -60,13 +61,36 @@ def test_wide_files_with_different_last_days(spark, folder):
 
 
 def test_counts_in_other_spellings(spark, folder):
-    put(folder, "a.csv", f"{HEAD},1/22/20\n,A,1,2,12.0\n,B,1,2,NA\n,C,1,2,x\n")
-    with pytest.raises(Exception, match="(?i)malformed"):
+    put(folder, "a.csv", f'{HEAD},1/22/20,1/23/20\n,A,1,2,12.0,1\n,B,1,2,NA,2\n"p, ""q""",C,1,2,x,3\n,D,1,2,4,1.5\n')
+    strict = read_wide(spark, folder, GLOBAL_IDS)
+    for read in (strict.collect, strict.select("dt_20200123").collect, strict.select("dt_20200122").collect):
+        with pytest.raises(Exception, match="(dt_20200122: not a bigint: x|dt_20200123: not a bigint: 1.5)"):
+            read()
+    got = read_wide(spark, folder, GLOBAL_IDS, mode="permissive")
+    assert rows(got.select("province_state", "dt_20200122", "dt_20200123"), "country_region") == [
+        (None, 12, 1), (None, None, 2), ('p, "q"', None, 3), (None, 4, None)
+    ]
+    assert rows(got.select("dt_20200122"), "country_region") == [(12,), (None,), (None,), (4,)]
+    put(folder, "a.csv", f"{HEAD},1/22/20\n,A,1,2,12.0\n,B,1,2,NA\n")
+    assert rows(read_wide(spark, folder, GLOBAL_IDS).select("dt_20200122"), "country_region") == [(12,), (None,)]
+
+
+def test_rejected_fields_are_listed(spark, folder):
+    put(folder, "a.csv", f"{HEAD},1/22/20,1/23/20\n,A,north,2,12.0,x y\n,B,1,2,7\nS,C,1,2,NA,-,9\n,D,1,2,3,4\n")
+    put(folder, "b.csv", f"{HEAD},1/22/20\n,E,1,2,1e99\n,F,1,,\n")
+    got = wide_rejects(spark, folder, GLOBAL_IDS)
+    found = sorted((r.file_path[-5:], r.record, r.column or "", r.text.strip()) for r in got.collect())
+    assert found == [
+        ("a.csv", "A,north,2", "dt_20200123", "x y"),
+        ("a.csv", "A,north,2", "latitude", "north"),
+        ("a.csv", "B,1,2", "", ",B,1,2,7"),
+        ("a.csv", "S,C,1,2", "", "S,C,1,2,NA,-,9"),
+        ("a.csv", "S,C,1,2", "dt_20200123", "-"),
+        ("b.csv", "E,1,2", "dt_20200122", "1e99"),
+    ]
+    assert got.select("column").count() == 6
+    with pytest.raises(Exception, match="(malformed row, [57] fields|not a (bigint|double))"):
         read_wide(spark, folder, GLOBAL_IDS).collect()
-    with pytest.raises(Exception, match="dt_20200122: not a bigint: x"):
-        read_wide(spark, folder, GLOBAL_IDS, counts="text").collect()
-    got = read_wide(spark, folder, GLOBAL_IDS, mode="permissive", counts="text")
-    assert [r.dt_20200122 for r in got.orderBy("country_region").collect()] == [12, None, None]
 
 
 def test_wide_header_must_be_dates(spark, folder):
