@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -51,6 +52,15 @@ class Measures:
         lines = [line for line in self.data.split(b"\n") if line.strip(SPACES)]
         return len(lines) - len(set(lines))
 
+    @cached_property
+    def line_marks(self) -> tuple[int, int, int]:
+        """Lines with a word, those of them that begin with a bullet, that end with an ellipsis."""
+        lines = [x for x in (line.strip(SPACES) for line in self.data.split(b"\n")) if x]
+        return (
+            len(lines), sum(x.startswith(BULLETS) for x in lines),
+            sum(x.endswith(ELLIPSES) for x in lines),
+        )
+
     @cached_property
     def n_repeat_words(self) -> int:
         words = self.words
@@ -73,12 +83,17 @@ class Measures:
         return int((np.cumsum(marks)[:-1] > 0).sum())
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_marks")
+BULLETS, ELLIPSES = (b"*", b"-", "•".encode()), (b"...", "…".encode())
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` is true for a text to reject."""
+    """``fails`` is true for a text to reject; ``needs`` are the measures that it looks at."""
 
     name: str
     fails: Callable[[Measures], bool]
+    needs: tuple[str, ...] = ()
 
 
 def production_rules(
@@ -87,63 +102,120 @@ def production_rules(
     symbols_percent: int = 30,
     dup_lines_percent: int = 50,
     word_length: tuple[int, int] = (2, 20),
+    bullets_percent: int = 90,
+    ellipses_percent: int = 30,
 ) -> tuple[Rule, ...]:
     low, high = word_length
     return (
-        Rule("few_words", lambda m: m.n_words < min_words),
-        Rule("repeats", lambda m: 100 * m.n_repeat_words > repeat_percent * m.n_words),
-        Rule("symbols", lambda m: 100 * m.n_symbols > symbols_percent * m.n_words),
+        Rule("few_words", lambda m: m.n_words < min_words, ("n_words",)),
+        Rule(
+            "repeats", lambda m: 100 * m.n_repeat_words > repeat_percent * m.n_words,
+            ("n_words", "n_repeat_words"),
+        ),
+        Rule(
+            "symbols", lambda m: 100 * m.n_symbols > symbols_percent * m.n_words,
+            ("n_words", "n_symbols"),
+        ),
         Rule(
             "dup_lines",
             lambda m: 100 * m.n_dup_lines > dup_lines_percent * (m.text.count("\n") + 1),
+            ("n_dup_lines",),
         ),
         Rule(
             "word_length",
             lambda m: not low * m.n_words <= m.word_chars <= high * m.n_words,
+            ("n_words", "word_chars"),
+        ),
+        Rule(
+            "bullets",
+            lambda m: 100 * m.line_marks[1] > bullets_percent * m.line_marks[0],
+            ("line_marks",),
+        ),
+        Rule(
+            "ellipses",
+            lambda m: 100 * m.line_marks[2] > ellipses_percent * m.line_marks[0],
+            ("line_marks",),
         ),
     )
 
 
+@dataclass(frozen=True)
+class Sample:
+    """What a sample tells: texts by the set of rules (bits) that reject them, seconds a text of
+    each measure, and of each rule whose measures are there."""
+
+    rejected: dict[int, int]
+    measures: dict[str, float]
+    rules: dict[str, float]
+
+
 def estimate(
     docs: DataFrame, rules: tuple[Rule, ...], text_col: str, sample_rows: int
-) -> dict[str, tuple[float, float]]:
-    """``{rule: (seconds per text, share rejected)}`` on ``sample_rows`` texts at most.
+) -> Sample:
+    """Rules and measures timed on a random sample of about ``sample_rows`` texts.
 
-    Each rule is timed alone, from the bare text. Only the order of the rules depends on it.
+    Each task samples its own rows and adds its timings up. Only the order of the rules depends
+    on them.
     """
+    share = min(1.0, sample_rows / max(docs.count(), 1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        spent = {name: 0.0 for name in (*MEASURES, *(rule.name for rule in rules))}
+        masks: Counter[int] = Counter()
         for batch in batches:
-            out = []
-            for rule in rules:
-                began = time.perf_counter()
-                rejected = sum(rule.fails(Measures(text)) for text in batch["text"])
-                out.append((rule.name, time.perf_counter() - began, rejected, len(batch)))
-            yield pd.DataFrame(out, columns=["rule", "seconds", "rejected", "n"])
-
-    schema = "rule string, seconds double, rejected long, n long"
+            for text in batch["text"]:
+                measures, mask = Measures(text), 0
+                for name in MEASURES:
+                    began = time.perf_counter()
+                    getattr(measures, name)
+                    spent[name] += time.perf_counter() - began
+                for bit, rule in enumerate(rules):
+                    began = time.perf_counter()
+                    mask |= rule.fails(measures) << bit
+                    spent[rule.name] += time.perf_counter() - began
+                masks[mask] += 1
+        rows = [("", mask, float(n)) for mask, n in masks.items()]
+        rows += [(name, 0, seconds) for name, seconds in spent.items() if masks]
+        yield pd.DataFrame(rows, columns=["name", "mask", "value"])
+
     sums = (
-        docs.select(col(text_col).alias("text"))
-        .limit(sample_rows)
-        .mapInPandas(run, schema)
-        .groupBy("rule")
-        .agg(*[F.sum(c).alias(c) for c in ("seconds", "rejected", "n")])
+        docs.select(col(text_col).alias("text")).sample(share, seed=11)
+        .mapInPandas(run, "name string, mask long, value double")
+        .groupBy("name", "mask").agg(F.sum("value").alias("value"))
+        .collect()
+    )
+    rejected = {r["mask"]: int(r["value"]) for r in sums if r["name"] == ""}
+    texts = max(sum(rejected.values()), 1)
+    seconds = {r["name"]: r["value"] / texts for r in sums if r["name"]}
+    return Sample(
+        rejected, {m: seconds.get(m, 0.0) for m in MEASURES},
+        {rule.name: seconds.get(rule.name, 0.0) for rule in rules},
     )
-    return {
-        r["rule"]: (r["seconds"] / r["n"], r["rejected"] / r["n"]) for r in sums.collect() if r["n"]
-    }
 
 
-def cascade_order(
-    rules: tuple[Rule, ...], found: dict[str, tuple[float, float]]
-) -> tuple[Rule, ...]:
-    """The rules by rejections per second, greatest first; as given where they tie."""
+def cascade_order(rules: tuple[Rule, ...], found: Sample) -> tuple[Rule, ...]:
+    """The rules by rejections per second, greatest first; as given where they tie.
 
-    def worth(rule: Rule) -> float:
-        seconds, share = found.get(rule.name, (1.0, 0.0))
-        return share / max(seconds, 1e-9)
+    A rule counts for the texts that the rules before it let through, and costs what it adds:
+    measures that an earlier rule needs are there already.
+    """
+    left, there = dict(found.rejected), set()
+    todo, out = list(range(len(rules))), []
+    while todo:
+
+        def worth(bit: int) -> float:
+            hits = sum(n for mask, n in left.items() if mask >> bit & 1)
+            cost = found.rules.get(rules[bit].name, 0.0) + sum(
+                found.measures.get(m, 0.0) for m in rules[bit].needs if m not in there
+            )
+            return hits / max(cost, 1e-9)
 
-    return tuple(sorted(rules, key=worth, reverse=True))
+        best = max(todo, key=worth)
+        todo.remove(best)
+        out.append(rules[best])
+        there.update(rules[best].needs)
+        left = {mask: n for mask, n in left.items() if not mask >> best & 1}
+    return tuple(out)
 
 
 def rejecting_rule(rules: tuple[Rule, ...]) -> Callable[[Column], Column]:
@@ -187,10 +259,19 @@ def quality_filter(
     return judged.where(col(name).isNull()).select(*[col(c) for c in docs.columns])
 
 
-MEASURED = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "rejected_by string"
-)
+COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+
+
+def counted(texts: Column) -> Column:
+    """The counts of a text, whichever rules look at them."""
+
+    @F.pandas_udf(COUNTS)
+    def counts(batch: pd.Series) -> pd.DataFrame:
+        names = [part.split()[0] for part in COUNTS.split(", ")]
+        rows = [[getattr(m, name) for name in names] for m in map(Measures, batch)]
+        return pd.DataFrame(rows, columns=names)
+
+    return counts(texts)
 
 
 def quality_report(
@@ -200,22 +281,20 @@ def quality_report(
     sample_rows: int = 1000,
     name: str = "quality",
 ) -> DataFrame:
-    """All columns and a struct ``name`` with every count and the first rejecting rule.
+    """All columns and a struct ``name`` with every count and ``rejected_by``, the rule of the
+    cascade that rejects the text, or NULL.
 
-    A column of that name is replaced. NULL text counts as empty.
+    The cascade judges as in ``quality_filter``, the counts are made apart from it. A column of
+    that name is replaced. NULL text counts as empty; repeated rows are judged alike; an empty
+    table gives no rows.
     """
     ordered = plan_cascade(docs, rules, text_col, sample_rows)
-
-    @F.pandas_udf(MEASURED)
-    def report(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            m = Measures(text)
-            by = next((rule.name for rule in ordered if rule.fails(m)), None)
-            rows.append(
-                (m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words, by)
-            )
-        return pd.DataFrame(rows, columns=[part.split()[0] for part in MEASURED.split(", ")])
-
+    text = col(text_col)
     others = [col(c) for c in docs.columns if c != name]
-    return docs.select(*others, report(col(text_col)).alias(name))
+    n_name, by_name = unused(docs, "counts_", "rejected_")
+    judged = docs.select(
+        *others, counted(text).alias(n_name), rejecting_rule(ordered)(text).alias(by_name)
+    )
+    return judged.select(
+        *others, F.struct(f"{n_name}.*", F.col(by_name).alias("rejected_by")).alias(name)
+    )
