@@ -1,5 +1,6 @@
 from casetrends.operators.align import (
     align_wide,
+    asof_enrich,
     enrich,
     full_align,
     null_tolerant_eq,
@@ -23,6 +24,7 @@ from casetrends.operators.series import (
     collapse_days,
     daily_delta,
     first_row_fallback,
+    on_calendar,
     ranged_series_metrics,
     series_metrics,
     series_window,
@@ -32,6 +34,7 @@ from casetrends.operators.series import (
 __all__ = [
     "UnknownColumnsError",
     "align_wide",
+    "asof_enrich",
     "collapse_days",
     "column_slice",
     "daily_delta",
@@ -43,6 +46,7 @@ __all__ = [
     "latest_snapshot",
     "null_columns",
     "null_tolerant_eq",
+    "on_calendar",
     "preview",
     "profile",
     "ranged_series_metrics",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casetrends.functions.dates import column_day, date_columns
@@ -293,6 +293,25 @@ def enrich(df: DataFrame, attributes: DataFrame, on: Sequence[str], cols: Sequen
     return df.join(attributes.select(*on, *cols), list(on), "left")
 
 
+def asof_enrich(
+    df: DataFrame, attributes: DataFrame, on: Sequence[str], cols: Sequence[str], order: str = "dt"
+) -> DataFrame:
+    """Attribute columns as of each row's day: from the latest attribute row of its key that is not
+    later, NULL where there is none.
+
+    Rows and attributes are stacked and sorted once by key and day, so a key needs no pairs of
+    rows and days, and NULL in a key is a key like others. A NULL attribute is a value; of
+    attribute rows of one key and day one is taken.
+    """
+    held = F.struct(*[F.col(quoted(c)) for c in cols])
+    known = attributes.select(*on, order, held.alias("held__"), F.lit(0).alias("kind__"))
+    rows = df.withColumns({"held__": F.lit(None).cast(known.schema["held__"].dataType), "kind__": F.lit(1)})
+    window = Window.partitionBy(*[F.col(quoted(c)) for c in on]).orderBy(order, "kind__")
+    latest = F.last("held__", ignorenulls=True).over(window)
+    both = union_drifted(rows, known).withColumn("held__", latest).filter(F.col("kind__") == 1)
+    return both.select(*[F.col(quoted(c)) for c in df.columns], "held__.*")
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """UNION ALL by name; all frames have the same columns (pad with ``null_columns``)."""
     return reduce(DataFrame.unionByName, frames)

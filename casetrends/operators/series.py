@@ -72,6 +72,42 @@ def collapse_days(df: DataFrame, keys: Sequence[str], order: str = "dt") -> Data
     return grouped.select(*[F.col(quoted(c)) for c in df.columns])
 
 
+FILLS = (None, "ffill")
+
+
+def on_calendar(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str = "dt",
+    fill: str | None = "ffill",
+    until: Column | None = None,
+) -> DataFrame:
+    """A row for every day of a series from its first to its last, or to ``until`` if that is later.
+
+    A day that the series lacks takes all values of the last row before it (``fill="ffill"``), or
+    is NULL but for its key and day (None). Rows that are there stay as they are; a series that
+    repeats a day keeps the repeats, and a gap then takes the values of one of them. A row without
+    a day stays and fills nothing.
+    """
+    if fill not in FILLS:
+        raise ValueError(f"fill must be one of {FILLS}, not {fill!r}")
+    here, given = F.col(quoted(order)), F.col("given__")
+    following = F.date_sub(F.lead(here).over(series_window(keys, order)), 1)
+    stop = F.greatest(F.coalesce(following, here if until is None else until), here)
+    spread = df.withColumns({"given__": here, "stop__": stop}).withColumn(
+        "day__", F.explode_outer(F.when(here.isNotNull(), F.sequence(here, F.col("stop__"))))
+    )
+    columns = []
+    for name in df.columns:
+        value = F.col(quoted(name))
+        if name == order:
+            value = F.col("day__")
+        elif fill is None and name not in keys:
+            value = F.when(given.eqNullSafe(F.col("day__")), value)
+        columns.append(value.alias(name))
+    return spread.select(*columns)
+
+
 def series_metrics(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,9 +116,14 @@ def series_metrics(
     rows: Sequence[int] = AVG_ROWS,
     filled: bool = False,
     unique: bool = False,
+    calendar: bool = False,
+    fill: str | None = "ffill",
 ) -> DataFrame:
     """Daily new counts and trailing averages of every metric.
 
+    Averages count rows. With ``calendar`` the series first get a row for every day
+    (``on_calendar`` with ``fill``), so that they count days.
+
     All windows share one specification, so the plan has one exchange and one sort. A group
     is one series: with one row per key and day it is bounded by the number of days, however
     many rows the table has. ``collapse_days`` makes that so for a table that repeats days.
@@ -91,6 +132,8 @@ def series_metrics(
     difference of two totals, and an average costs one look back instead of a pass over its
     frame. ``unique`` fails the job when a key has a day twice.
     """
+    if calendar:
+        df = on_calendar(df, keys, order, fill)
     window = series_window(keys, order)
     totals = {m: F.col(f"total_{m}") for m in metrics}
     new = {f"daily_new_{m}": first_row_fallback(delta(t, window), t) for m, t in totals.items()}

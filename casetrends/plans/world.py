@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casetrends.functions.dates import column_day, date_columns
 from casetrends.functions.rates import RATE_DIGITS, implied_population, per_person, safe_ratio
 from casetrends.functions.stamps import Instant, local_stamp
-from casetrends.operators.align import align_wide, union_sources
+from casetrends.operators.align import align_wide, asof_enrich, union_drifted, union_sources
 from casetrends.operators.project import null_columns
 from casetrends.operators.series import (
     AVG_ROWS,
@@ -122,8 +122,16 @@ def global_series_wide(
     recovered: DataFrame,
     coalesce_keys: bool = True,
     now: Instant = None,
+    states: DataFrame | None = None,
+    population: DataFrame | None = None,
 ) -> DataFrame:
-    """Three-metric series from the wide frames. They hold no population, so no incident rate.
+    """Three-metric series from the wide frames.
+
+    The wide frames hold no population, so there is no incident rate unless ``population`` is
+    given: ``(dt, *key, population)``, of which a row takes the latest that is not later. Then the
+    result has ``population`` and ``incident_rate`` (per person). ``states`` adds rows of places that
+    the wide frames know as a whole only, such as ``state_rollup`` gives them: ``dt``, key, and those
+    totals that they have; a missing total is 0. Their keys must not be in the wide frames.
 
     ``coalesce_keys=False`` puts a key that confirmed lacks on two rows per day; they are
     merged before the windows, which need one row per day.
@@ -132,7 +140,15 @@ def global_series_wide(
     aligned = _aligned_world(confirmed, deaths, recovered, coalesce_keys)
     if not coalesce_keys:
         aligned = collapse_days(aligned, GLOBAL_SERIES_KEY)
-    if axes[0] == axes[1] == axes[2]:
+    if states is not None:
+        known = [f"total_{m}" for m in WIDE_METRICS if f"total_{m}" in states.columns]
+        rows = states.select("dt", *GLOBAL_SERIES_KEY, *known)
+        aligned = union_drifted(aligned, rows).fillna(0, [f"total_{m}" for m in WIDE_METRICS])
+    added = []
+    if population is not None:
+        aligned = asof_enrich(aligned, population, GLOBAL_SERIES_KEY, ["population"])
+        added = ["population"]
+    if states is None and axes[0] == axes[1] == axes[2]:
         last_day = F.lit(column_day(axes[0][-1]))
     else:
         last_day = aligned.agg(F.max("dt")).scalar()
@@ -144,13 +160,16 @@ def global_series_wide(
                 "last_updated_dt": last_day,
                 "last_updated_ts": local_stamp(now),
             }
+            | {"incident_rate": safe_ratio(F.col("total_confirmed"), F.col(c)) for c in added}
         )
         .select(
             "dt",
             *GLOBAL_PLACE,
+            *added,
             *[f"total_{m}" for m in WIDE_METRICS],
             *[f"daily_new_{m}" for m in WIDE_METRICS],
             *_averages(WIDE_METRICS),
+            *["incident_rate" for _ in added],
             "case_fatality_rate",
             "last_updated_dt",
             "last_updated_ts",

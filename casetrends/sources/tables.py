@@ -65,13 +65,17 @@ def write_partitioned(
 
 
 def replace_partitions(
-    df: DataFrame, table: str, partition_by: str = "report_dt", days: list[Day] | None = None
+    df: DataFrame,
+    table: str,
+    partition_by: str = "report_dt",
+    days: list[Day] | None = None,
+    since: Day | None = None,
 ) -> None:
     """Replace the days that ``df`` holds; other days of the table stay as they are.
 
     Running it twice leaves the same table. ``days`` names the days meant to be replaced: rows of
-    another day are an error, and a named day without rows ends up empty. Rows without a day are an
-    error.
+    another day are an error, and a named day without rows ends up empty. ``since`` means all days
+    from that one on. Rows without a day are an error.
 
     The rows are computed once, into a folder of the load inside the table's own. What the load
     holds is read off its folders; only then each day is pointed to its new files, one day
@@ -91,13 +95,16 @@ def replace_partitions(
         staged = _staged_days(spark, load, partition_by)
         if None in staged:
             raise ValueError(f"{table}: rows without a day")
+        present = _partition_days(spark, table, partition_by)
         wanted = set(staged) if days is None else {as_day(d) for d in days}
+        if since is not None:
+            first = as_day(since)
+            wanted = {d for d in wanted | present if d >= first}
         if stray := sorted(set(staged) - wanted):
             raise ValueError(f"{table}: row of an unnamed day: {', '.join(map(str, stray))}")
     except ValueError:
         _delete(spark, load)
         raise
-    present = _partition_days(spark, table, partition_by)
 
     def partition(day: dt.date) -> str:
         return f"PARTITION ({quoted(partition_by)} = DATE '{day}')"

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
+from casetrends.operators import series_metrics, unpivot_wide
 from casetrends.plans import (
     global_series_basic,
     global_series_daily,
     global_series_wide,
     ingest_daily_reports,
+    refresh_series,
     state_rollup,
     us_current,
     us_series,
     us_series_from_long,
 )
 from casetrends.schemas import GLOBAL_DAILY
+from casetrends.sources import replace_partitions
 from querybook.registry import query
 from querybook.storage import SQL_STANDARD_REPORTS, report_folder, scratch_table
 from querybook.views import (
@@ -177,6 +182,43 @@ def q2_unique(spark, sf):
     return us_current(*wides, one_row_per_place=True).drop("last_updated_ts")
 
 
+SINCE = 6
+
+
+@query(
+    "Q1_refresh_corrected_days",
+    with_ctes(
+        SQL_PLACES,
+        SQL_AXIS,
+        sql_us_long_of_wide("confirmed"),
+        f"""
+corrected AS (
+    SELECT dt, combined_key, CASE WHEN dt > (SELECT MAX(dt) FROM axis) - {SINCE} AND "UID" % 3 = 0
+                                  THEN total_confirmed * 2 ELSE total_confirmed END AS total_confirmed
+    FROM us_confirmed_melted
+)""",
+        sql_series("corrected", "combined_key", ("confirmed",)),
+    )
+    + f"""SELECT dt, combined_key, total_confirmed, daily_new_confirmed,
+                 {sql_averages("combined_key", ("confirmed",))} FROM fresh""",
+)
+def q1_refresh(spark, sf):
+    """A stored series, then corrected last days: only these are computed and written again."""
+    table_name = scratch_table(spark, "series")
+    long = unpivot_wide(us_wide(spark, sf, "confirmed"), ["UID", "combined_key"], "confirmed")
+    stored = series_metrics(long.drop("UID"), ["combined_key"], ["confirmed"])
+    replace_partitions(stored, table_name, "dt")
+    since = event_days_range(spark, sf)[1] - timedelta(days=SINCE - 1)
+    twice = F.when(F.col("UID") % 3 == 0, F.col("total_confirmed") * 2)
+    fresh = (
+        long.filter(F.col("dt") >= F.lit(since))
+        .withColumn("total_confirmed", F.coalesce(twice, "total_confirmed"))
+        .drop("UID")
+    )
+    refresh_series(spark, table_name, fresh, ["combined_key"], ["confirmed"], since)
+    return spark.table(table_name)
+
+
 WORLD = ("confirmed", "deaths", "recovered", "active")
 WORLD_KEY = "province_state, country_region"
 
@@ -274,6 +316,74 @@ def q4(spark, sf):
     return series.drop("last_updated_ts")
 
 
+US_STATES = "US states of "
+
+SQL_WITH_STATES = with_ctes(
+    SQL_PLACES,
+    SQL_AXIS,
+    sql_us_long_of_wide("confirmed"),
+    sql_us_long_of_wide("deaths"),
+    sql_us_joined(
+        "us_confirmed_melted",
+        "us_deaths_melted",
+        "(SELECT DISTINCT combined_key, population FROM us_deaths_melted)",
+    ).replace("joined AS", "us_joined AS", 1),
+    f"""
+states AS (
+    SELECT dt, province_state, country_region AS country, '{US_STATES}' || country_region AS country_region,
+           SUM(population) AS population, SUM(total_confirmed) AS total_confirmed,
+           SUM(total_deaths) AS total_deaths
+    FROM us_joined GROUP BY ALL
+),
+people AS (
+    SELECT dt, province_state, unnest([country, country_region]) AS country_region, population
+    FROM states WHERE day(dt) % 5 = 0
+)""",
+    *[sql_global_long_of_wide(m, f"{m}_long") for m in WIDE],
+    _sql_world_joined(),
+    """
+rows AS (
+    SELECT * FROM joined
+    UNION ALL BY NAME
+    SELECT dt, province_state, country_region, CAST(total_confirmed AS BIGINT) AS total_confirmed,
+           CAST(total_deaths AS BIGINT) AS total_deaths, CAST(0 AS BIGINT) AS total_recovered FROM states
+),
+peopled AS (
+    SELECT r.*, CAST(p.population AS BIGINT) AS population
+    FROM rows r ASOF LEFT JOIN people p
+      ON COALESCE(r.province_state, '') = COALESCE(p.province_state, '')
+     AND r.country_region = p.country_region AND r.dt >= p.dt
+)""",
+    sql_series("peopled", WORLD_KEY, WIDE),
+)
+
+
+@query(
+    "Q4_global_series_with_states",
+    SQL_WITH_STATES
+    + f"""SELECT dt, {PLACE}, population, {", ".join(f"total_{m}" for m in WIDE)},
+                 {", ".join(f"daily_new_{m}" for m in WIDE)},
+                 {sql_averages(WORLD_KEY, WIDE)},
+                 CASE WHEN population = 0 THEN NULL
+                      ELSE {sql_round("total_confirmed / population", 4)} END AS incident_rate,
+                 CASE WHEN total_confirmed = 0 THEN NULL
+                      ELSE {sql_round("total_deaths / total_confirmed", 4)} END AS case_fatality_rate,
+                 MAX(dt) OVER () AS last_updated_dt
+          FROM fresh""",
+)
+def q4_states(spark, sf):
+    """States rolled up from counties beside the nations; populations known on every fifth day."""
+    counties = us_series(us_wide(spark, sf, "confirmed"), us_wide(spark, sf, "deaths"))
+    states = state_rollup(counties)
+    named = states.withColumn("country_region", F.concat(F.lit(US_STATES), "country_region"))
+    people = states.unionByName(named).filter(F.day("dt") % 5 == 0)
+    series = global_series_wide(
+        *[global_wide(spark, sf, m) for m in WIDE], states=named,
+        population=people.select("dt", "province_state", "country_region", "population"),
+    )
+    return series.drop("last_updated_ts")
+
+
 @query(
     "Q5_global_series_basic",
     SQL_WORLD_WIDE

@@ -113,6 +113,36 @@ def average_28_ranged(spark, sf):
     )
 
 
+@query(
+    "W3_trailing_avg_7_calendar",
+    with_ctes(SQL_NATION_DAYS, sql_global_long("deaths"))
+    + f""", days AS (
+             SELECT province_state, country_region,
+                    CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS dt
+             FROM (SELECT province_state, country_region, MIN(dt) AS lo, MAX(dt) AS hi
+                   FROM global_deaths GROUP BY ALL)),
+         dense AS (
+             SELECT d.*, LAST_VALUE(total_deaths IGNORE NULLS) OVER (
+                        PARTITION BY d.province_state, d.country_region ORDER BY d.dt) AS total_deaths
+             FROM days d LEFT JOIN global_deaths g
+               ON d.dt = g.dt AND d.country_region = g.country_region
+              AND d.province_state IS NOT DISTINCT FROM g.province_state),
+         fresh AS (
+             SELECT *, COALESCE(total_deaths - LAG(total_deaths) OVER w, total_deaths) AS daily_new_deaths
+             FROM dense WINDOW w AS (PARTITION BY province_state, country_region ORDER BY dt))
+         SELECT *, {sql_round("""AVG(daily_new_deaths) OVER (
+                        PARTITION BY province_state, country_region ORDER BY dt
+                        ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""", 1)} AS daily_new_deaths_7d_ma
+         FROM fresh""",
+)
+def average_7_calendar(spark, sf):
+    """Averages over seven days, not seven rows: days without a report carry the last total on."""
+    rows = global_long(spark, sf, "deaths")
+    rows = rows.select("dt", "province_state", "country_region", "total_deaths")
+    keys = ["province_state", "country_region"]
+    return series_metrics(rows, keys, ["deaths"], rows=(7,), calendar=True, fill="ffill")
+
+
 SQL_W5 = """FROM global_deaths
          WINDOW w AS (PARTITION BY province_state, country_region ORDER BY dt)"""
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from casetrends.operators import (
     align_wide,
+    asof_enrich,
     collapse_days,
     enrich,
     full_align,
@@ -222,3 +223,17 @@ def test_salted_join_spreads_a_hot_key(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_attributes_as_of_a_day(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 3), ("a", 9), (None, 5), ("b", 2)], "k string, dt int")
+    known = spark.createDataFrame(
+        [("a", 2, 20, "x"), ("a", 3, 30, None), ("a", 8, None, "z"), (None, 1, 7, "n"), ("b", 3, 1, "late")],
+        "k string, dt int, people int, note string",
+    )
+    got = asof_enrich(df, known, ["k"], ["people", "note"])
+    key = lambda r: tuple((v is not None, v if v is not None else 0) for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted([
+        ("a", 1, None, None), ("a", 3, 30, None), ("a", 3, 30, None), ("a", 9, None, "z"),
+        (None, 5, 7, "n"), ("b", 2, None, None),
+    ], key=key)

@@ -234,3 +234,53 @@ def test_filters_on_labels_pass_the_window(spark):
     assert "Window" in text
     above = text.split("Window", 1)[0]
     assert "Filter" not in above
+
+
+def _files(spark, name):
+    import os
+
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    top = found["data_type"].removeprefix("file:")
+    return {
+        (re.search(r"dt=([-0-9]+)", d)[1], f): os.stat(f"{d}/{f}").st_mtime_ns
+        for d, _, files in os.walk(top) for f in files if f.endswith(".parquet")
+    }
+
+
+def test_refresh_equals_a_rebuild_and_leaves_earlier_files(spark):
+    import random
+
+    from casetrends.operators import series_metrics
+    from casetrends.plans import refresh_series
+    from casetrends.sources import replace_partitions
+
+    random.seed(6)
+    spark.sql("CREATE DATABASE IF NOT EXISTS refreshed")
+    name, keys = "refreshed.series", ["k"]
+    schema = "k string, dt date, total_a bigint, note string"
+    data = {
+        (k, d): random.choice((None, random.randint(0, 50)))
+        for k in ("x", None, "sparse", "short")
+        for d in range(70)
+        if random.random() < {"sparse": 0.15, "short": 0.04}.get(k, 0.9)
+    }
+    frame = lambda found: spark.createDataFrame(
+        [(k, day(d), v, "n") for (k, d), v in found.items()], schema
+    )
+    replace_partitions(series_metrics(frame(data), keys, ["a"]), name, "dt")
+    before = _files(spark, name)
+    since = 50
+    corrected = {at: v for at, v in data.items() if at[1] < since} | {
+        (k, d): (v or 0) + 7 for (k, d), v in data.items() if d >= since and d != 55
+    } | {("new", 60): 1, ("x", 71): 2}
+    fresh = frame({at: v for at, v in corrected.items() if at[1] >= since})
+    for _ in range(2):
+        refresh_series(spark, name, fresh, keys, ["a"], day(since))
+        want = series_metrics(frame(corrected), keys, ["a"])
+        got = spark.table(name).select(*want.columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    after = _files(spark, name)
+    early = {at: t for at, t in before.items() if at[0] < str(day(since))}
+    assert early and early == {at: t for at, t in after.items() if at[0] < str(day(since))}
+    with pytest.raises(ValueError, match="unnamed day"):
+        refresh_series(spark, name, frame({("x", 1): 1}), keys, ["a"], day(since))

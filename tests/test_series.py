@@ -9,6 +9,7 @@ from helpers import day, exchanges, plan, rows
 
 from casetrends.operators import (
     daily_delta,
+    on_calendar,
     ranged_series_metrics,
     series_metrics,
     trailing_avg,
@@ -154,3 +155,33 @@ def test_ranges_spread_one_series(spark, folder):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(sizes) == 20_000 and max(sizes) < 15_000
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.dictionaries(st.integers(0, 40), st.one_of(st.none(), st.integers(0, 9)), min_size=1, max_size=12))
+def test_calendar_has_every_day_once(spark, found):
+    df = spark.createDataFrame(
+        [("x", day(d), v) for d, v in found.items()] + [("y", day(3), 5)],
+        "k string, dt date, total_a bigint",
+    )
+    last = None
+    carried, blank = [], []
+    for d in range(min(found), max(found) + 1):
+        last = found.get(d, last)
+        carried.append((day(d), last))
+        blank.append((day(d), found.get(d)))
+    for fill, want in (("ffill", carried), (None, blank)):
+        got = on_calendar(df, ["k"], fill=fill)
+        assert rows(got.where("k = 'x'").select("dt", "total_a"), "dt") == want
+        assert rows(got.where("k = 'y'").select("total_a")) == [(5,)]
+    dense = series_metrics(df, ["k"], ["a"], rows=(7,), calendar=True).where("k = 'x'")
+    plain = spark.createDataFrame([("x", d, v) for d, v in carried], "k string, dt date, total_a bigint")
+    assert rows(dense, "dt") == rows(series_metrics(plain, ["k"], ["a"], rows=(7,)), "dt")
+
+
+def test_calendar_until_a_day(spark):
+    df = spark.createDataFrame([("x", day(1), 4), ("y", None, 7)], "k string, dt date, total_a bigint")
+    got = on_calendar(df, ["k"], until=F.lit(day(3)))
+    assert rows(got, "k", "dt") == [("x", day(1), 4), ("x", day(2), 4), ("x", day(3), 4), ("y", None, 7)]
+    with pytest.raises(ValueError):
+        on_calendar(df, ["k"], fill="linear")
