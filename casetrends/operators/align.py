@@ -277,8 +277,9 @@ def align_wide(
         located = enrich(located, attributes, on, added)
     added += carried
     days = day_literals([column_day(c) for c in axis])
+    inline = F.inline_outer if axis else F.inline  # see unnest
     long = located.select(
-        *place, *added, F.inline(F.arrays_zip(days.alias("dt"), *[F.col(t) for t in totals]))
+        *place, *added, inline(F.arrays_zip(days.alias("dt"), *[F.col(t) for t in totals]))
     )
     filled = [F.col(t) if fill is None else F.coalesce(t, F.lit(fill)).alias(t) for t in totals]
     return long.select("dt", *place, *added, *filled)

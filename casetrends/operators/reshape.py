@@ -26,14 +26,20 @@ def dated_structs(df: DataFrame, date_cols: list[str], metric: str, name: str =
     return df.withColumn(name, F.arrays_zip(days.alias("dt"), values.alias(f"total_{metric}")))
 
 
-def unnest(df: DataFrame, array: str) -> DataFrame:
-    """One row per array element with the struct fields as columns; empty arrays vanish."""
+def unnest(df: DataFrame, array: str, filled: bool = False) -> DataFrame:
+    """One row per array element with the struct fields as columns; empty arrays vanish.
+
+    ``filled`` says that no array is empty or NULL. Spark then infers no filter on the arrays; one on
+    an array of very many columns, each computed, makes later plans slow to optimize.
+    """
     rest = [F.col(quoted(c)) for c in df.columns if c != array]
-    return df.select(*rest, F.inline(F.col(quoted(array))))
+    inline = F.inline_outer if filled else F.inline
+    return df.select(*rest, inline(F.col(quoted(array))))
 
 
 def unpivot_wide(df: DataFrame, ids: list[str], metric: str) -> DataFrame:
     """``(dt, *ids, total_<metric>)``, one row per location and date, missing values kept."""
-    dated = dated_structs(df, date_columns(df.columns), metric)
+    dates = date_columns(df.columns)
+    dated = dated_structs(df, dates, metric)
     slim = dated.select(*[F.col(quoted(c)) for c in ids], "arr")
-    return unnest(slim, "arr").select("dt", *[F.col(quoted(c)) for c in ids], f"total_{metric}")
+    return unnest(slim, "arr", filled=bool(dates)).select("dt", *[F.col(quoted(c)) for c in ids], f"total_{metric}")
