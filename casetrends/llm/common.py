@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,3 +86,36 @@ def cut(df: DataFrame) -> DataFrame:
     if df.sparkSession.sparkContext.getCheckpointDir() is None:
         df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """Inside, each query's shuffle files are removed when it has ended, as its result is stored.
+
+    The setting changes no result; it is put back at the end.
+    """
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+
+
+def tidy_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings that removes a query's shuffle files when it has ended.
+
+    For rounds that each end in a table. The caller's session stays as it is.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set(CLEAN_UP, "true")
+    return own

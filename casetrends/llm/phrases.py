@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casetrends.llm.common import UPPER, col, shared_folder
+from casetrends.llm.common import UPPER, col, shared_folder, tidy_session
 
 # What ends a piece becomes a full stop, which is no part of any word.
 ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -143,53 +144,56 @@ def joined(words: pa.Array, numbers: np.ndarray) -> pa.Array:
     return pc.binary_join_element_wise(*parts, " ")
 
 
-SHARD = "shard long, lang string, ids binary, words array<string>, counts array<long>"
+SHARD = (
+    "shard long, lang string, ids binary, n int, words array<string>, counts array<long>"
+)
 
 
 def write_shards(docs: DataFrame, lang_col: str, text_col: str, shard_words: int, path: str) -> None:
-    """Texts as numbered words: a row for each language of some whole texts, ``shard_words`` words in
-    all (or one longer text). A task closes its shards by itself, so nothing is shuffled."""
+    """Texts as numbered words: a row for some whole texts of a language.
+
+    A task holds texts of about ``shard_words`` words (or one longer text) and then closes a shard of
+    the language that has most of them, so nothing is shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         held: dict[str, list[pa.Array]] = {}
-        size = 0
+        size: Counter[str] = Counter()
 
-        def written() -> Iterator[pa.RecordBatch]:
+        def written(lang: str) -> pa.RecordBatch:
             nonlocal shard
-            for lang, texts in held.items():
-                number, words, _ = split_words(pa.concat_arrays(texts))
-                counts = np.bincount(number, minlength=len(words))
-                counts[0] = 0
-                text = pa.array([number.astype("<i4").tobytes()], pa.binary())
-                named = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
-                often = pa.ListArray.from_arrays(named.offsets, pa.array(counts, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard]), pa.array([lang]), text, named, often],
-                    names=["shard", "lang", "ids", "words", "counts"],
-                )
-                shard += 1
+            number, words, _ = split_words(pa.concat_arrays(held.pop(lang)))
+            del size[lang]
+            counts = np.bincount(number, minlength=len(words))
+            counts[0] = 0
+            packed = pa.compress(number.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+            named = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+            often = pa.ListArray.from_arrays(named.offsets, pa.array(counts, pa.int64()))
+            shard += 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array([shard]), pa.array([lang]), pa.array([packed], pa.binary()),
+                 pa.array([len(number)], pa.int32()), named, often],
+                names=["shard", "lang", "ids", "n", "words", "counts"],
+            )
 
         for batch in batches:
-            langs = batch.column("lang").dictionary_encode()
             texts = batch.column("text").fill_null("")
-            # A word and the space before it are two bytes at least; five is common.
-            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False) // 5
-            # Rows of a batch go together, as far as the shard has room.
-            full = (np.cumsum(sizes) + size) // shard_words
-            for cut in np.unique(full):
-                mine = full == cut
-                if cut > 0 and held:
-                    yield from written()
-                    held, size = {}, 0
-                own = langs.filter(pa.array(mine))
-                rows = texts.filter(pa.array(mine))
+            # A word and the space before it are two bytes at least; six are common.
+            words = pc.binary_length(texts).to_numpy(zero_copy_only=False) // 6 + 1
+            part = np.cumsum(words) // (shard_words // 8 + 1)
+            begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
+            for low, high in zip(begins, [*begins[1:], len(part)]):
+                langs = batch.column("lang").slice(low, high - low).dictionary_encode()
+                rows = texts.slice(low, high - low)
                 for k, lang in enumerate(langs.dictionary.to_pylist()):
-                    part = rows.filter(pc.equal(own.indices, k))
-                    if len(part):
-                        held.setdefault(lang, []).append(part)
-                size += int(sizes[mine].sum())
-        yield from written()
+                    mine = pc.equal(langs.indices, k)
+                    held.setdefault(lang, []).append(rows.filter(mine))
+                    size[lang] += int(words[low:high][mine.to_numpy(zero_copy_only=False)].sum())
+                while size.total() >= shard_words:
+                    yield written(size.most_common(1)[0][0])
+        for lang in list(held):
+            yield written(lang)
 
     lang = F.coalesce(col(lang_col).cast("string"), F.lit("und"))
     (
@@ -199,56 +203,89 @@ def write_shards(docs: DataFrame, lang_col: str, text_col: str, shard_words: int
     )
 
 
-PHRASES = "shard long, lang string, phrase string, pair array<int>, a long"
+PAIRS = "shard long, pair long, h long, a long"
+PHRASES = "lang string, phrase string, a long"
+MIX = np.uint64(0x9E3779B97F4A7C15)
+# All pairs of all shards are the most that is shuffled at once; they are counted in turns.
+TURNS = 2
+
+
+def _pair_batch(shard: int, found: dict, word_hash: np.ndarray) -> pa.RecordBatch:
+    """Pairs as packed numbers of their shard, with a hash that all shards agree on."""
+    first, second = found["words"].T
+    mixed = word_hash[first] * MIX + word_hash[second]
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= MIX
+    n = len(first)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, shard)), pa.array(first << 32 | second), pa.array(mixed.view(np.int64)),
+         pa.array(found["high"] - found["low"])],
+        names=["shard", "pair", "h", "a"],
+    )
 
 
-def _phrase_batch(row: dict, words: pa.Array, found: dict, with_pair: bool) -> pa.RecordBatch:
+def _phrase_batch(lang: str, words: pa.Array, found: dict) -> pa.RecordBatch:
     numbers = found["words"]
-    n = len(numbers)
-    pair = pa.nulls(n, pa.list_(pa.int32()))
-    if with_pair:
-        pair = pa.ListArray.from_arrays(
-            pa.array(np.arange(n + 1) * 2, pa.int32()), pa.array(numbers.ravel(), pa.int32())
-        )
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, row["shard"])), pa.array([row["lang"]] * n, pa.string()),
-         joined(words, numbers), pair, pa.array(found["high"] - found["low"])],
-        names=["shard", "lang", "phrase", "pair", "a"],
+        [pa.array([lang] * len(numbers), pa.string()), joined(words, numbers),
+         pa.array(found["high"] - found["low"])],
+        names=["lang", "phrase", "a"],
     )
 
 
-def _enumerated(joined_shards: DataFrame, pairs_known: bool) -> DataFrame:
-    """The phrases of each shard with their counts: of two words where the frequent words are
-    known (``kept``), of three and four where the frequent pairs are."""
+def _unpacked(ids: pa.Scalar, n: int) -> np.ndarray:
+    data = pa.decompress(ids.as_buffer(), decompressed_size=4 * n, codec="zstd")
+    return np.frombuffer(data, "<i4").astype(np.int64)
+
+
+def pairs_of_shards(shards: DataFrame, turn: int) -> DataFrame:
+    """``shard, pair, h, a``: the pairs of the words in ``kept`` (``id, h``), by shard, as far as their
+    first word's hash has its turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k].as_py() for c in ("shard", "lang", "ids")}
-                words = batch.column("words")[k].values
-                text = np.frombuffer(row["ids"], "<i4").astype(np.int64)
+                shard, n = batch.column("shard")[k].as_py(), batch.column("n")[k].as_py()
                 kept = batch.column("kept")[k].values
-                if pairs_known:
-                    text = kept_pairs(text, np.asarray(kept.flatten()).reshape(-1, 2).astype(np.int64))
-                else:
-                    text = kept_words(text, np.asarray(kept).astype(np.int64))
+                number = kept.field("id").to_numpy(zero_copy_only=False).astype(np.int64)
+                text = kept_words(_unpacked(batch.column("ids")[k], n), number)
+                if text.any():
+                    word_hash = np.zeros(int(number.max()) + 1, np.uint64)
+                    word_hash[number] = kept.field("h").to_numpy(zero_copy_only=False).view(np.uint64)
+                    index = PhraseIndex(text, len(word_hash))
+                    found = index.words()
+                    mine = word_hash[found["words"][:, 0]] % np.uint64(TURNS) == turn
+                    found = index.extend({k: v[mine] for k, v in found.items()}, to_left=False)
+                    yield _pair_batch(shard, found, word_hash)
+
+    return shards.select("shard", "ids", "n", "kept").mapInArrow(run, PAIRS)
+
+
+def phrases_of_shards(shards: DataFrame) -> DataFrame:
+    """``lang, phrase, a``: phrases of two to four words all of whose pairs are in ``kept``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words = batch.column("words")[k].values
+                kept = batch.column("kept")[k].values.to_numpy(zero_copy_only=False)
+                pairs = np.stack([kept >> 32, kept & 0xFFFFFFFF], 1)
+                text = kept_pairs(_unpacked(batch.column("ids")[k], batch.column("n")[k].as_py()), pairs)
                 if not text.any():
                     continue
                 index = PhraseIndex(text, len(words))
-                found = index.extend(index.words(), to_left=False)
-                if not pairs_known:
-                    yield _phrase_batch(row, words, found, True)
-                    continue
-                for to_left in (True, False):
+                found = index.words()
+                # To the right, then to the left, then to the right again.
+                for to_left in (False, True, False):
                     found = index.extend(found, to_left)
                     if len(found["low"]):
-                        yield _phrase_batch(row, words, found, False)
+                        yield _phrase_batch(batch.column("lang")[k].as_py(), words, found)
 
-    return joined_shards.mapInArrow(run, PHRASES)
+    return shards.select("lang", "ids", "n", "words", "kept").mapInArrow(run, PHRASES)
 
 
 def _total(of: str, *keys: str) -> Column:
-    return F.sum(of).over(Window.partitionBy(F.xxhash64(*keys), *keys))
+    return F.sum(of).over(Window.partitionBy(*keys))
 
 
 def count_phrases(
@@ -257,38 +294,42 @@ def count_phrases(
     """``lang, phrase, m, a``: all phrases of one to four words that occur ``least`` times or more in
     their language, and ``lang, n``: all words.
 
-    A phrase is no more frequent than its parts. So only frequent words take part in the index
-    of a shard, and in a second round only pairs that are frequent in all shards together; what
-    else stands between them ends a piece.
+    A phrase is no more frequent than its parts. So only frequent words take part in the index of
+    a shard, then only pairs that are frequent in all shards together; what else stands between
+    them ends a piece. Pairs are told apart by a hash of 64 bits there: two that share one may both
+    stay, and go when the phrases themselves are counted. Each round ends in a table, and a session
+    of its own lets go of the shuffle files of a round with it.
     """
     folder = shared_folder(docs.sparkSession) + f"/phrases-{uuid.uuid4().hex}"
-    spark = docs.sparkSession
+    spark = tidy_session(docs.sparkSession)
     write_shards(docs, lang_col, text_col, shard_words, f"{folder}/shards")
     shards = spark.read.parquet(f"{folder}/shards")
     own = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("id", "x"))
-    own = own.where("x.counts > 0").select("shard", "lang", "id", "x.words", "x.counts")
-    n = own.groupBy("lang").agg(F.sum("counts").alias("n"))
-    words = own.withColumn("a", _total("counts", "lang", "words")).where(F.col("a") >= least)
-    words.select("shard", "lang", "id", F.col("words").alias("phrase"), "a").write.parquet(f"{folder}/words")
+    own = own.where("x.counts > 0").select("shard", "lang", "id", F.col("x.words").alias("phrase"), "x.counts")
+    words = own.withColumn("a", _total("counts", "phrase", "lang")).where(F.col("a") >= least)
+    words.select("shard", "id", "lang", "phrase", "a").write.parquet(f"{folder}/words")
     words = spark.read.parquet(f"{folder}/words")
 
-    def with_kept(kept: DataFrame) -> DataFrame:
-        lists = kept.groupBy("shard").agg(F.collect_list("id").alias("kept"))
-        return shards.join(lists, "shard").select("shard", "lang", "ids", "words", "kept")
+    def with_kept(kept: DataFrame, item: Column) -> DataFrame:
+        return shards.join(kept.groupBy("shard").agg(F.collect_list(item).alias("kept")), "shard")
 
-    pairs = _enumerated(with_kept(words), False).withColumn("a", _total("a", "lang", "phrase"))
-    pairs.where(F.col("a") >= least).write.parquet(f"{folder}/pairs")
-    pairs = spark.read.parquet(f"{folder}/pairs")
-    longer = (
-        _enumerated(with_kept(pairs.withColumnRenamed("pair", "id")), True)
-        .groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
-    )
+    hashed = F.struct("id", F.xxhash64("lang", "phrase").alias("h"))
+    for turn in range(TURNS):
+        pairs = pairs_of_shards(with_kept(words, hashed), turn)
+        frequent = pairs.withColumn("total", _total("a", "h")).where(F.col("total") >= least)
+        frequent.select("shard", "pair").write.mode("append").parquet(f"{folder}/pairs")
+    longer = phrases_of_shards(with_kept(spark.read.parquet(f"{folder}/pairs"), F.col("pair")))
+    longer = longer.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     longer.write.parquet(f"{folder}/longer")
-    found = (
-        words.select("lang", "phrase", "a").distinct()
-        .unionByName(pairs.select("lang", "phrase", "a").distinct())
-        .unionByName(spark.read.parquet(f"{folder}/longer"))
-    )
+    words.select("lang", "phrase", "a").distinct().write.parquet(f"{folder}/single")
+
+    def stored(name: str) -> DataFrame:
+        return docs.sparkSession.read.parquet(f"{folder}/{name}")
+
+    n = stored("shards").groupBy("lang").agg(
+        F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n")
+    ).where("n > 0")
+    found = stored("single").unionByName(stored("longer"))
     return found.withColumn("m", F.size(F.split("phrase", " "))), n
 
 
