@@ -258,7 +258,9 @@ def repair_conversations(
     frames; a conversation without rows is in none of them. Other columns are not looked at.
     """
     placed = cut(in_order(conversations, names))
-    slices = cut(_slices(placed, slice_rows))
+    # A row of a slice is a letter, but much work: small partitions are not to be merged.
+    tasks = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = cut(_slices(placed, slice_rows).repartition(tasks, "at"))
 
     @F.pandas_udf("struct<costs:array<bigint>,illegal:bigint>")
     def measured(codes: pd.Series) -> pd.DataFrame:
@@ -326,6 +328,7 @@ def repair_conversations(
 
     tried = cut(
         slices.join(leaves, slices["at"] == leaves["ats"])
+        .repartition(tasks, "at")
         .select("conv", "at", paths("codes", "leave", "last").alias("ways"))
     )
 
