@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetrends.llm.common import col, cut, text_of, unused
+from casetrends.llm.common import col, cut, text_of, tidied, unused
 
 UPPER_BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -24,6 +25,11 @@ BLOCK = 256
 #: Blocks of texts that are compared whole at most where nodes of much the same texts remain.
 BLOCKS = 16
 DEPTH = 5
+#: A class beyond ``BLOCKS`` blocks has larger ones, up to this size, that a task compares piece by
+#: piece: a text is sent to as many tasks as its class has blocks.
+GRID = 4096
+#: Tokens that a set samples on average at a node below the roots, at most.
+SAMPLED = 2.25
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -73,6 +79,22 @@ def chosen(tokens: np.ndarray, path: np.uint64, share: float) -> np.ndarray:
     return mix(drawn[drawn <= limit] + root)
 
 
+def plan_runs(target_recall: float, depth: int = DEPTH) -> tuple[int, float]:
+    """Runs, and tokens sampled per node below the roots, that find a pair at the threshold with the
+    target's chance even if all nodes it meets in are split at every level.
+
+    A run keeps the pair together at the root with a chance of 1 - exp(-1), and at each level below
+    with 1 - exp(-tokens).
+    """
+    root = 1 - math.exp(-1)
+    runs = 1
+    while True:
+        below = ((1 - (1 - target_recall) ** (1 / runs)) / root) ** (1 / max(depth - 1, 1))
+        if below < 1 and -math.log(1 - below) <= SAMPLED:
+            return runs, max(1.0, -math.log(1 - below))
+        runs += 1
+
+
 def sort_groups(df: DataFrame, key: str, *order: str) -> DataFrame:
     """Rows of one key in one task, one after another."""
     return df.repartition(key).sortWithinPartitions(key, *order)
@@ -225,9 +247,10 @@ def _groups(members: DataFrame, group: str) -> DataFrame:
     """``part, side, rec``: small groups whole, larger ones as pairs of blocks.
 
     ``members`` has the group's ``size``. A pair of blocks i < j gets both, side 0 and 1; a block
-    meets itself once (i = j). So no task holds more than two blocks.
+    meets itself once (i = j). So no task holds more than two blocks, of up to ``GRID`` texts.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.least(F.lit(GRID), F.greatest(F.lit(BLOCK), F.ceil(F.col("size") / BLOCKS)))
+    blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("rec"), blocks).cast("int")
     pair = F.transform(
         F.sequence(F.lit(0), blocks - 1),
@@ -309,6 +332,35 @@ def _led_blocks(members: DataFrame) -> DataFrame:
     )
 
 
+def block_links(
+    sets: list[np.ndarray], side: np.ndarray, whole: bool, threshold: float
+) -> Iterator[tuple[list[int], np.ndarray]]:
+    """``rows, links`` of pieces of a part: each pair of its rows in one of them, or where it is a
+    pair of blocks (not ``whole``), each pair of rows of different sides."""
+    pieces = [
+        rows[k : k + BLOCK]
+        for own in ([np.arange(len(sets))] if whole else [np.flatnonzero(side == x) for x in (0, 1)])
+        for rows in [own]
+        for k in range(0, len(rows), BLOCK)
+    ]
+    if len(sets) <= 2 * BLOCK:
+        links = similar_pairs(sets, threshold)
+        if not whole:  # pairs of one block are another part's
+            links &= side[:, None] != side[None, :]
+        yield list(range(len(sets))), links
+        return
+    for i, first in enumerate(pieces):
+        for j, second in enumerate(pieces[i:], i):
+            if not whole and side[first[0]] == side[second[0]]:
+                continue
+            rows = first if i == j else np.concatenate([first, second])
+            links = similar_pairs([sets[k] for k in rows], threshold)
+            if i != j:  # pairs inside a piece are found where it meets itself
+                part = np.arange(len(rows)) < len(first)
+                links &= part[:, None] != part[None, :]
+            yield rows.tolist(), links
+
+
 def _compare(parts: DataFrame, sets: DataFrame, threshold: float, count: bool) -> DataFrame:
     """Links inside each part: with ``count`` the number for each text, else a spanning forest."""
 
@@ -321,13 +373,14 @@ def _compare(parts: DataFrame, sets: DataFrame, threshold: float, count: bool) -
             out = []
             for a, b in zip([0, *ends], [*ends, len(keys)]):
                 sets = [np.frombuffer(d, "<u4") for d in data[a:b]]
-                links = similar_pairs(sets, threshold)
-                if not whole[a]:  # pairs of one block are another part's
-                    links &= side[a:b, None] != side[None, a:b]
-                if count:
-                    out += [(recs[a + i], int(n)) for i, n in enumerate(links.sum(axis=1)) if n]
-                else:
-                    out += [(recs[a + i], recs[a + j]) for i, j in _forest(links)]
+                found: dict[int, int] = {}
+                for rows, links in block_links(sets, side[a:b], whole[a], threshold):
+                    if count:
+                        for i, n in zip(rows, links.sum(axis=1)):
+                            found[i] = found.get(i, 0) + int(n)
+                    else:
+                        out += [(recs[a + rows[i]], recs[a + rows[j]]) for i, j in _forest(links)]
+                out += [(recs[a + i], n) for i, n in found.items() if n]
             second = pa.int64() if count else pa.binary()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], second)],
@@ -379,38 +432,12 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def similar_texts(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = 0.8,
-    width: int = 5,
-    runs: int = 12,
-) -> DataFrame:
-    """``id, rec, class_id, n_links, n_copies`` for every row.
-
-    Two texts are linked when the sets of their runs of ``width`` lower-cased words have a Jaccard
-    similarity of ``threshold`` or more. Classes are what links and equal texts connect;
-    ``class_id`` is the least id of the class, ``n_links`` the number of other texts linked to
-    this one, ``n_copies`` that of rows with this very text (``rec`` is its hash).
-
-    Chosen-path join: at a node, every set samples about 1 / ``threshold`` of its tokens by a hash
-    of node and token, and goes on to their nodes; so two similar sets meet again in each level
-    with the share of tokens they have in common. Nodes of up to ``SMALL`` texts are compared pair
-    by pair, larger ones are split again, ``DEPTH`` levels at most; what is still together is
-    compared whole, in pairs of blocks. A large node of which all texts but a few are connected
-    already is not split: the few are compared with all of it. From the second level on, each text's
-    largest node of up to ``BLOCKS`` blocks is compared whole, other nodes then need only pairs of
-    texts with different largest nodes. ``runs`` roots are tried: a pair just at the threshold is
-    met at the first level with a chance of 1 - exp(-1) by each, 0.99999 in all. Links of a class
-    are counted by comparing all its texts, so the join has to find only what connects it.
-
-    NULL text is empty; texts without words are linked to nothing, but are copies of each other.
-    NULL ids are carried along and are nobody's least id unless a class has no other. Repeated
-    rows all come back; an empty table gives no rows.
-    """
-    keyed = docs.select(col(id_col).alias("id"), text_key(text_col).alias("rec"),
-                        text_of(text_col).alias("text"))
+def _connected(
+    keyed: DataFrame, threshold: float, width: int, target_recall: float
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored: the texts (``rec, least, n_copies``), sets of those that meet another, and their
+    components (``rec, root``)."""
+    runs, sampled = plan_runs(target_recall)
     first = cut(keyed.groupBy("rec").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n_copies")))
     texts = keyed.select("rec", "text")
 
@@ -440,9 +467,15 @@ def similar_texts(
         if level > DEPTH:  # what is still together is compared whole, in pairs of blocks
             more.append(_groups(named.join(many, "group", "left_semi"), "group"))
             break
-        if level > 2:  # a node still large after a split holds texts that much the same nodes hold
-            still = cut(named.join(many, "group", "left_semi"))
-            heads = cut(_heads(still))
+        # A node still large after a split holds texts that much the same nodes hold. So does, before
+        # any split, one of texts of which half the nodes are large.
+        still = cut(named.join(many, "group", "left_semi"))
+        if not still.isEmpty():
+            alike = still
+            if level == 2:
+                often = crowded.groupBy("rec").agg(F.count(F.lit(1)).alias("n"))
+                alike = still.join(often.where(F.col("n") >= runs / 2), "rec", "left_semi")
+            heads = cut(_heads(alike))
             sizes = heads.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
             own = heads.join(sizes, "root").withColumn("group", F.xxhash64(F.lit(-2), "root"))
             more.append(_groups(own, "group"))
@@ -453,7 +486,7 @@ def similar_texts(
         crowded = cut(crowded.join(many, "group", "left_semi"))
         if crowded.isEmpty():
             break
-        below = cut(_descend(crowded.join(sets, "rec"), threshold).select("node", "rec").distinct())
+        below = cut(_descend(crowded.join(sets, "rec"), threshold / sampled).select("node", "rec").distinct())
         met = cut(below.join(_counted(below), "node"))
         leaves.append(met.where(F.col("size") <= SMALL))
         crowded = met.where(F.col("size") > SMALL).withColumn("group", F.xxhash64("size", "f1", "f2"))
@@ -464,6 +497,47 @@ def similar_texts(
         edges = edges.unionByName(cut(_compare(parts, sets, threshold, count=False)))
         roots = components(edges)
 
+    return first, sets, roots
+
+
+def similar_texts(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.8,
+    width: int = 5,
+    target_recall: float = 0.99,
+) -> DataFrame:
+    """``id, rec, class_id, n_links, n_copies`` for every row.
+
+    Two texts are linked when the sets of their runs of ``width`` lower-cased words have a Jaccard
+    similarity of ``threshold`` or more. Classes are what links and equal texts connect;
+    ``class_id`` is the least id of the class, ``n_links`` the number of other texts linked to
+    this one, ``n_copies`` that of rows with this very text (``rec`` is its hash).
+
+    Chosen-path join: at a node, every set samples about 1 / ``threshold`` of its tokens by a hash
+    of node and token, and goes on to their nodes; so two similar sets meet again in each level
+    with the share of tokens they have in common. Nodes of up to ``SMALL`` texts are compared pair
+    by pair, larger ones are split again, ``DEPTH`` levels at most; what is still together is
+    compared whole, in pairs of blocks. A large node of which all texts but a few are connected
+    already is not split: the few are compared with all of it. Of texts that meet much the same
+    others in most of their nodes (half of the roots, all nodes after a split), each one's
+    largest node of up to ``BLOCKS`` blocks is compared whole, other nodes then need only pairs of
+    texts with different largest nodes. Runs are repeated until a pair just at the threshold is met
+    with a chance of ``target_recall``, at the last level as at the first (``plan_runs``). Links of a
+    class are counted by comparing all its texts, so the join has to find only what connects it.
+    Sets are compared by 32 bits of each run's hash: two different runs of a pair of texts of a
+    thousand words share one by a chance of 1 in 4000, which moves its similarity by a thousandth.
+
+    NULL text is empty; texts without words are linked to nothing, but are copies of each other.
+    NULL ids are carried along and are nobody's least id unless a class has no other. Repeated
+    rows all come back; an empty table gives no rows.
+    """
+    keyed = docs.select(col(id_col).alias("id"), text_key(text_col).alias("rec"),
+                        text_of(text_col).alias("text"))
+    with tidied(docs.sparkSession):
+        first, sets, roots = _connected(keyed, threshold, width, target_recall)
+
     members = roots.join(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "root")
     numbered = members.withColumn("group", F.xxhash64("root"))
     links = (
