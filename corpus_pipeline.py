@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from casetrends.llm.common import shared_folder
 from casetrends.llm.decontamination import remove_documents
 from casetrends.llm.jaccard_join import one_of_each_class
 from casetrends.llm.line_dedup import dedup_lines
@@ -49,7 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another; each one's rows are written below the folder of
+    ``spark.checkpoint.dir`` and read from there by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs
