@@ -24,6 +24,7 @@ from casetrends.operators.series import (
     collapse_days,
     daily_delta,
     first_row_fallback,
+    latest_rows,
     on_calendar,
     ranged_series_metrics,
     series_metrics,
@@ -41,6 +42,7 @@ __all__ = [
     "dated_structs",
     "enrich",
     "first_row_fallback",
+    "latest_rows",
     "full_align",
     "insert_column_at",
     "latest_snapshot",

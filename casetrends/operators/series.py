@@ -64,14 +64,38 @@ def trailing_avg(
 def collapse_days(df: DataFrame, keys: Sequence[str], order: str = "dt") -> DataFrame:
     """One row per key and day: the greatest value of every other column.
 
-    For tables that may repeat a day. Rows are combined before the shuffle, so a key with very
-    many rows arrives at the windows as one row per day, and their order is no longer arbitrary.
+    For rows that have a part of a day's metrics each, such as a full join leaves them: the
+    result may take columns from different rows. ``latest_rows`` keeps rows whole. Rows are
+    combined before the shuffle, so a key with very many rows arrives at the windows as one row per
+    day, and their order is no longer arbitrary.
     """
     rest = [c for c in df.columns if c not in (*keys, order)]
     grouped = df.groupBy(*keys, order).agg(*[F.max(F.col(quoted(c))).alias(c) for c in rest])
     return grouped.select(*[F.col(quoted(c)) for c in df.columns])
 
 
+def latest_rows(
+    df: DataFrame, keys: Sequence[str], by: Sequence[str] = (), order: str = "dt"
+) -> DataFrame:
+    """One whole row per key and day, of those that repeat it: the greatest one by the columns
+    ``by`` in turn, then by all others in turn. NULL is less than any value.
+
+    Rows are combined before the shuffle, as in ``collapse_days``. The result does not depend on the
+    order of the input: rows that tie in all columns are equal.
+    """
+    chosen = [*by, *[c for c in df.columns if c not in (*keys, order, *by)]]
+    if not chosen:
+        return df.distinct()
+    best = F.max(F.struct(*[F.col(quoted(c)) for c in chosen])).alias("best__")
+    grouped = df.groupBy(*[F.col(quoted(c)) for c in (*keys, order)]).agg(best)
+    return grouped.select(
+        *[
+            F.col("best__").getField(c).alias(c) if c in chosen else F.col(quoted(c))
+            for c in df.columns
+        ]
+    )
+
+
 FILLS = (None, "ffill")
 
 

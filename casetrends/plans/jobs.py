@@ -55,12 +55,19 @@ def run_us(
 
 
 def run_global(
-    spark: SparkSession, database: str, extract_path: str, now: Instant = None
+    spark: SparkSession,
+    database: str,
+    extract_path: str,
+    now: Instant = None,
+    collapse: bool = False,
 ) -> DataFrame:
-    """Build ``global_series`` from the daily report tables and export it."""
+    """Build ``global_series`` from the daily report tables and export it.
+
+    ``collapse`` keeps one row of those that repeat a place and day.
+    """
     us, world = (spark.table(f"{database}.{layout.name}") for layout in (US_DAILY, GLOBAL_DAILY))
     series = write_partitioned(
-        global_series_daily(us, world, now=now), f"{database}.global_series"
+        global_series_daily(us, world, now=now, collapse=collapse), f"{database}.global_series"
     )
     export_csv(series, extract_path)
     return series

@@ -17,6 +17,7 @@ from casetrends.operators.series import (
     collapse_days,
     delta,
     first_row_fallback,
+    latest_rows,
     series_metrics,
     series_window,
 )
@@ -62,21 +63,24 @@ def global_series_daily(
     day: str = "report_dt",
     now: Instant = None,
     collapse: bool = False,
+    last_day: Column | None = None,
 ) -> DataFrame:
     """Series of US states and of places outside the US, from the daily report tables.
 
     Rows whose compared label is NULL are dropped, as the comparison is not true for them.
     ``case_fatality_rate`` is the reports' own ratio, only rounded; ``incident_rate`` is per
-    person, and ``population`` is what the unrounded rate implies. ``collapse`` merges rows
-    that repeat a place and day before the windows; otherwise their order is arbitrary.
+    person, and ``population`` is what the unrounded rate implies. Of rows that
+    repeat a place and day ``collapse`` keeps one before the windows, whole: the one with the
+    greatest confirmed count (``latest_rows``); without it their order is arbitrary. ``last_day`` is
+    the newest day of the rows that stay, where that is known at less cost than by reading them again.
     """
     rows = union_sources(
         report_rows(us, F.col("province_state") != NOT_A_STATE, day, tested=True),
         report_rows(world, F.col("country_region") != US_COUNTRY, day, tested=False),
     )
-    newest = rows.agg(F.max("dt")).scalar()
+    newest = rows.agg(F.max("dt")).scalar() if last_day is None else last_day
     if collapse:
-        rows = collapse_days(rows, GLOBAL_SERIES_KEY)
+        rows = latest_rows(rows, GLOBAL_SERIES_KEY, ["total_confirmed"])
     population = implied_population(F.col("total_confirmed"), F.col("incident_rate"))
     return (
         series_metrics(rows.withColumn("population", population), GLOBAL_SERIES_KEY, DAILY_METRICS)

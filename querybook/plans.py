@@ -31,6 +31,7 @@ from querybook.views import (
     SQL_REPORTS,
     event_days_range,
     global_wide,
+    last_report_day,
     order_dates,
     places,
     reports,
@@ -265,7 +266,8 @@ both_reports AS (
           FROM fresh""",
 )
 def q3(spark, sf):
-    series = global_series_daily(us_reports(spark, sf), reports(spark, sf))
+    newest = last_report_day(spark, sf)
+    series = global_series_daily(us_reports(spark, sf), reports(spark, sf), last_day=newest)
     return series.drop("last_updated_ts")
 
 

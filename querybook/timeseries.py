@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from casetrends.operators import (
     daily_delta,
+    latest_rows,
     ranged_series_metrics,
     series_metrics,
     trailing_avg,
@@ -46,6 +47,34 @@ def delta(spark, sf):
     return daily_delta(counties(spark, sf), SERIES, "confirmed")
 
 
+@query(
+    "W1_daily_delta_latest_rows",
+    """
+WITH latest AS (
+    SELECT user_id, CAST(ts AS DATE) AS dt, event_id, event_type,
+           CAST(FLOOR(value * 100) AS BIGINT) AS total_confirmed
+    FROM events
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, CAST(ts AS DATE)
+                               ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1
+)
+SELECT *, total_confirmed - LAG(total_confirmed) OVER (PARTITION BY user_id ORDER BY dt)
+              AS daily_new_confirmed
+FROM latest""",
+)
+def latest_delta(spark, sf):
+    """Every event is a total of its user; a day's last one stands, whole."""
+    totals = table(spark, sf, "events").select(
+        "user_id",
+        F.col("ts").cast("date").alias("dt"),
+        "ts",
+        "event_id",
+        "event_type",
+        F.floor(F.col("value") * 100).cast("bigint").alias("total_confirmed"),
+    )
+    latest = latest_rows(totals, ["user_id"], ["ts", "event_id"])
+    return daily_delta(latest.drop("ts"), ["user_id"], "confirmed")
+
+
 @query(
     "W2_first_row_fallback",
     COUNTY

@@ -445,6 +445,21 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def last_report_day(spark: SparkSession, sf: str) -> Column:
+    """The newest day of the reports that are neither of the US without a state nor labelled
+    Recovered there, from the orders alone: a day with an order is a day with a report."""
+    nation = table(spark, sf, "nation").join(
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    kept = (F.col("r_name") != "AMERICA") | ~F.col("n_name").isin("NATION_0", "NATION_6")
+    known = table(spark, sf, "customer").join(
+        nation.filter(kept), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi"
+    )
+    orders = table(spark, sf, "orders")
+    located = orders.join(known, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+    return located.agg(F.max(F.col("o_orderdate").cast("date"))).scalar()
+
+
 def us_reports(spark: SparkSession, sf: str) -> DataFrame:
     return reports(spark, sf).filter(F.col("country_region") == "US")
 

@@ -191,6 +191,25 @@ def test_repeated_report_rows_can_be_collapsed(spark):
     assert rows(got.select("total_confirmed", "daily_new_confirmed")) == [(9, 9)]
 
 
+def test_collapsed_report_rows_stay_whole(spark):
+    low, high = list(report(1, None, "Aland", 7, 30.0, 2.0)), list(report(1, None, "Aland", 9, None, 1.0))
+    low[6], high[6] = 5, 1
+    world = spark.createDataFrame([low, high], REPORT)
+    got = global_series_daily(world.limit(0), world, now=NOW, collapse=True, last_day=F.lit(day(4)))
+    picked = got.select("total_confirmed", "total_deaths", "case_fatality_rate", "population", "last_updated_dt")
+    assert rows(picked) == [(9, 1, 1.0, None, day(4))]
+
+
+def test_known_last_day_spares_a_second_reading(spark, tmp_path):
+    spark.createDataFrame([report(1, None, "Aland", 7, None)], REPORT).write.parquet(f"{tmp_path}/r")
+    world = spark.read.parquet(f"{tmp_path}/r")
+    read = [
+        plan(global_series_daily(world, world, now=NOW, last_day=last)).count("FileScan")
+        for last in (None, F.lit(day(1)))
+    ]
+    assert read == [4, 2]
+
+
 def world_wide(spark, data):
     head = "province_state string, country_region string, latitude double, longitude double"
     return spark.createDataFrame(data, head + ", dt_20200122 bigint, dt_20200123 bigint")

@@ -9,6 +9,7 @@ from helpers import day, exchanges, plan, rows
 
 from casetrends.operators import (
     daily_delta,
+    latest_rows,
     on_calendar,
     ranged_series_metrics,
     series_metrics,
@@ -34,6 +35,30 @@ def test_delta_without_fallback_starts_with_null(spark):
     assert [r[-1] for r in rows(df, "dt")] == [None, 2]
 
 
+def test_latest_rows_are_whole(spark):
+    data = [
+        ("x", day(1), 2, "late", None),
+        ("x", day(1), 1, "early", 9),
+        ("x", day(1), None, "never", 10),
+        ("x", day(2), 3, "a", 1),
+        ("x", day(2), 3, "b", 0),
+        ("x", day(2), 3, "b", 0),
+        (None, day(1), 1, "c", 5),
+        ("x", None, 1, "d", 6),
+    ]
+    df = spark.createDataFrame(data, "`k.k` string, dt date, stamp int, `a b` string, total bigint")
+    got = latest_rows(df, ["k.k"], ["stamp"])
+    assert got.columns == df.columns
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == 4 and set(found) == {data[0], data[4], data[6], data[7]}
+
+
+def test_latest_rows_of_keys_alone(spark):
+    df = spark.createDataFrame([("x", day(1)), ("x", day(1)), ("x", None)], "k string, dt date")
+    assert latest_rows(df, ["k"]).count() == 2
+    assert latest_rows(df.limit(0), ["k"]).count() == 0
+
+
 def test_null_total_makes_the_next_total_look_new(spark):
     df = daily_delta(totals(spark, [10, None, 30]), ["combined_key"], "confirmed", fallback=True)
     assert [r[-1] for r in rows(df, "dt")] == [10, None, 30]
