@@ -225,6 +225,20 @@ def test_salted_join_spreads_a_hot_key(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_salted_join_spreads_the_pairs_of_few_rows(spark):
+    """So few rows that adaptive execution would read them all in one task; pairs are dealt in blocks of both sides."""
+    from pyspark.sql import functions as F
+
+    left = spark.range(3_000).select(F.lit("h").alias("k"), F.col("id").alias("x")).repartition(4)
+    left = left.unionByName(spark.createDataFrame([("l", -1), (None, -2)], "k string, x bigint"))
+    right = spark.range(1_200).select(F.lit("h").alias("k"), F.col("id").alias("y"))
+    right = right.unionByName(spark.createDataFrame([("r", -1), (None, -2)], "k string, y bigint"))
+    salted = full_align([left, right], on=["k"], salts=2, fill=None)
+    sizes = [r["count"] for r in salted.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3_600_004 and max(sizes) < 1_800_000
+    assert salted.filter("k = 'h'").agg(F.count_distinct("x", "y")).first()[0] == 3_600_000
+
+
 def test_attributes_as_of_a_day(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 3), ("a", 9), (None, 5), ("b", 2)], "k string, dt int")
     known = spark.createDataFrame(
