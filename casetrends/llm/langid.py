@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +23,15 @@ ORDER = 4
 BITS = 16
 PAD = " " * (ORDER - 1)
 NOT_LETTERS = re.compile(r"[\W\d_]+")
+SURROGATES = range(0xD800, 0xE000)
+_CHARACTERS = [chr(c) for c in range(1 << BITS)]
+#: Each character of 16 bits, a space for what is no letter; surrogates stay.
+LETTERS = np.array(
+    [c if c in SURROGATES or not NOT_LETTERS.match(x) else 32 for c, x in enumerate(_CHARACTERS)], "<u2"
+)
+ALPHA = np.array([c in SURROGATES or x.isalpha() for c, x in enumerate(_CHARACTERS)])
+#: Characters that are looked at together, so that their grams stay in a core's cache.
+CHUNK = 1 << 18
 
 
 def normalised(text: str | None) -> str | None:
@@ -31,21 +40,59 @@ def normalised(text: str | None) -> str | None:
     return plain if any(map(str.isalpha, plain)) else None
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of the longest order of all texts in turn, and how many each text has."""
-    padded = [PAD + text + " " for text in texts]
-    codes = np.frombuffer("".join(padded).encode("utf-16-le", "surrogatepass"), "<u2")
-    sizes = np.array([len(p.encode("utf-16-le", "surrogatepass")) // 2 for p in padded])
-    wide = codes.astype(np.uint64)
-    packed = np.zeros(len(wide) - ORDER + 1, np.uint64)
-    for k in range(ORDER):
-        packed = (packed << np.uint64(BITS)) | wide[k : len(wide) - ORDER + 1 + k]
-    ends = np.cumsum(sizes)
-    keep = np.ones(len(packed), bool)
+def _coded(text: str | None) -> bytes:
+    """The text in lower case, in 16 bits; ``normalised`` where a character needs more."""
+    lower = (text or "").lower()
+    coded = lower.encode("utf-16-le", "surrogatepass")
+    if len(coded) != 2 * len(lower):
+        coded = (normalised(lower) or "").encode("utf-16-le", "surrogatepass")
+    return coded
+
+
+def grams(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of the longest order of all ``normalised`` texts in turn, and how many each text
+    has: none without a letter.
+
+    A text has ``PAD`` before it and a space after it. All texts are normalised together: of each
+    run of other characters the first one that follows a letter stays, as a space.
+    """
+    if not len(texts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    parts = [_coded(t) for t in texts]
+    pad, space = PAD.encode("utf-16-le"), " ".encode("utf-16-le")
+    codes = LETTERS[np.frombuffer(pad + (space + pad).join(parts) + space, "<u2")]
+    sizes = np.array([len(p) // 2 for p in parts], np.int64) + ORDER
+    first = np.cumsum(sizes) - sizes
+    letter = codes != 32
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]
+    for k in range(ORDER - 1):
+        keep[first + k] = True
+    some = np.logical_or.reduceat(ALPHA[codes], first)
+    if not some.all():
+        keep &= np.repeat(some, sizes)
+    kept = codes[keep]
+    sizes = np.add.reduceat(keep, first, dtype=np.int64)
+    if not len(kept):
+        return np.zeros(0, np.uint64), sizes
+    pairs = (kept[:-1].astype(np.uint32) << np.uint32(BITS)) | kept[1:]
+    packed = (pairs[:-2].astype(np.uint64) << np.uint64(2 * BITS)) | pairs[2:]
+    inside = np.ones(len(packed), bool)
+    ends = np.cumsum(sizes[some])
     for back in range(1, ORDER):  # those that reach from one text into the next
-        at = ends[:-1] - back
-        keep[at] = False
-    return packed[keep], sizes - ORDER + 1
+        inside[ends[:-1] - back] = False
+    return packed[inside], np.where(some, sizes - ORDER + 1, 0)
+
+
+def chunks(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``CHUNK`` characters, or of one longer text."""
+    ends = np.cumsum([len(t or "") + 1 for t in texts])
+    low = 0
+    while low < len(ends):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
+        yield low, high
+        low = high
 
 
 def count_grams(train: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -54,12 +101,15 @@ def count_grams(train: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, part in batch.groupby("lang"):
-                texts = [t for t in map(normalised, part["text"]) if t]
-                if texts:
-                    found, n = np.unique(grams(texts)[0], return_counts=True)
-                    yield pd.DataFrame(
-                        {"lang": lang, "gram": found.astype(np.int64), "n": n.astype(np.int64)}
-                    )
+                texts = part["text"].tolist()
+                counted = [
+                    np.unique(grams(texts[low:high])[0], return_counts=True) for low, high in chunks(texts)
+                ]
+                found, at = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+                n = np.zeros(len(found), np.int64)
+                np.add.at(n, at, np.concatenate([n for _, n in counted]))
+                if len(found):
+                    yield pd.DataFrame({"lang": lang, "gram": found.view(np.int64), "n": n})
 
     return (
         train.select(col(lang_col).alias("lang"), col(text_col).alias("text"))
@@ -131,6 +181,45 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     return joined
 
 
+class Places:
+    """Where each of some different 64-bit numbers stands, by a hash table with open addresses."""
+
+    MIX = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, int(len(keys)).bit_length() + 2)
+        self.keys, self.last = keys, np.int64((1 << bits) - 1)
+        self.shift = np.uint64(64 - bits)
+        self.table = np.full(1 << bits, -1)
+        rest, slot = np.arange(len(keys)), self._slot(keys)
+        while len(rest):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = rest[free]
+            later = self.table[slot] != rest
+            rest, slot = rest[later], (slot[later] + 1) & self.last
+
+    def _slot(self, packed: np.ndarray) -> np.ndarray:
+        return ((packed * self.MIX) >> self.shift).view(np.int64)
+
+    def find(self, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each number, and whether it has one."""
+        if not len(self.keys):
+            return np.zeros(len(packed), np.int64), np.zeros(len(packed), bool)
+        slot = self._slot(packed)
+        at = self.table.take(slot)
+        met = at >= 0
+        known = (self.keys.take(at, mode="wrap") == packed) & met
+        rest = np.flatnonzero(met & ~known)
+        while len(rest):
+            slot[rest] = (slot[rest] + 1) & self.last
+            at[rest] = self.table[slot[rest]]
+            met = at[rest] >= 0
+            equal = met & (self.keys[at[rest]] == packed[rest])
+            known[rest[equal]] = True
+            rest = rest[met & ~equal]
+        return at, known
+
+
 @dataclass
 class Models:
     """Sorted arrays of exact grams for each size: known grams, and by language what each scores.
@@ -145,6 +234,8 @@ class Models:
     context_keys: dict[int, np.ndarray] = field(default_factory=dict)
     leaves: dict[int, np.ndarray] = field(default_factory=dict)
     limits: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    places: Places | None = None
+    columns: list[np.ndarray] = field(default_factory=list)
 
     def fill(self, rows: pa.Table) -> Models:
         """These models with the arrays of ``size, gram, values``."""
@@ -187,35 +278,41 @@ class Models:
         out[known] = self.leaves[size][at[known]]
         return out
 
-    def entropies(self, texts: list[str]) -> np.ndarray:
-        """Mean negative log-probability of a character, by text and language."""
+    def entropies(self, texts: Sequence[str | None]) -> np.ndarray:
+        """Mean negative log-probability of a character, by text and language; NaN without a letter."""
+        if self.places is None:
+            self.places = Places(self.keys[ORDER])
+            self.columns = [x.astype(np.float64) for x in np.ascontiguousarray(self.scores[ORDER].T)]
         packed, sizes = grams(texts)
         total = np.zeros((len(texts), len(self.langs)))
-        step = 1 << 18
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        for a in range(0, len(packed), step):
-            scored = self.score(packed[a : a + step])
-            mine = owner[a : a + step]
-            first = np.flatnonzero(np.diff(mine, prepend=-1))
-            total[mine[first]] += np.add.reduceat(scored, first, axis=0, dtype=np.float64)
-        return -total / sizes[:, None]
+        (own,) = np.nonzero(sizes)
+        ends = np.cumsum(sizes[own])
+        first = ends - sizes[own]
+        for a in range(0, len(packed), CHUNK):
+            some = packed[a : a + CHUNK]
+            mine = slice(np.searchsorted(ends, a, side="right"), np.searchsorted(first, a + len(some)))
+            begin = np.maximum(first[mine] - a, 0)
+            at, known = self.places.find(some)
+            new = np.flatnonzero(~known)
+            at[new] = 0
+            backed = self.score(some[new])
+            for k in range(len(self.langs)):
+                scored = self.columns[k].take(at) if len(self.columns[k]) else np.zeros(len(some))
+                scored[new] = backed[:, k]
+                total[own[mine], k] += np.add.reduceat(scored, begin)
+        return -total / np.where(sizes, sizes, np.nan)[:, None]
 
     def of_texts(self, texts: Iterable[str | None]) -> list[list[float] | None]:
         """The entropies of each text; None where it has no letter.
 
         A few texts at a time, so that memory follows the longest text, not the batch.
         """
-        plain = [normalised(t) for t in texts]
-        out: list[list[float] | None] = [None] * len(plain)
-        group, size = [], 0
-        for i in [i for i, t in enumerate(plain) if t] + [None]:
-            if group and (i is None or size > 1 << 21):
-                for j, found in zip(group, self.entropies([plain[j] for j in group])):
-                    out[j] = found.tolist()
-                group, size = [], 0
-            if i is not None:
-                group.append(i)
-                size += len(plain[i])
+        texts = list(texts)
+        out: list[list[float] | None] = []
+        for low, high in chunks(texts):
+            found = self.entropies(texts[low:high])
+            none = np.isnan(found[:, 0])
+            out += [None if n else row for n, row in zip(none, found.tolist())]
         return out
 
 
@@ -330,8 +427,10 @@ def with_entropies(
     sent = docs.sparkSession.sparkContext.broadcast(vars(models))
 
     @F.pandas_udf("array<double>")
-    def entropies(texts: pd.Series) -> pd.Series:
-        return pd.Series(Models(**sent.value).of_texts(texts), index=texts.index, dtype=object)
+    def entropies(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Models(**sent.value)
+        for texts in batches:
+            yield pd.Series(known.of_texts(texts), index=texts.index, dtype=object)
 
     return docs.select("*", entropies(col(text_col)).alias(name))
 
@@ -365,10 +464,9 @@ def _joined_entropies(
     def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for k, part in batch.groupby("group"):
-                texts = [t for t in map(normalised, part["text"]) if t]
-                if not texts:
+                found = np.unique(grams(part["text"].tolist())[0])
+                if not len(found):
                     continue
-                found = np.unique(grams(texts)[0])
                 for size in range(ORDER, 0, -1):
                     shift, mask = np.uint64(BITS), np.uint64((1 << (BITS * (size - 1))) - 1)
                     contexts = np.unique(found >> shift)

@@ -210,6 +210,30 @@ def test_grams_of_models_are_exact(spark):
     assert not langid.Models._find(sent.keys[4], packed)[1].any()
 
 
+def test_grams_of_a_whole_batch_equal_those_of_each_text():
+    import numpy as np
+
+    from casetrends.llm import langid
+
+    rng = random.Random(3)
+    pool = "aZñİΣςß²½Ⅷ٣_-\n\t 9𝐀😀𐐀漢字̇ǅ "
+    texts = [None, "", "12", "²½", "\n", "😀", "𝐀 b", "ΑΣ.Σ", "½𝟙", "ab" * langid.CHUNK]
+    texts += ["".join(rng.choice(pool) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    want = []
+    for text in map(langid.normalised, texts):
+        codes = (langid.PAD + text + " ").encode("utf-16-le") if text else b""
+        chars = [int.from_bytes(codes[i : i + 2], "little") for i in range(0, len(codes), 2)]
+        want.append([sum(c << (48 - 16 * k) for k, c in enumerate(chars[i : i + 4])) for i in range(len(chars) - 3)])
+    packed, sizes = langid.grams(texts)
+    assert sizes.tolist() == [len(w) for w in want]
+    assert packed.tolist() == [g for w in want for g in w]
+    parts = [langid.grams(texts[low:high])[0] for low, high in langid.chunks(texts)]
+    assert len(parts) > 2 and np.array_equal(np.concatenate(parts), packed)
+    keys = np.unique(packed)[::3]
+    at, known = langid.Places(keys).find(packed)
+    assert np.array_equal(known, np.isin(packed, keys)) and np.array_equal(keys[at[known]], packed[known])
+
+
 def test_limits_of_rejection_take_all_texts(spark):
     """A language whose texts come after thousands of another one's has a limit, too."""
     rows = [(i, "the cat and the other thing of that") for i in range(2500)]
