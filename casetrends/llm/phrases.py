@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casetrends.llm.common import UPPER, col, shared_folder, tidy_session
@@ -108,40 +108,50 @@ class PhraseIndex:
                 "low2": ends["low2"], "high2": ends["low2"] + count}
 
 
-def without_lone_words(text: np.ndarray) -> np.ndarray:
-    """The text without words that have no neighbour in their piece, and one end of each piece."""
-    word = text > 0
-    beside = np.zeros(len(text), bool)
-    beside[:-1] |= word[:-1] & word[1:]
-    beside[1:] |= word[:-1] & word[1:]
-    text = np.where(beside, text, 0)
+def long_runs(text: np.ndarray, least: int) -> np.ndarray:
+    """The text without words in runs of fewer than ``least``, and one end after each run."""
+    end = text == 0
+    size = np.diff(np.concatenate([[-1], np.flatnonzero(end), [len(text)]])) - 1
+    text = np.where((size >= least)[np.cumsum(end)], text, 0)
     again = np.zeros(len(text), bool)
     again[1:] = (text[1:] == 0) & (text[:-1] == 0)
     return text[~again]
 
 
-def kept_words(text: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The text with all other words taken for ends of pieces."""
-    keep = np.zeros(int(max(text.max(initial=0), frequent.max(initial=0))) + 1, bool)
-    keep[frequent] = True
-    return without_lone_words(np.where(keep[text], text, 0))
-
-
-def kept_pairs(text: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """The text with an end between neighbours that are not among the pairs."""
-    size = int(text.max(initial=0)) + 1
+def kept_pairs(text: np.ndarray, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The text with an end between neighbours that are not among the (packed) pairs."""
     both = (text[:-1] > 0) & (text[1:] > 0)
-    key = np.sort(pairs[:, 0] * size + pairs[:, 1])
-    own = text[:-1] * size + text[1:]
+    key = np.sort(pairs)
+    own = packed(words[text[:-1]], words[text[1:]])
     at = np.minimum(np.searchsorted(key, own), len(key) - 1)
     part = np.flatnonzero(both & (key[at] != own)) + 1
-    return without_lone_words(np.insert(text, part, 0))
+    return np.insert(text, part, 0)
+
+
+def packed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Two words of the corpus in one number."""
+    return first << 32 | second
+
 
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One text of some, each with its words of the corpus by number (0 where it has none)."""
+    words = np.unique(np.concatenate([[0], *(own for _, own in parts)]))
+    return np.concatenate([np.append(np.searchsorted(words, own)[text], 0) for text, own in parts]), words
 
-def joined(words: pa.Array, numbers: np.ndarray) -> pa.Array:
-    """The phrases, with one space between words."""
-    parts = [words.take(pa.array(numbers[:, k])) for k in range(numbers.shape[1])]
-    return pc.binary_join_element_wise(*parts, " ")
+
+def gathered(
+    parts: Iterator[tuple[np.ndarray, np.ndarray]], most: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The texts, as many as have ``most`` words together (or one longer) merged into one."""
+    held, size = [], 0
+    for text, words in parts:
+        if held and size + len(text) > most:
+            yield merged(held)
+            held, size = [], 0
+        held.append((text, words))
+        size += len(text)
+    if held:
+        yield merged(held)
 
 
 SHARD = (
@@ -167,12 +177,13 @@ def write_shards(docs: DataFrame, lang_col: str, text_col: str, shard_words: int
             del size[lang]
             counts = np.bincount(number, minlength=len(words))
             counts[0] = 0
-            packed = pa.compress(number.astype("<i4").tobytes(), codec="zstd", asbytes=True)
             named = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
             often = pa.ListArray.from_arrays(named.offsets, pa.array(counts, pa.int64()))
             shard += 1
+            # The split texts are large; a worker that is used again would keep their memory.
+            pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_arrays(
-                [pa.array([shard]), pa.array([lang]), pa.array([packed], pa.binary()),
+                [pa.array([shard]), pa.array([lang]), _compressed(number),
                  pa.array([len(number)], pa.int32()), named, often],
                 names=["shard", "lang", "ids", "n", "words", "counts"],
             )
@@ -203,85 +214,114 @@ def write_shards(docs: DataFrame, lang_col: str, text_col: str, shard_words: int
     )
 
 
-PAIRS = "shard long, pair long, h long, a long"
-PHRASES = "lang string, phrase string, a long"
-MIX = np.uint64(0x9E3779B97F4A7C15)
+CODED = "shard long, ids binary, n int, words array<long>"
+PAIRS = "shard long, pair long, a long"
+LONGER = "p long, q long, a long"
+# Words are numbered apart in so many groups.
+GROUPS = 1024
 # All pairs of all shards are the most that is shuffled at once; they are counted in turns.
 TURNS = 2
 
 
-def _pair_batch(shard: int, found: dict, word_hash: np.ndarray) -> pa.RecordBatch:
-    """Pairs as packed numbers of their shard, with a hash that all shards agree on."""
-    first, second = found["words"].T
-    mixed = word_hash[first] * MIX + word_hash[second]
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= MIX
-    n = len(first)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, shard)), pa.array(first << 32 | second), pa.array(mixed.view(np.int64)),
-         pa.array(found["high"] - found["low"])],
-        names=["shard", "pair", "h", "a"],
-    )
-
-
-def _phrase_batch(lang: str, words: pa.Array, found: dict) -> pa.RecordBatch:
-    numbers = found["words"]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(numbers), pa.string()), joined(words, numbers),
-         pa.array(found["high"] - found["low"])],
-        names=["lang", "phrase", "a"],
-    )
+def _compressed(number: np.ndarray) -> pa.Array:
+    return pa.array([pa.compress(number.astype("<i4").tobytes(), codec="zstd", asbytes=True)], pa.binary())
 
 
 def _unpacked(ids: pa.Scalar, n: int) -> np.ndarray:
     data = pa.decompress(ids.as_buffer(), decompressed_size=4 * n, codec="zstd")
-    return np.frombuffer(data, "<i4").astype(np.int64)
+    return np.frombuffer(data, "<i4")
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """The numbered words of each row, and the row."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield _unpacked(batch.column("ids")[k], batch.column("n")[k].as_py()), batch.slice(k, 1)
+
+
+def _list(row: pa.RecordBatch, name: str) -> np.ndarray:
+    return row.column(name)[0].values.to_numpy(zero_copy_only=False)
+
+
+def code_shards(shards: DataFrame, shard_words: int, path: str) -> None:
+    """Texts of the words in ``kept`` (``id, word``) only, with the corpus' numbers of their own ones.
+
+    What else stands between them ends a piece. The words of two languages differ in these numbers,
+    so small shards of a task are merged.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = TaskContext.get().partitionId() << 32
+
+        def coded() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for text, row in _texts(batches):
+                kept = row.column("kept")[0].values
+                number = kept.field("id").to_numpy(zero_copy_only=False)
+                words = np.zeros(max(int(text.max(initial=0)), int(number.max())) + 1, np.int64)
+                words[number] = kept.field("word").to_numpy(zero_copy_only=False)
+                yield text, words
+
+        for text, words in gathered(coded(), shard_words):
+            text = long_runs(text, 2)
+            shard += 1
+            if text.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard]), _compressed(text), pa.array([len(text)], pa.int32()),
+                     pa.array([words], pa.list_(pa.int64()))],
+                    names=["shard", "ids", "n", "words"],
+                )
+
+    shards.select("ids", "n", "kept").mapInArrow(run, CODED).write.parquet(path)
 
 
 def pairs_of_shards(shards: DataFrame, turn: int) -> DataFrame:
-    """``shard, pair, h, a``: the pairs of the words in ``kept`` (``id, h``), by shard, as far as their
-    first word's hash has its turn."""
+    """``shard, pair, a``: the pairs of words, by shard, as far as their first word has its turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                shard, n = batch.column("shard")[k].as_py(), batch.column("n")[k].as_py()
-                kept = batch.column("kept")[k].values
-                number = kept.field("id").to_numpy(zero_copy_only=False).astype(np.int64)
-                text = kept_words(_unpacked(batch.column("ids")[k], n), number)
-                if text.any():
-                    word_hash = np.zeros(int(number.max()) + 1, np.uint64)
-                    word_hash[number] = kept.field("h").to_numpy(zero_copy_only=False).view(np.uint64)
-                    index = PhraseIndex(text, len(word_hash))
-                    found = index.words()
-                    mine = word_hash[found["words"][:, 0]] % np.uint64(TURNS) == turn
-                    found = index.extend({k: v[mine] for k, v in found.items()}, to_left=False)
-                    yield _pair_batch(shard, found, word_hash)
+        for text, row in _texts(batches):
+            words = _list(row, "words")
+            index = PhraseIndex(text, len(words))
+            found = index.words()
+            mine = words[found["words"][:, 0]] % TURNS == turn
+            found = index.extend({k: v[mine] for k, v in found.items()}, to_left=False)
+            first, second = words[found["words"]].T
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(first), row.column("shard")[0].as_py())),
+                 pa.array(packed(first, second)), pa.array(found["high"] - found["low"])],
+                names=["shard", "pair", "a"],
+            )
 
-    return shards.select("shard", "ids", "n", "kept").mapInArrow(run, PAIRS)
+    return shards.select("shard", "ids", "n", "words").mapInArrow(run, PAIRS)
 
 
-def phrases_of_shards(shards: DataFrame) -> DataFrame:
-    """``lang, phrase, a``: phrases of two to four words all of whose pairs are in ``kept``."""
+def phrases_of_shards(shards: DataFrame, shard_words: int) -> DataFrame:
+    """``p, q, a``: phrases of three and four words all of whose pairs are in ``kept``, as the pairs of
+    their first and their last words; a third word stands before 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                words = batch.column("words")[k].values
-                kept = batch.column("kept")[k].values.to_numpy(zero_copy_only=False)
-                pairs = np.stack([kept >> 32, kept & 0xFFFFFFFF], 1)
-                text = kept_pairs(_unpacked(batch.column("ids")[k], batch.column("n")[k].as_py()), pairs)
-                if not text.any():
-                    continue
-                index = PhraseIndex(text, len(words))
-                found = index.words()
-                # To the right, then to the left, then to the right again.
-                for to_left in (False, True, False):
-                    found = index.extend(found, to_left)
-                    if len(found["low"]):
-                        yield _phrase_batch(batch.column("lang")[k].as_py(), words, found)
-
-    return shards.select("lang", "ids", "n", "words", "kept").mapInArrow(run, PHRASES)
+        def parted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for text, row in _texts(batches):
+                words = _list(row, "words")
+                text = long_runs(kept_pairs(text, words, _list(row, "kept")), 3)
+                if text.any():
+                    yield text, words
+
+        for text, words in gathered(parted(), shard_words):
+            index = PhraseIndex(text, len(words))
+            found = index.extend(index.words(), to_left=False)
+            # To the left, then to the right again.
+            for to_left in (True, False):
+                found = index.extend(found, to_left)
+                if len(found["low"]):
+                    first, second, third, *fourth = words[found["words"]].T
+                    last = fourth[0] if fourth else np.zeros_like(third)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(packed(first, second)), pa.array(packed(third, last)),
+                         pa.array(found["high"] - found["low"])],
+                        names=["p", "q", "a"],
+                    )
+
+    return shards.select("ids", "n", "words", "kept").mapInArrow(run, LONGER)
 
 
 def _total(of: str, *keys: str) -> Column:
@@ -296,40 +336,59 @@ def count_phrases(
 
     A phrase is no more frequent than its parts. So only frequent words take part in the index of
     a shard, then only pairs that are frequent in all shards together; what else stands between
-    them ends a piece. Pairs are told apart by a hash of 64 bits there: two that share one may both
-    stay, and go when the phrases themselves are counted. Each round ends in a table, and a session
-    of its own lets go of the shuffle files of a round with it.
+    them ends a piece. Frequent words are numbered for the whole corpus and longer phrases counted by
+    these numbers, pairs in the second round and only longer ones in the third. Each round ends in
+    a table, and a session of its own lets go of the shuffle files of a round with it.
     """
     folder = shared_folder(docs.sparkSession) + f"/phrases-{uuid.uuid4().hex}"
     spark = tidy_session(docs.sparkSession)
+
+    def stored(name: str, session: SparkSession = spark) -> DataFrame:
+        return session.read.parquet(f"{folder}/{name}")
+
     write_shards(docs, lang_col, text_col, shard_words, f"{folder}/shards")
-    shards = spark.read.parquet(f"{folder}/shards")
-    own = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("id", "x"))
+    own = stored("shards").select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("id", "x"))
     own = own.where("x.counts > 0").select("shard", "lang", "id", F.col("x.words").alias("phrase"), "x.counts")
-    words = own.withColumn("a", _total("counts", "phrase", "lang")).where(F.col("a") >= least)
-    words.select("shard", "id", "lang", "phrase", "a").write.parquet(f"{folder}/words")
-    words = spark.read.parquet(f"{folder}/words")
-
-    def with_kept(kept: DataFrame, item: Column) -> DataFrame:
+    own = own.withColumn("part", F.pmod(F.xxhash64("lang", "phrase"), F.lit(GROUPS))).repartition("part")
+    words = own.withColumn("a", _total("counts", "part", "lang", "phrase")).where(F.col("a") >= least)
+    place = F.dense_rank().over(Window.partitionBy("part").orderBy(F.desc("a"), "lang", "phrase"))
+    words = words.withColumn("word", (place.cast("long") - 1) * GROUPS + F.col("part") + 1)
+    few = F.when(F.col("word") < 1 << 31, F.col("word"))
+    few = few.otherwise(F.raise_error(F.lit("there are too many frequent words")).cast("long"))
+    words.select("shard", "id", "lang", "phrase", "a", few.alias("word")).write.parquet(f"{folder}/words")
+
+    def with_kept(shards: DataFrame, kept: DataFrame, item: Column) -> DataFrame:
         return shards.join(kept.groupBy("shard").agg(F.collect_list(item).alias("kept")), "shard")
 
-    hashed = F.struct("id", F.xxhash64("lang", "phrase").alias("h"))
+    numbered = with_kept(stored("shards"), stored("words"), F.struct("id", "word"))
+    code_shards(numbered, shard_words // 2, f"{folder}/coded")
     for turn in range(TURNS):
-        pairs = pairs_of_shards(with_kept(words, hashed), turn)
-        frequent = pairs.withColumn("total", _total("a", "h")).where(F.col("total") >= least)
-        frequent.select("shard", "pair").write.mode("append").parquet(f"{folder}/pairs")
-    longer = phrases_of_shards(with_kept(spark.read.parquet(f"{folder}/pairs"), F.col("pair")))
-    longer = longer.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+        pairs = pairs_of_shards(stored("coded"), turn)
+        frequent = pairs.withColumn("total", _total("a", "pair")).where(F.col("total") >= least)
+        frequent.select("shard", "pair", "total").write.mode("append").parquet(f"{folder}/pairs")
+    cut = with_kept(stored("coded"), stored("pairs"), F.col("pair"))
+    longer = phrases_of_shards(cut, shard_words // 2)
+    longer = longer.groupBy("p", "q").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     longer.write.parquet(f"{folder}/longer")
-    words.select("lang", "phrase", "a").distinct().write.parquet(f"{folder}/single")
-
-    def stored(name: str) -> DataFrame:
-        return docs.sparkSession.read.parquet(f"{folder}/{name}")
+    stored("words").select("word", "lang", "phrase", "a").distinct().write.parquet(f"{folder}/single")
 
-    n = stored("shards").groupBy("lang").agg(
+    two = stored("pairs").select(F.col("pair").alias("p"), F.lit(0).cast("long").alias("q"), F.col("total").alias("a"))
+    several = two.distinct().unionByName(stored("longer"))
+    low = F.lit((1 << 32) - 1)
+    numbers = F.array(*(x for c in ("p", "q") for x in (F.shiftright(c, 32), F.col(c).bitwiseAND(low))))
+    several = several.select("p", "q", "a", F.posexplode(F.filter(numbers, lambda x: x > 0)).alias("k", "word"))
+    (
+        several.join(stored("single").select("word", "lang", "phrase"), "word")
+        .groupBy("p", "q", "a", "lang")
+        .agg(F.sort_array(F.collect_list(F.struct("k", "phrase"))).alias("words"))
+        .select("lang", F.array_join("words.phrase", " ").alias("phrase"), "a")
+        .write.parquet(f"{folder}/several")
+    )
+    n = stored("shards", docs.sparkSession).groupBy("lang").agg(
         F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n")
     ).where("n > 0")
-    found = stored("single").unionByName(stored("longer"))
+    single = stored("single", docs.sparkSession).drop("word")
+    found = single.unionByName(stored("several", docs.sparkSession))
     return found.withColumn("m", F.size(F.split("phrase", " "))), n
 
 

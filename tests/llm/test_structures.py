@@ -328,6 +328,35 @@ def test_no_phrases(spark):
     assert mined(spark, [(None, None), ("en", "a. b. c")], 1, 100) == []
 
 
+def test_pairs_are_counted_in_one_round(spark, monkeypatch):
+    made, rounds = [], phrases.phrases_of_shards
+
+    def kept(*args):
+        made.append(rounds(*args))
+        return made[-1]
+
+    monkeypatch.setattr(phrases, "phrases_of_shards", kept)
+    rows = [(lang, "a b. b c, a c; " * 5) for lang in ("en", "de", None)]
+    got = mined(spark, rows, 5, 10)
+    assert got == phrase_rows(rows, 5) and len(got) == 9
+    # No phrase is longer than a pair, so the round after the pairs' has nothing to count.
+    assert [m.count() for m in made] == [0]
+
+
+def test_small_shards_are_merged_and_cut():
+    import numpy as np
+
+    a, b = (np.array([1, 2, 0]), np.array([0, 7, 5])), (np.array([2, 1, 3, 0]), np.array([0, 9, 7, 0]))
+    (text, words), = phrases.gathered(iter([a, b]), 7)
+    assert words[text].tolist() == [7, 5, 0, 0, 7, 9, 0, 0, 0]
+    assert len(list(phrases.gathered(iter([a, b]), 6))) == 2
+    assert phrases.long_runs(np.array([1, 0, 2, 3, 0, 0, 4, 5, 6]), 2).tolist() == [0, 2, 3, 0, 4, 5, 6]
+    assert phrases.long_runs(np.array([1, 0, 2, 3, 0, 0, 4, 5, 6]), 3).tolist() == [0, 4, 5, 6]
+    assert not phrases.long_runs(np.array([], int), 2).any()
+    cut = phrases.kept_pairs(np.array([1, 2, 1, 0]), np.array([0, 7, 5]), np.array([7 << 32 | 5]))
+    assert cut.tolist() == [1, 2, 0, 1, 0]
+
+
 def test_index_extends_both_ways():
     import numpy as np
 
