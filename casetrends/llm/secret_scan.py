@@ -39,7 +39,11 @@ def _sums(numbers: Column) -> Column:
 
 def running_sums(numbers: Column) -> Column:
     """Running sums of an array, block by block: a growing array is copied with each number, so it
-    has to stay short."""
+    has to stay short. The lambda's argument holds the array, so it is made once for all blocks."""
+    return F.element_at(F.transform(F.array(numbers), _block_sums), 1)
+
+
+def _block_sums(numbers: Column) -> Column:
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / BLOCK).cast("int")),
         lambda k: F.slice(numbers, k * BLOCK + 1, F.lit(BLOCK)),
@@ -71,7 +75,9 @@ def spans_of(text: Column, pattern: str, kind: int, keep: Column | None = None)
         ),
     ).cast(SPAN)
     if keep is not None:
-        placed = F.filter(placed, lambda _, i: F.element_at(keep, i + 1))
+        # An array that a lambda takes from outside is made anew for each element.
+        kept = F.zip_with(placed, keep, lambda span, good: F.when(good, span))
+        placed = F.filter(kept, lambda span: span.isNotNull())
     return F.when(text.rlike(pattern), placed).otherwise(F.array().cast(SPAN))
 
 
