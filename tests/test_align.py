@@ -239,6 +239,40 @@ def test_salted_join_spreads_the_pairs_of_few_rows(spark):
     assert salted.filter("k = 'h'").agg(F.count_distinct("x", "y")).first()[0] == 3_600_000
 
 
+def _joined(node):
+    """Rows that the joins of a plan that was run gave."""
+    if node.nodeName().startswith("AdaptiveSparkPlan"):
+        return _joined(node.executedPlan())
+    if node.nodeName().endswith("QueryStage"):
+        return _joined(node.plan())
+    children = node.children()
+    own = node.metrics().apply("numOutputRows").value() if "Join" in node.nodeName() else 0
+    return own + sum(_joined(children.apply(i)) for i in range(children.length()))
+
+
+def test_salted_join_does_not_join_pair_by_pair(spark):
+    """The join gives a left row once for a block of right rows; the pairs come from unfolding the blocks."""
+    left = spark.range(4_000).select(F.lit("h").alias("k"), F.col("id").alias("x")).repartition(4)
+    right = spark.range(1_000).select(F.lit("h").alias("k"), F.col("id").alias("y"))
+    salted = full_align([left, right], on=["k"], salts=2, fill=None)
+    run = salted.selectExpr("k", "x", "y", "hash(k, x, y) AS row")._jdf.queryExecution()
+    assert run.toRdd().count() == 4_000_000
+    assert 0 < _joined(run.executedPlan()) < 100_000
+
+
+def test_salted_join_of_rows_that_are_all_the_same(spark):
+    """They are in one block, whose array is cut."""
+    left = spark.range(300).select(F.lit("h").alias("k"), (F.col("id") % 2).alias("x")).coalesce(1)
+    right = spark.range(2_500).select(F.lit("h").alias("k"), F.lit(None).cast("bigint").alias("y")).coalesce(1)
+    right = right.unionByName(spark.createDataFrame([("h", 7), (None, 8), ("r", None)], "k string, y bigint"))
+    salted = full_align([left, right], on=["k"], salts=4, fill=None)
+    counts = {tuple(r)[:3]: r["count"] for r in salted.groupBy("k", "x", "y").count().collect()}
+    assert counts == {
+        ("h", 0, None): 375_000, ("h", 1, None): 375_000, ("h", 0, 7): 150, ("h", 1, 7): 150,
+        (None, None, 8): 1, ("r", None, None): 1,
+    }
+
+
 def test_attributes_as_of_a_day(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 3), ("a", 9), (None, 5), ("b", 2)], "k string, dt int")
     known = spark.createDataFrame(
